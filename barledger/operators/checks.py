@@ -205,18 +205,21 @@ def uniqueness_check(
 def fact_check(
     facts: DataFrame,
     dataset: str,
-    name: str,
+    name: str | Column,
     severity: str | Column,
     fails: Column,
     affected: Column | None = None,
-    columns: list[str] = (),
+    columns: list[str] | Column = (),
     message: str | Column = "",
     blocks: bool | Column | None = None,
     samples: Column | None = None,
 ) -> DataFrame:
     """A check over an already aggregated frame: one result row per failing fact row."""
     level = severity if isinstance(severity, Column) else F.lit(severity)
-    text = message if isinstance(message, Column) else F.lit(message or name.replace("_", " "))
+    label = name if isinstance(name, Column) else F.lit(name)
+    text = message if isinstance(message, Column) else F.lit(message or str(name).replace("_", " "))
+    if not isinstance(columns, Column):
+        columns = F.array(*[F.lit(c) for c in columns])
     blocking = (level == ERROR) if blocks is None else blocks
     blocking = blocking if isinstance(blocking, Column) else F.lit(blocking)
     count = F.lit(0) if affected is None else affected
@@ -224,9 +227,9 @@ def fact_check(
     return facts.where(holds(fails)).select(
         F.lit(dataset).alias("dataset_name"),
         level.alias("severity"),
-        F.lit(name).alias("check_name"),
+        label.alias("check_name"),
         text.alias("message"),
-        F.array(*[F.lit(c) for c in columns]).cast("array<string>").alias("affected_columns"),
+        columns.cast("array<string>").alias("affected_columns"),
         count.cast("bigint").alias("affected_row_count"),
         sample.cast("array<string>").alias("sample_affected_keys"),
         blocking.alias("blocks_output"),

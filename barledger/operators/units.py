@@ -221,6 +221,7 @@ def resolve_facts(facts: DataFrame) -> DataFrame:
         "unit_evidence_reference": either("source_unit_evidence_reference", "evidence"),
         "unit_verification_reason": reason,
         "vnd_traded_value_permitted": ok,
+        "row_count": F.coalesce(F.col("fact_rows"), F.lit(0)).cast("bigint"),
         "price_scale": F.when(ok, record["source_price_scale_to_vnd"]),
         "volume_scale": F.when(ok, record["source_volume_scale_to_shares"]),
     }
