@@ -12,6 +12,7 @@ from barledger.functions import exprs as x
 from barledger.operators import campaign, coverage, normalize, readiness
 from barledger.operators.campaign import CampaignPlan
 from barledger.operators.units import KBS
+from barledger.sources.staging import staged
 
 PLAN = CampaignPlan("camp-1", v.START, v.END, v.CHUNK_DAYS, "2001-11-05")
 AS_OF = "2001-11-05"
@@ -572,8 +573,8 @@ _CFG = coverage.CoverageConfig(60, 0.1, 2000, 0.2)
 
 def campaign_frames(spark, sf):
     """(symbols, assessments, source rows, coverage) of the campaign's complete symbols."""
-    state = assessments(spark, sf)
-    rows = campaign.source_rows(state, stored_rows(spark, sf))
+    state = staged(assessments(spark, sf))
+    rows = staged(campaign.source_rows(state, stored_rows(spark, sf)))
     symbols = plan_symbols(spark, sf)
     return symbols, state, rows, readiness.campaign_coverage(PLAN, symbols, state, rows, _CFG)
 
