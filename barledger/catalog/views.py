@@ -149,9 +149,12 @@ def k_mod(column: str, n: int) -> Column:
 
 
 def _source(spark: SparkSession, sf: str, odd: bool) -> DataFrame:
+    """Weekday bars of odd or even lines; every fourth supplier keeps repeated days."""
     lines = table(spark, sf, "lineitem").where(F.col("l_linenumber") % 2 == (1 if odd else 0))
     dated = lines.withColumn("date", F.col("l_shipdate").cast("date")).where("weekday(date) < 5")
-    return dated.select(
+    once = top_rows(dated.where("l_suppkey % 4 <> 3"), ["l_suppkey", "date"], LINE_ORDER, 1, "__r")
+    kept = once.drop("__r").unionByName(dated.where("l_suppkey % 4 = 3"))
+    return kept.select(
         *LINE_ORDER,
         _symbol("l_suppkey").alias("symbol"),
         "date",
@@ -281,10 +284,14 @@ VIEW_SQL: dict[str, str] = {
         CROSS JOIN (VALUES (0), (1)) v(c) WHERE c = 0 OR suppkey % 29 = 0""",
     "source_a": f"""
         SELECT {_ORDER}, 'S' || l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS date, {_BAR}
-        FROM lineitem WHERE l_linenumber % 2 = 1 AND isodow(l_shipdate) < 6""",
+        FROM lineitem WHERE l_linenumber % 2 = 1 AND isodow(l_shipdate) < 6
+        QUALIFY l_suppkey % 4 = 3 OR row_number() OVER (PARTITION BY l_suppkey,
+          CAST(l_shipdate AS DATE) ORDER BY {_ORDER}) = 1""",
     "source_b": f"""
         SELECT {_ORDER}, 'S' || l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS date, {_BAR}
-        FROM lineitem WHERE l_linenumber % 2 = 0 AND isodow(l_shipdate) < 6""",
+        FROM lineitem WHERE l_linenumber % 2 = 0 AND isodow(l_shipdate) < 6
+        QUALIFY l_suppkey % 4 = 3 OR row_number() OVER (PARTITION BY l_suppkey,
+          CAST(l_shipdate AS DATE) ORDER BY {_ORDER}) = 1""",
     "intraday_raw": """
         SELECT event_id, 'U' || user_id AS symbol, '1m' AS resolution,
           date_trunc('minute', ts) AS ts_minute, event_id % 31 = 0 AS zoned,
