@@ -1 +1,156 @@
+"""Queries that write to and read back from a store."""
 
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from barledger.catalog import views as v
+from barledger.catalog.registry import query
+from barledger.operators import normalize
+from barledger.sources import store as s
+from barledger.sources.staging import shared_dir
+
+
+def fresh_store(spark) -> s.MarketStore:
+    return s.MarketStore(spark, f"{shared_dir(spark)}/barledger-store/{uuid.uuid4().hex}")
+
+
+def landed(spark, sf) -> s.MarketStore:
+    store = fresh_store(spark)
+    raw = v.bars_raw(spark, sf).select("symbol", "time", "open", "high", "low", "close", "volume")
+    store.land(raw, "daily", "0001")
+    return store
+
+
+@query(
+    "s1_s2_raw_roundtrip",
+    """SELECT symbol, time, open, high, low, close, volume, '0001' AS run_id FROM bars_raw""",
+)
+def s1_s2_raw_roundtrip(spark, sf):
+    raw = landed(spark, sf).read_raw("daily", s.RAW_DAILY_SCHEMA, "0001")
+    bars = raw.select(
+        "symbol", "time", *[F.col(c).cast("double").alias(c) for c in
+                            ("open", "high", "low", "close", "volume")], "run_id",
+    )
+    return bars
+
+
+@query(
+    "s3_s7_daily_run",
+    """SELECT symbol, strftime(date, '%Y-%m-%d') AS date, close, 'run-b' AS run_id
+       FROM bars_clean WHERE suppkey % 2 = 0""",
+)
+def s3_s7_daily_run(spark, sf):
+    """Two published runs; reading one selects its partition only."""
+    store = fresh_store(spark)
+    bars = v.bars_clean(spark, sf)
+    store.publish_daily(bars.where("suppkey % 2 = 1"), "run-a")
+    store.publish_daily(bars.where("suppkey % 2 = 0"), "run-b")
+    return store.read("normalized/daily", ["run-b"]).select("symbol", "date", "close", "run_id")
+
+
+@query(
+    "s4_intraday_partitions",
+    """SELECT symbol, strftime(ts_minute, '%Y-%m-%d') AS trading_date, count(*) AS row_count
+       FROM intraday_raw GROUP BY ALL""",
+)
+def s4_intraday_partitions(spark, sf):
+    store = fresh_store(spark)
+    store.publish_intraday(normalize.intraday_bars(v.intraday_raw(spark, sf), v.stamp()), "run-a")
+    return store.read("normalized/intraday").groupBy("symbol", "trading_date").agg(
+        F.count(F.lit(1)).alias("row_count")
+    )
+
+
+@query(
+    "s5_s8_snapshot_runs",
+    """SELECT 'run-a' AS run_id FROM supplier HAVING count(*) > 0
+       UNION ALL SELECT 'run-b' FROM supplier HAVING count(*) > 0""",
+)
+def s5_s8_snapshot_runs(spark, sf):
+    store = fresh_store(spark)
+    rows = normalize.universe_snapshot(v.universe_raw(spark, sf), "ASIA", v.stamp())
+    for run in ("run-a", "run-b"):
+        store.publish_snapshot(
+            rows, "normalized/universe", run, "snapshot_date", v.stamp().cast("date")
+        )
+    return store.run_ids("normalized/universe")
+
+
+@query(
+    "s6_source_files",
+    """SELECT symbol, 'run-a' AS run_id, count(*) AS row_count, true AS has_path
+       FROM bars_clean GROUP BY symbol""",
+)
+def s6_source_files(spark, sf):
+    store = fresh_store(spark)
+    store.publish_daily(v.bars_clean(spark, sf), "run-a")
+    rows = store.read("normalized/daily")
+    return rows.groupBy("symbol", "run_id").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.bool_and(F.contains("__input_path", F.concat(F.lit("symbol="), "symbol"))).alias(
+            "has_path"
+        ),
+    )
+
+
+@query(
+    "n22_input_paths",
+    "SELECT DISTINCT symbol FROM bars_clean",
+)
+def n22_input_paths(spark, sf):
+    """Distinct lineage paths, reduced to the symbol directory they point into."""
+    store = fresh_store(spark)
+    store.publish_daily(v.bars_clean(spark, sf), "run-a")
+    paths = s.input_paths(store.read("normalized/daily"))
+    return paths.select(
+        F.regexp_extract("__input_path", r"symbol=([^/]+)/", 1).alias("symbol")
+    ).distinct()
+
+
+@query(
+    "s9_manifests",
+    """SELECT 'run-' || o_orderstatus AS run_id, 'data backfill-daily' AS command,
+         count(*) AS normalized_row_count FROM orders GROUP BY o_orderstatus""",
+)
+def s9_manifests(spark, sf):
+    store = fresh_store(spark)
+    counts = v.table(spark, sf, "orders").groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("normalized_row_count")
+    )
+    store.append(
+        counts.select(
+            F.concat(F.lit("run-"), "o_orderstatus").alias("run_id"),
+            F.lit("data backfill-daily").alias("command"),
+            "normalized_row_count",
+        ),
+        "manifests",
+    )
+    return store.table("manifests")
+
+
+@query(
+    "s13_report",
+    """SELECT symbol, count(*) AS row_count FROM bars_raw GROUP BY symbol""",
+)
+def s13_report(spark, sf):
+    store = fresh_store(spark)
+    counts = v.bars_raw(spark, sf).groupBy("symbol").agg(F.count(F.lit(1)).alias("row_count"))
+    path = store.report(counts, "rows", "run-a")
+    return spark.read.schema("symbol string, row_count bigint").json(path)
+
+
+@query(
+    "s14_file_digest",
+    "SELECT true AS all_digested, true AS all_hex FROM lineitem HAVING count(*) > 0",
+)
+def s14_file_digest(spark, sf):
+    """SHA-256 of every landed evidence file."""
+    store = landed(spark, sf)
+    files = s.file_digests(spark, store.raw_path("daily", "0001"), "*.json")
+    return files.agg(
+        (F.count("sha256") == F.count(F.lit(1))).alias("all_digested"),
+        F.bool_and(F.col("sha256").rlike("^[0-9a-f]{64}$")).alias("all_hex"),
+    )
