@@ -576,7 +576,8 @@ def campaign_frames(spark, sf):
     state = staged(assessments(spark, sf))
     rows = staged(campaign.source_rows(state, stored_rows(spark, sf)))
     symbols = plan_symbols(spark, sf)
-    return symbols, state, rows, readiness.campaign_coverage(PLAN, symbols, state, rows, _CFG)
+    cov = staged(readiness.campaign_coverage(PLAN, symbols, state, rows, _CFG))
+    return symbols, state, rows, cov
 
 
 _READY_VIEWS = {

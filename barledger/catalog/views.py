@@ -47,7 +47,7 @@ def bars_raw(spark: SparkSession, sf: str) -> DataFrame:
         *LINE_ORDER,
         F.col("l_suppkey").alias("suppkey"),
         _symbol("l_suppkey").alias("symbol"),
-        F.when(~hit(113), F.date_format("l_shipdate", "yyyy-MM-dd")).alias("time"),
+        F.when(~hit(113), F.col("l_shipdate").cast("date").cast("string")).alias("time"),
         F.when(~hit(101), low).alias("open"),
         F.when(hit(97), low - 1).otherwise(low + qty).alias("high"),
         low.alias("low"),

@@ -16,12 +16,20 @@ from pyspark.sql import types as T
 
 EPOCH_MONDAY = "1970-01-05"
 
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
+# --- fixed values: characters that count as surrounding white space -------------------
+EDGE_SPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 _NUMBER = r"(?i)\A[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\z"
 _ISO_TIME = (
     r"\A\d{4}-\d{2}-\d{2}"
     r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?\s*(Z|[+-]\d{2}:?\d{2})?)?\z"
 )
+_ISO_DAY = (
+    r"(?U)\A\s*(\d{4}-\d{2}-\d{2})"
+    r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?\s*(Z|[+-]\d{2}:?\d{2})?)?\s*\z"
+)
 _ZONE_SUFFIX = r"\s*(Z|[+-]\d{2}:?\d{2})\z"
 _ZONE_AFTER_TIME = r"\A.{10}[T ].*(Z|[+-]\d{2}:?\d{2})\z"
 
@@ -34,7 +42,7 @@ def column_or_null(df: DataFrame, name: str, data_type: str | None = None) -> Co
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(EDGE_SPACE))
 
 
 def clean_text(c: Column) -> Column:
@@ -54,8 +62,7 @@ def number(c: Column, data_type: T.DataType) -> Column:
         text = strip(c)
         return F.when(text.rlike(_NUMBER), text.try_cast("double"))
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        value = c.cast("double")
-        return F.when(~F.isnan(value), value)
+        return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
     return c.cast("double")
 
 
@@ -68,12 +75,9 @@ def to_day(df: DataFrame, name: str) -> Column:
 
 def day(c: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.StringType):
-        text = strip(c)
-        wall = F.regexp_replace(text, _ZONE_SUFFIX, "")
-        parsed = F.when(
-            F.length(text) > 10, wall.try_cast("timestamp_ntz").cast("date")
-        ).otherwise(text.try_cast("date"))
-        return F.when(text.rlike(_ISO_TIME), parsed)
+        # One reference to the text: a range filter on the result is pushed below the
+        # projection, and every reference would repeat the parsing there.
+        return F.regexp_extract(c, _ISO_DAY, 1).try_cast("date")
     if isinstance(data_type, (T.NumericType, T.BooleanType)):
         return F.lit(None).cast("date")
     return c.cast("date")
@@ -196,9 +200,8 @@ def holds(predicate: Column) -> Column:
 
 
 def count_where(predicate: Column) -> Column:
-    return F.coalesce(F.sum(F.when(predicate, F.lit(1)).otherwise(F.lit(0))), F.lit(0)).cast(
-        "bigint"
-    )
+    """Rows where the predicate is true; a missing comparison does not count."""
+    return F.count_if(predicate)
 
 
 def any_of(predicates: Iterable[Column]) -> Column:
@@ -213,28 +216,32 @@ def null_ohlc() -> Column:
     return any_of(F.col(c).isNull() for c in ("open", "high", "low", "close"))
 
 
+# OHLC predicates may be NULL where a value is missing; ``greatest``/``least`` skip missing
+# values, so one comparison stands for several.
+
+
 def high_below_low() -> Column:
-    return holds(F.col("high") < F.col("low"))
+    return F.col("high") < F.col("low")
 
 
 def high_below_open_close() -> Column:
-    return holds(F.col("high") < F.col("open")) | holds(F.col("high") < F.col("close"))
+    return F.col("high") < F.greatest("open", "close")
 
 
 def low_above_open_close() -> Column:
-    return holds(F.col("low") > F.col("open")) | holds(F.col("low") > F.col("close"))
-
-
-def negative_price() -> Column:
-    return any_of(holds(F.col(c) < 0) for c in ("open", "high", "low", "close"))
+    return F.col("low") > F.least("open", "close")
 
 
 def invalid_ohlc() -> Column:
-    return high_below_low() | high_below_open_close() | low_above_open_close() | negative_price()
+    return (
+        (F.col("high") < F.greatest("low", "open", "close"))
+        | (F.col("low") > F.least("open", "close"))
+        | (F.least("open", "high", "low", "close") < 0)
+    )
 
 
 def non_integer(c: Column) -> Column:
-    return holds((c % F.lit(1.0)) != 0)
+    return (c % F.lit(1.0)) != 0
 
 
 def reasons(*pairs: tuple[Column, str]) -> Column:

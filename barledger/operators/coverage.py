@@ -33,8 +33,8 @@ from barledger.functions.exprs import (
     weekdays_between,
 )
 from barledger.operators.panel import require_columns
-from barledger.operators.sets import symbol_union
-from barledger.operators.units import provenance_facts, resolve_facts
+from barledger.operators.sets import symbol_union, union_all
+from barledger.operators.units import facts_of_records, provenance_records, resolve_facts
 
 
 @dataclass(frozen=True)
@@ -72,9 +72,9 @@ def day_facts(rows: DataFrame) -> DataFrame:
             count_where(null_ohlc()).alias("missing_ohlc"),
             count_where(invalid_ohlc()).alias("invalid_ohlc"),
             count_where(volume.isNull()).alias("missing_volume"),
-            count_where(holds(volume < 0)).alias("negative_volume"),
+            count_where(volume < 0).alias("negative_volume"),
             count_where(non_integer(volume)).alias("non_integer_volume"),
-            count_where(holds(volume == 0)).alias("zero_volume"),
+            count_where(volume == 0).alias("zero_volume"),
             *spread,
         )
         .withColumn("conflict", F.col("date").isNotNull() & (F.col("n") > 1) & differs)
@@ -82,39 +82,45 @@ def day_facts(rows: DataFrame) -> DataFrame:
     )
 
 
-def longest_gaps(days: DataFrame, keys: list[str] = ("symbol",)) -> DataFrame:
-    """Longest run of missing weekdays inside each key's observed span.
+def _gap_steps(days: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds the weekday gap before each day and the day's weekday index.
 
-    ``days`` has one row per key and date.  Weekday indexes replace an expanded calendar.
+    ``days`` has one row per key and date, so a key's window holds at most one row per
+    calendar day.  Weekday indexes replace an expanded calendar.
     """
-    keys = list(keys)
-    walk = Window.partitionBy(*keys).orderBy("date")
-    index = weekday_index(F.col("date"))
-    seen = F.max(F.when(is_weekday(F.col("date")), index)).over(
-        walk.rowsBetween(Window.unboundedPreceding, -1)
-    )
+    walk = Window.partitionBy(*keys).orderBy(F.col("date").asc_nulls_last())
+    weekday = is_weekday(F.col("date"))
+    index = F.when(weekday, weekday_index(F.col("date")))
+    seen = F.max(index).over(walk.rowsBetween(Window.unboundedPreceding, -1))
     start = weekday_index(F.date_sub(F.first("date").over(walk), 1))
-    gap = F.when(is_weekday(F.col("date")), index - F.coalesce(seen, start) - 1)
-    steps = days.where("date is not null").select(
-        *keys, "date", gap.alias("__gap"), F.when(is_weekday(F.col("date")), index).alias("__i")
+    return days.withColumns(
+        {"__gap": index - F.coalesce(seen, start) - 1, "__index": index}
     )
-    edge = F.coalesce(F.max("__i"), weekday_index(F.date_sub(F.min("date"), 1)))
+
+
+def _longest_gap() -> Column:
+    """Aggregate over gap steps: the longest run of missing weekdays in the observed span."""
+    edge = F.coalesce(F.max("__index"), weekday_index(F.date_sub(F.min("date"), 1)))
     tail = weekday_index(F.max("date")) - edge
-    return steps.groupBy(*keys).agg(
-        F.greatest(F.coalesce(F.max("__gap"), F.lit(0)), tail, F.lit(0))
-        .cast("bigint")
-        .alias("longest_missing_weekday_streak")
-    )
+    return F.greatest(F.coalesce(F.max("__gap"), F.lit(0)), tail, F.lit(0)).cast("bigint")
 
 
-def _symbol_facts(days: DataFrame, start, end) -> DataFrame:
+def longest_gaps(days: DataFrame, keys: list[str] = ("symbol",)) -> DataFrame:
+    """Longest run of missing weekdays inside each key's observed span."""
+    steps = _gap_steps(days.where("date is not null"), list(keys))
+    return steps.groupBy(*keys).agg(_longest_gap().alias("longest_missing_weekday_streak"))
+
+
+def _symbol_facts(days: DataFrame) -> DataFrame:
+    """Counts and the longest gap per symbol; window and aggregate share one shuffle."""
     dated = F.col("date").isNotNull()
     weekday = holds(is_weekday(F.col("date")))
 
     def total(c: Column) -> Column:
         return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
 
-    return days.groupBy("symbol").agg(
+    return _gap_steps(days, ["symbol"]).groupBy("symbol").agg(
+        _longest_gap().alias("longest_missing_weekday_streak"),
         F.min("date").alias("first_observation_date"),
         F.max("date").alias("last_observation_date"),
         total(F.col("n")).alias("observation_count"),
@@ -172,26 +178,26 @@ def audit_coverage(
     )
     in_scope = F.col("date").between(lit_date(start), lit_date(end)) | F.col("date").isNull()
     rows = rows.where(in_scope & F.col("symbol").isNotNull())
-    days = day_facts(rows)
-    stats = _symbol_facts(days, start, end)
-    gaps = longest_gaps(days)
-    units = provenance_facts(rows, ["symbol"])
+    stats = _symbol_facts(day_facts(rows))
 
     def listed(df: DataFrame, flag: str) -> DataFrame:
         named = df.select(F.upper(strip(F.col("symbol"))).alias("symbol")).where("symbol <> ''")
-        return named.distinct().withColumn(flag, F.lit(True))
-
-    in_universe, in_request = listed(universe, "in_universe"), listed(requested, "in_request")
-    spine = symbol_union([in_universe, in_request, stats])
-    joined = (
-        spine.join(stats, "symbol", "left")
-        .join(gaps, "symbol", "left")
-        .join(in_universe, "symbol", "left")
-        .join(in_request, "symbol", "left")
-        .join(units, "symbol", "left")
+        return named.withColumn(flag, F.lit(True))
+
+    sources = [listed(universe, "in_universe"), listed(requested, "in_request")]
+    spine = (
+        union_all([*sources, stats.select("symbol")])
+        .groupBy("symbol")
+        .agg(F.bool_or("in_universe").alias("in_universe"), F.bool_or("in_request").alias("in_request"))
     )
+    # Distinct (symbol, record, file) combinations serve both the unit policy and the
+    # file count, so the wide text columns are scanned once.
+    by = ["symbol", "__input_path"] if "__input_path" in rows.columns else ["symbol"]
+    records = provenance_records(rows, by)
+    units = facts_of_records(records, rows.columns, ["symbol"])
+    joined = spine.join(stats, "symbol", "left").join(units, "symbol", "left")
     if "__input_path" in rows.columns:
-        joined = joined.join(source_file_counts(rows), "symbol", "left")
+        joined = joined.join(source_file_counts(records), "symbol", "left")
     else:
         joined = joined.withColumn("source_file_count", F.lit(0))
     joined = joined.withColumns(

@@ -127,7 +127,7 @@ def availability(
         F.count(F.lit(1)).alias("n"),
         count_where(null_ohlc()).alias("missing_ohlc"),
         count_where(invalid_ohlc()).alias("invalid_ohlc"),
-        count_where(holds(F.col("volume") == 0)).alias("zero_volume"),
+        count_where(F.col("volume") == 0).alias("zero_volume"),
     )
     stats = per_day.groupBy("symbol").agg(
         F.min("date").alias("observed_start_date"),

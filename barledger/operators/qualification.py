@@ -88,8 +88,8 @@ def inspect_responses(
         F.max(inside).alias("inside"),
         F.max(holds(F.col("date") < F.col("p_start"))).alias("before"),
         F.max(holds(F.col("date") > F.col("p_end"))).alias("after"),
-        count_where(holds(F.col("volume") == 0)).alias("zero"),
-        count_where(holds(F.col("volume") > 0)).alias("positive"),
+        count_where(F.col("volume") == 0).alias("zero"),
+        count_where(F.col("volume") > 0).alias("positive"),
         count_where(flat).alias("flat"),
         *[count_where(F.col(c).isNull()).alias(f"null_{c}") for c in VALUE_COLUMNS],
         *[count_where(holds(x.fails)).alias(f"r_{x.name}") for x in rules],

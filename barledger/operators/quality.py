@@ -96,7 +96,7 @@ def daily_row_rules(as_of: dt.date | str) -> list[Rule]:
 
 
 def daily_row_blocked(as_of: dt.date | str) -> Column:
-    return any_of(holds(r.fails) for r in daily_row_rules(as_of))
+    return any_of(r.fails for r in daily_row_rules(as_of))
 
 
 def _sortedness(

@@ -18,7 +18,7 @@ from barledger.contracts import (
     PROVIDER,
     SOURCE_PROVENANCE_COLUMNS,
 )
-from barledger.functions.exprs import all_of, any_of, count_where, strip
+from barledger.functions.exprs import all_of, any_of, strip
 
 
 @dataclass(frozen=True)
@@ -124,15 +124,8 @@ def matches_record(record: UnitProvenance, source: str | None = None) -> Column:
     )
 
 
-def provenance_facts(df: DataFrame, by: list[str] = ()) -> DataFrame:
-    """Facts the resolver needs, one row per group (exactly one row without a group).
-
-    Rows first collapse to distinct provenance records (few), map-side; only those reach
-    the second aggregate.
-    """
-    by = list(by)
-    present = [c for c in SOURCE_PROVENANCE_COLUMNS if c in df.columns]
-    absent = [c for c in PROVENANCE_COLUMNS if c not in df.columns]
+def provenance_records(df: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Distinct provenance records per group with their row count; few rows, combined map-side."""
     typed = df.select(
         *by,
         *[
@@ -140,9 +133,22 @@ def provenance_facts(df: DataFrame, by: list[str] = ()) -> DataFrame:
             for c in PROVENANCE_COLUMNS
         ],
     )
-    records = typed.groupBy(*by, *PROVENANCE_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+    return typed.groupBy(*by, *PROVENANCE_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+
+
+def provenance_facts(df: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Facts the resolver needs, one row per group (exactly one row without a group)."""
+    return facts_of_records(provenance_records(df, list(by)), df.columns, by)
+
+
+def facts_of_records(records: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
+    """Facts from distinct records; ``columns`` are those of the frame the records came from."""
+    by = list(by)
+    present = [c for c in SOURCE_PROVENANCE_COLUMNS if c in columns]
+    absent = [c for c in PROVENANCE_COLUMNS if c not in columns]
     no_source = all_of(F.col(c).isNull() for c in SOURCE_PROVENANCE_COLUMNS)
     complete = all_of(F.col(c).isNotNull() for c in PROVENANCE_COLUMNS)
+    record = F.when(complete, F.struct(*PROVENANCE_COLUMNS))
     texts = {
         alias: F.nullif(strip(F.col(c)), F.lit("")) for c, alias in _UNIFORM.items()
     }
@@ -150,8 +156,8 @@ def provenance_facts(df: DataFrame, by: list[str] = ()) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0)).alias("fact_rows"),
         F.coalesce(F.sum(F.when(no_source, F.col("n"))), F.lit(0)).alias("fact_no_source"),
         F.coalesce(F.sum(F.when(complete, F.col("n"))), F.lit(0)).alias("fact_complete"),
-        count_where(complete).alias("fact_complete_records"),
-        F.max(F.when(complete, F.struct(*PROVENANCE_COLUMNS))).alias("fact_record"),
+        F.coalesce(F.max(record) == F.min(record), F.lit(True)).alias("fact_one_record"),
+        F.max(record).alias("fact_record"),
         *[
             F.when(F.min(t) == F.max(t), F.min(t)).alias(f"fact_uniform_{a}")
             for a, t in texts.items()
@@ -183,7 +189,7 @@ def _status() -> Column:
         .when(f("fact_no_source") == f("fact_rows"), "legacy_missing")
         .when((f("fact_complete") < f("fact_rows")) & (f("fact_complete") > 0), "ambiguous")
         .when(f("fact_complete") < f("fact_rows"), "incomplete")
-        .when(f("fact_complete_records") > 1, "ambiguous")
+        .when(~f("fact_one_record"), "ambiguous")
         .when(~valid, "incompatible")
         .when(~registered, "unregistered")
         .otherwise("verified")
