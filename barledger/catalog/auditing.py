@@ -18,6 +18,7 @@ from barledger.catalog.registry import query
 from barledger.contracts import COVERAGE_STATUSES, PROVENANCE_COLUMNS
 from barledger.operators import coverage, normalize
 from barledger.operators.sets import symbol_union, upper_symbols
+from barledger.sources.staging import staged
 
 AUDIT = ("1995-01-02", "2001-11-04")
 CONFIG = coverage.CoverageConfig(365, 0.205, 10, 0.2)
@@ -33,8 +34,10 @@ def audit_daily(spark, sf):
         carry=["suppkey", F.col("l_orderkey").alias("orderkey")],
     )
     rows = good.unionByName(bad, allowMissingColumns=True)
-    return rows.withColumn(
-        "__input_path", F.concat(F.lit("part-"), (F.col("orderkey") % 3).cast("string"))
+    return staged(
+        rows.withColumn(
+            "__input_path", F.concat(F.lit("part-"), (F.col("orderkey") % 3).cast("string"))
+        )
     )
 
 

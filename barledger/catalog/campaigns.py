@@ -107,12 +107,13 @@ def stored_rows(spark, sf):
     have = runs(spark, sf).where("k % 120 <> 40").select(
         "k", "run_id", "symbol", "chunk_start", "run_end"
     )
-    bars = v.bars_prov(spark, sf).join(have, "symbol")
+    source = v.bars_prov(spark, sf)
+    bars = source.join(have, "symbol")
     k = F.col("k")
-    return bars.where("date between chunk_start and run_end").select(
+    rows = bars.where("date between chunk_start and run_end").select(
         "run_id",
         F.col("symbol").alias("partition_symbol"),
-        *[c for c in v.bars_prov(spark, sf).columns if c not in ("suppkey", "exchange", "high")],
+        *[c for c in source.columns if c not in ("suppkey", "exchange", "high")],
         F.when(F.col("orderkey") % 997 == 0, F.col("low") - 1)
         .otherwise(F.col("high"))
         .alias("high"),
@@ -125,6 +126,7 @@ def stored_rows(spark, sf):
             .otherwise(F.lit("")),
         ).alias("__input_path"),
     )
+    return staged(rows)
 
 
 def attempts(spark, sf):

@@ -11,13 +11,14 @@ from barledger.contracts import EFFECTIVE_UNIT_COLUMNS
 from barledger.functions import exprs as x
 from barledger.operators import normalize, panel, universe
 from barledger.operators.units import (
+    KBS,
     PROVENANCE_COLUMNS,
+    VCI,
     ensure_provenance_columns,
     matches_record,
-    KBS,
-    VCI,
     unit_policy,
 )
+from barledger.sources.staging import staged
 
 SNAPSHOT_TEXT = ["2024-01-30T00:00:00Z", "2024-01-31T00:00:00Z", "2024-02-05 00:00:00"]
 
@@ -354,7 +355,7 @@ def liquidity_input(spark, sf):
         F.lit(5.0).alias("volume"),
     )
     bars = v.bars_prov(spark, sf).select("symbol", "date", "close", "volume", *PROVENANCE_COLUMNS)
-    return bars.unionByName(weekend, allowMissingColumns=True)
+    return staged(bars.unionByName(weekend, allowMissingColumns=True))
 
 
 LIQUIDITY_CONFIG = panel.LiquidityConfig(20, 3, 0.2, 0.2, 25.0)

@@ -12,6 +12,7 @@ from barledger.catalog.registry import query
 from barledger.contracts import VALUE_COLUMNS
 from barledger.functions import exprs as x
 from barledger.operators import forensics, normalize
+from barledger.sources.staging import staged
 
 POSITION = F.struct(*v.LINE_ORDER)
 
@@ -34,12 +35,13 @@ def task_rows(spark, sf):
         }
     )
     before = F.lag("close").over(Window.partitionBy("task_id").orderBy("date"))
-    return rows.withColumns(
+    planted = rows.withColumns(
         {
             "open": F.when((k % 59 == 0) & before.isNotNull(), before).otherwise(F.col("open")),
             "high": F.when(k % 1009 == 0, F.col("low") - 1).otherwise(F.col("high")),
         }
     ).select("task_id", "symbol", "suppkey", "orderkey", "date", *VALUE_COLUMNS)
+    return staged(planted)
 
 
 def stored_copy(rows):
@@ -179,7 +181,7 @@ def j11_positional(spark, sf):
 # --- stale edges ---------------------------------------------------------------------
 
 
-def staged(spark, sf):
+def staged_tasks(spark, sf):
     """(assessments, rows per run): failed, stale and complete tasks by supplier number."""
     rows = task_rows(spark, sf)
     last = rows.groupBy("task_id").agg(
@@ -228,7 +230,7 @@ def _raw_days(rows):
     _STAGED,
 )
 def j10_next_observation(spark, sf):
-    state, rows = staged(spark, sf)
+    state, rows = staged_tasks(spark, sf)
     return forensics.next_observation(_stale_edges(state), state, _raw_days(rows))
 
 
@@ -248,7 +250,7 @@ _CATEGORY_SQL = f"""CASE WHEN NOT exact THEN 'stored_normalization_mismatch_requ
     _STAGED,
 )
 def a15_stale_edge(spark, sf):
-    state, rows = staged(spark, sf)
+    state, rows = staged_tasks(spark, sf)
     edges = _stale_edges(state)
     later = forensics.next_observation(edges, state, _raw_days(rows))
     compared = forensics.compare_raw_and_stored(rows, stored_copy(rows), ["task_id"], "orderkey")
@@ -264,7 +266,7 @@ def a15_stale_edge(spark, sf):
 
 
 def records(spark, sf):
-    state, rows = staged(spark, sf)
+    state, rows = staged_tasks(spark, sf)
     k = F.col("k")
     manifests = state.where("k % 25 <> 1").select(
         F.col("selected_run_id").alias("run_id"),

@@ -70,7 +70,7 @@ def responses(spark, sf):
     )
     ordinal = F.datediff("date", x.lit_date("1990-01-01")) * 100000 + F.col("l_orderkey") % 100000
     backwards = (F.col("suppkey") % 7 == 3) | ((F.col("suppkey") % 20 == 10) & F.col("repeat"))
-    return kept.select(
+    landed = kept.select(
         "probe_id", "symbol", "date", *v.LINE_ORDER,
         "open",
         F.when(F.col("l_orderkey") % 97 == 0, F.col("low") - 1)
@@ -79,6 +79,7 @@ def responses(spark, sf):
         "low", "close", "volume",
         F.when(backwards, 1000000000 - ordinal).otherwise(ordinal).cast("bigint").alias("position"),
     )
+    return staged(landed)
 
 
 def in_window(spark, sf, rows, base: bool):
@@ -272,19 +273,9 @@ def a20_determinism(spark, sf):
 )
 def j8_source_compare(spark, sf):
     """Days of each comparable probe by presence on either side."""
-    base, other = sides(spark, sf)
-    both = q._paired(base, other)
-    ok = (
-        comparisons(spark, sf).where("compared").select("probe_id")
-    )
-    presence = (
-        F.when(F.col("base_n").isNull(), "right_only")
-        .when(F.col("other_n").isNull(), "left_only")
-        .otherwise("both")
-    )
-    return both.join(ok, "probe_id", "left_semi").select(
-        "probe_id", "date", presence.alias("presence")
-    )
+    ok = comparisons(spark, sf).where("compared").select("probe_id")
+    days = q.date_presence(*sides(spark, sf))
+    return days.join(ok, "probe_id", "left_semi").drop("symbol")
 
 
 @query(

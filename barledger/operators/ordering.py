@@ -29,14 +29,23 @@ def exact_rank(
     ``position`` is the row's integral input ordinal.  Sub-buckets are (key, day,
     position // width); only their counts are windowed over the key.
     """
-    bucket = F.floor(F.col(position) / F.lit(width)).cast("bigint")
-    rows = df.withColumn("__bucket", bucket).withColumn(
-        "__day", F.coalesce(F.col(day).cast("string"), F.lit("~"))
+    # Hidden non-null text keys: the offset join is a plain equality and shares its shuffle
+    # with the window inside a sub-bucket.
+    hidden = {
+        f"__k{i}": F.coalesce(F.col(k).cast("string"), F.lit("\u0000"))
+        for i, k in enumerate(keys)
+    }
+    rows = df.withColumns(
+        {
+            **hidden,
+            "__day": F.coalesce(F.col(day).cast("string"), F.lit("~")),
+            "__bucket": F.floor(F.col(position) / F.lit(width)).cast("bigint"),
+        }
     )
-    cell = [*keys, "__day", "__bucket"]
+    cell = [*hidden, "__day", "__bucket"]
     sizes = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n"))
     before = (
-        Window.partitionBy(*keys)
+        Window.partitionBy(*hidden)
         .orderBy("__day", "__bucket")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -44,18 +53,9 @@ def exact_rank(
         *cell, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")
     )
     inside = Window.partitionBy(*cell).orderBy(position, *ties)
-    joined = rows.join(offsets, on=_null_safe(rows, offsets, cell), how="inner")
-    joined = joined.select(rows["*"], offsets["__offset"])
-    return joined.withColumn(
+    return rows.join(offsets, cell).withColumn(
         name, (F.row_number().over(inside) + F.col("__offset")).cast("bigint")
-    ).drop("__bucket", "__day", "__offset")
-
-
-def _null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & left[c].eqNullSafe(right[c])
-    return condition
+    ).drop(*cell, "__offset")
 
 
 def order_breaks(

@@ -215,6 +215,19 @@ def _paired(base: DataFrame, other: DataFrame) -> DataFrame:
     )
 
 
+def date_presence(base: DataFrame, other: DataFrame) -> DataFrame:
+    """Every day of a probe with the side it occurs on: both, left_only or right_only."""
+    return _paired(base, other).select(
+        PROBE,
+        "symbol",
+        "date",
+        F.when(F.col("base_n").isNull(), "right_only")
+        .when(F.col("other_n").isNull(), "left_only")
+        .otherwise("both")
+        .alias("presence"),
+    )
+
+
 def _differs(c: str) -> Column:
     return ~F.col(f"base_{c}").eqNullSafe(F.col(f"other_{c}"))
 
