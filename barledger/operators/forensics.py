@@ -280,10 +280,13 @@ def forensic_records(
 
     raw_rows = of_tasks(raw, None)
     reference = of_tasks(normalized_raw, "failed").unionByName(of_tasks(stored, "stale"))
-    comparison = compare_raw_and_stored(raw_rows, reference, ["task_id"], "position")
+    comparison = compare_raw_and_stored(
+        raw_rows, reference, ["task_id"], "position", VALUE_COLUMNS
+    )
+    order = F.struct("position", *VALUE_COLUMNS)
     ohlc = classify_ohlc(
         tasks.where("status = 'failed'"), of_tasks(normalized_raw, "failed"), ["task_id"],
-        F.col("position"),
+        order,
     )
     stored_rows = of_tasks(stored, "stale")
     edges = stored_rows.groupBy("task_id").agg(
@@ -293,8 +296,8 @@ def forensic_records(
     later = next_observation(
         stale, assessments, raw.select("run_id", "symbol", "date").where("date is not null").distinct()
     )
-    raw_edge = edge_rows(raw_rows, edges, F.col("position"), "raw")
-    stored_edge = edge_rows(stored_rows, edges, F.col("position"), "stored")
+    raw_edge = edge_rows(raw_rows, edges, order, "raw")
+    stored_edge = edge_rows(stored_rows, edges, order, "stored")
     known = manifests.select(
         F.col("run_id").alias("selected_run_id"),
         F.lit(True).alias("manifest_found"),
@@ -434,3 +437,20 @@ def forensic_summary(records: DataFrame) -> DataFrame:
         total("fix").alias("tasks_requiring_code_fix"),
         *[total(r).alias(f"{r}_count") for r in RELATIONS],
     )
+
+
+def attach_artifacts(records: DataFrame, artifacts: DataFrame) -> DataFrame:
+    """Evidence paths and digests of each record's run.
+
+    ``artifacts`` has one row per (run_id, kind) with ``path`` and ``sha256``; kind is
+    ``raw`` or ``normalized``.
+    """
+    result = records
+    for kind in ("raw", "normalized"):
+        side = artifacts.where(F.col("kind") == kind).select(
+            F.col("run_id").alias("selected_run_id"),
+            F.col("path").alias(f"{kind}_path"),
+            F.col("sha256").alias(f"{kind}_sha256"),
+        )
+        result = result.join(side, "selected_run_id", "left")
+    return result

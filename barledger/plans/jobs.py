@@ -13,10 +13,27 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barledger.contracts import ASSEMBLED_VERSION, NORMALIZED_DAILY_VERSION, PROVIDER
+from barledger.contracts import (
+    ASSEMBLED_VERSION,
+    NORMALIZED_DAILY_VERSION,
+    PROVIDER,
+    VALUE_COLUMNS,
+)
 from barledger.functions.exprs import lit_date
 from barledger.operators import campaign as camp
-from barledger.operators import checks, coverage, normalize, panel, quality, readiness, universe
+from barledger.operators import (
+    checks,
+    coverage,
+    forensics,
+    normalize,
+    panel,
+    profile,
+    qualification,
+    quality,
+    readiness,
+    redaction,
+    universe,
+)
 from barledger.operators.campaign import CampaignPlan
 from barledger.operators.ordering import duplicate_counts
 from barledger.operators.sets import frame_differences, union_all
@@ -28,6 +45,7 @@ from barledger.sources.store import (
     RAW_INTRADAY_SCHEMA,
     RAW_UNIVERSE_SCHEMA,
     MarketStore,
+    run_digests,
 )
 
 RECEIPTS = (
@@ -519,6 +537,124 @@ def assemble_campaign(store: MarketStore, plan: CampaignPlan, symbols: DataFrame
     return dataset_id
 
 
+# --- forensics, qualification, profiles -----------------------------------------------
+
+
+def forensic_audit(
+    store: MarketStore, plan: CampaignPlan, run_id: str, as_of: str
+) -> dict[str, DataFrame]:
+    """Classify every failed and stale task from landed and published rows.
+
+    Landed JSON lines carry no ordinal, so rows of one date are ordered by their values.
+    """
+    frames = assess_campaign(store, plan, as_of)
+    state = frames["assessments"]
+    raw = normalize.daily_bars(
+        store.read_raw("daily", RAW_DAILY_SCHEMA), F.lit(None).cast("timestamp"), plan.exchange,
+        plan.provenance, carry=["run_id"],
+    ).withColumn("position", F.lit(0).cast("bigint"))
+    raw = staged(raw)
+    stored = frames["rows"].withColumn("position", F.lit(0).cast("bigint"))
+    manifests = store.manifests().withColumn("readable", F.lit(True))
+    records = forensics.forensic_records(plan.end, state, manifests, raw, raw, stored)
+    artifacts = union_all(
+        [
+            run_digests(store.spark, f"{store.root}/raw/dataset=daily", "raw", "*.json"),
+            run_digests(
+                store.spark, store.dataset_path("normalized/daily"), "normalized", "*.parquet"
+            ),
+        ]
+    )
+    records = staged(forensics.attach_artifacts(records, artifacts))
+    summary = forensics.forensic_summary(records)
+    expected = forensics.unresolved_tasks(state).agg(F.count(F.lit(1))).scalar()
+    facts = summary.withColumn("expected", expected)
+    results = union_all(
+        [
+            checks.fact_check(
+                facts, "campaign_forensics", name,
+                F.when(fails, checks.ERROR).otherwise(checks.INFO), F.lit(True), affected,
+            )
+            for name, fails, affected in (
+                (
+                    "all_failed_and_stale_tasks_classified",
+                    F.col("classified_task_count") != F.col("expected"),
+                    F.abs(F.col("classified_task_count") - F.col("expected")),
+                ),
+                (
+                    "required_local_evidence_available",
+                    F.col("tasks_missing_required_local_evidence") > 0,
+                    F.col("tasks_missing_required_local_evidence"),
+                ),
+                (
+                    "code_defects_resolved",
+                    F.col("tasks_requiring_code_fix") > 0,
+                    F.col("tasks_requiring_code_fix"),
+                ),
+            )
+        ]
+    )
+    store.report(records, "forensic_records", run_id)
+    store.report(summary, "forensic_summary", run_id)
+    return {"records": records, "summary": summary, "results": results}
+
+
+def qualify_source(
+    probes: DataFrame,
+    responses: DataFrame,
+    base: DataFrame,
+    as_of: str,
+    record: UnitProvenance,
+    position: str = "position",
+    ties: list[str] = (),
+) -> dict[str, DataFrame]:
+    """Inspect probe responses, compare them with the base source, derive the verdict.
+
+    ``responses`` and ``base`` are normalized rows; ``responses`` carries probe_id and the
+    landed ordinal, ``base`` is matched to probes by symbol and window.
+    """
+    window = probes.select("probe_id", "symbol", "start_date", "end_date")
+    keep = ["probe_id", "symbol", "date", *VALUE_COLUMNS]
+    inside = F.col("date").between(F.col("start_date"), F.col("end_date"))
+    ours = base.join(window, "symbol").where(inside).select(*keep)
+    theirs = responses.join(window, ["probe_id", "symbol"]).where(inside).select(*keep)
+    inspected = staged(
+        qualification.inspect_responses(probes, responses, position, as_of, ties)
+    )
+    compared = staged(qualification.compare_sources(probes, ours, theirs))
+    groups = qualification.determinism(inspected)
+    row = staged(
+        qualification.verdict(
+            qualification.criteria(
+                inspected, compared, groups, qualification.unit_contract_registered(record)
+            )
+        )
+    )
+    return {
+        "inspected": inspected,
+        "comparisons": compared,
+        "differences": qualification.top_differences(ours, theirs),
+        "determinism": groups,
+        "verdict": row,
+        "accounting": qualification.comparison_accounting(compared),
+        "failures": qualification.failure_rows(inspected, compared, row),
+        "checks": qualification.expectation_checks(inspected),
+        "units": qualification.unit_decision(responses),
+    }
+
+
+def profile_landed(frames: dict[str, DataFrame], required: dict[str, list[str]]) -> DataFrame:
+    """Profiles of several landed frames, one row each, with their capability status."""
+    rows = [
+        profile.profile(df, required.get(name, [])).withColumn("capability_name", F.lit(name))
+        for name, df in frames.items()
+    ]
+    status = F.when(F.col("error_category") == "NONE", "VERIFIED").otherwise(
+        redaction.category_status(F.col("error_category"))
+    )
+    return union_all(rows).withColumn("status", status)
+
+
 # --- stored data ----------------------------------------------------------------------
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barledger.functions.digests import multiset_digest
+
 
 CORRUPT = "_corrupt_record"
 RAW_DAILY_SCHEMA = (
@@ -187,6 +189,19 @@ def file_digests(spark: SparkSession, path: str, pattern: str | None = None) ->
     return reader.load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
+def run_digests(spark: SparkSession, path: str, kind: str, pattern: str | None = None) -> DataFrame:
+    """One digest per run over the digests of all its files below ``path``."""
+    run_dir = r"^(.*/run_id=([^/]+))/"
+    files = file_digests(spark, path, pattern).select(
+        F.regexp_extract("path", run_dir, 2).alias("run_id"),
+        F.regexp_extract("path", run_dir, 1).alias("path"),
+        "sha256",
+    )
+    return files.groupBy("run_id", "path").agg(
+        multiset_digest(F.col("sha256")).alias("sha256")
+    ).withColumn("kind", F.lit(kind))
+
+
 def evidence_locations(manifests: DataFrame, conventional: DataFrame) -> DataFrame:
     """Raw evidence per run: the manifest's declared path first, else the usual location."""
     declared = (
@@ -217,5 +232,6 @@ __all__ = [
     "evidence_locations",
     "file_digests",
     "input_paths",
+    "run_digests",
     "stamp_source",
 ]

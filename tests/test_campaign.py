@@ -225,3 +225,29 @@ def test_adoption(spark, store):
     jobs.ingest_daily(store, "short", ["HPG"], PLAN.start, "2026-07-01", provenance=KBS, as_of=AS_OF)
     with pytest.raises(ValueError, match="range_not_aligned"):
         jobs.adopt_run(store, PLAN, "short", AS_OF)
+
+
+def test_forensic_audit_job(spark, store):
+    run(store, "fpt-0", "FPT", 0, DAYS[0])
+    bad = flat_bars(spark, [("FPT", d, 10.0, 5) for d in DAYS[1]]).withColumn(
+        "close", F.when(F.col("time") == DAYS[1][1], 11.0).otherwise(F.col("close"))
+    )
+    tags = {"request_start_date": F.lit(CHUNKS[1][0]), "request_end_date": F.lit(CHUNKS[1][1])}
+    store.land(bad, "daily", "fpt-1", tags)
+    failed = jobs.ingest_daily(
+        store, "fpt-1", ["FPT"], *CHUNKS[1], provenance=KBS, as_of=AS_OF,
+        campaign=("camp-a", task("FPT", 1)),
+    )
+    assert failed.status == "failed"
+    run(store, "hpg-0", "HPG", 0, DAYS[0][:1])
+    run(store, "hpg-1", "HPG", 1, DAYS[1])
+    out = jobs.forensic_audit(store, PLAN, "audit-1", AS_OF)
+    got = {r.task_id: r for r in out["records"].collect()}
+    close = got[task("FPT", 1)]
+    assert close.root_cause_category == "kbs_close_outside_reported_range_semantics_unresolved"
+    assert close.raw_sha256 and close.evidence_complete and close.normalized_path is None
+    stale = got[task("HPG", 0)]
+    assert stale.root_cause_category == "historical_missing_tail_with_later_resumption"
+    assert stale.normalized_sha256 and str(stale.next_observation_date) == DAYS[1][0]
+    found = names(out["results"])
+    assert {r.severity for r in found.values()} == {"INFO"} and len(found) == 3

@@ -238,3 +238,31 @@ def test_redaction(spark):
     r = redaction.redact(rows, ["t", "m", "a"], ["abc123", ""]).first()
     assert r.t == "key [REDACTED] here" and r.a == ["[REDACTED]"]
     assert r.m == {"Api_Key": "[REDACTED]", "note": "[REDACTED]"}
+
+
+def test_qualify_source_job(spark):
+    from barledger.operators.units import VCI
+    from barledger.plans.jobs import profile_landed, qualify_source
+
+    base = daily(spark, [("FPT", d, 10.0, 5) for d in WINDOW[1:3]])
+    out = qualify_source(probe(spark), response(spark, WINDOW), base, "2026-07-04", VCI)
+    r = out["comparisons"].first()
+    assert (r.overlapping_date_count, r.other_only_date_count, r.exact_match_count) == (2, 1, 2)
+    assert out["verdict"].first().final_verdict == "rejected"
+    assert {x.failure for x in out["failures"].collect()} == {"no_wrapper_level_failure"}
+    assert all(x.severity == "INFO" for x in out["checks"].collect())
+    landed = {"bars": base, "names": symbols(spark, ["x"])}
+    rows = {x.capability_name: x.status for x in profile_landed(landed, {"names": ["time"]}).collect()}
+    assert rows == {"bars": "VERIFIED", "names": "INVALID_SCHEMA"}
+
+
+def test_evidence_locations(spark):
+    from barledger.sources.store import evidence_locations
+
+    manifests = spark.createDataFrame(
+        [("r1", ["/s/raw/x", "/s/normalized/y"]), ("r2", ["/s/normalized/z"])],
+        "run_id string, output_paths array<string>",
+    )
+    usual = spark.createDataFrame([("r1", "/u/1"), ("r2", "/u/2")], "run_id string, path string")
+    got = {r.run_id: r.raw_path for r in evidence_locations(manifests, usual).collect()}
+    assert got == {"r1": "/s/raw/x", "r2": "/u/2"}
