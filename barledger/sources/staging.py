@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names; a temporary one only where none is configured."""
+    """The folder the cluster names; a temporary one only in local mode without a setting."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("Set spark.checkpoint.dir to a shared folder before running on a cluster.")
     fallback = tempfile.mkdtemp(prefix="spark-")
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
