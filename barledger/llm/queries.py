@@ -6,18 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barledger.llm import superminhash
+from barledger.llm import suffix_dedup, superminhash
 from barledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.report(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_suffix_dedup": _op2,
         "op7_superminhash": _op7,
     }
 
