@@ -6,24 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barledger.llm import suffix_dedup, superminhash
+from barledger.llm import divergence, nbest, suffix_dedup, superminhash, templates, token_cache
 from barledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+def _documents(report: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: report(table(spark, sf_dir, "documents"))
 
 
-def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return superminhash.report(table(spark, sf_dir, "documents"))
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Query]:
     return {
-        "op2_suffix_dedup": _op2,
-        "op7_superminhash": _op7,
+        "op1_divergence": _documents(divergence.report),
+        "op2_suffix_dedup": _documents(suffix_dedup.report),
+        "op5_token_cache": _documents(token_cache.report),
+        "op7_superminhash": _documents(superminhash.report),
+        "op8_nbest": _documents(nbest.report),
+        "op10_templates": _op10,
     }
 
 
