@@ -6,30 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barledger.llm import divergence, nbest, suffix_dedup, superminhash, templates, token_cache
+from barledger.llm import chat, divergence, fixity, idcoder, nbest, segments, suffix_dedup, superminhash, templates, token_cache
 from barledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _documents(report: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: report(table(spark, sf_dir, "documents"))
+def _over(report: Callable[..., DataFrame], *tables: str) -> Query:
+    return lambda spark, sf_dir: report(*(table(spark, sf_dir, t) for t in tables))
 
 
-def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return templates.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.report(rows.unionByName(chat.planted(spark)))
 
 
 def queries() -> dict[str, Query]:
     return {
-        "op1_divergence": _documents(divergence.report),
-        "op2_suffix_dedup": _documents(suffix_dedup.report),
-        "op5_token_cache": _documents(token_cache.report),
-        "op7_superminhash": _documents(superminhash.report),
-        "op8_nbest": _documents(nbest.report),
-        "op10_templates": _op10,
+        "op1_divergence": _over(divergence.report, "documents"),
+        "op2_suffix_dedup": _over(suffix_dedup.report, "documents"),
+        "op3_id_coder": _over(idcoder.report, "documents"),
+        "op4_chat_format": _op4,
+        "op5_token_cache": _over(token_cache.report, "documents"),
+        "op6_fixity": _over(fixity.report, "pages"),
+        "op7_superminhash": _over(superminhash.report, "documents"),
+        "op8_nbest": _over(nbest.report, "documents"),
+        "op9_segments": _over(segments.report, "documents", "labels"),
+        "op10_templates": _over(templates.report, "documents", "benchmark"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_chat_format": chat.SQL, "op6_fixity": fixity.SQL}
