@@ -28,11 +28,11 @@ from barledger.llm.chunked import public_path, tokenizer
 from barledger.llm.common import NO_ID, doc_key, shared_dir, text_or_empty
 
 MAGIC = b"CMR1"
-BLOCK_IDS = 8192
+BLOCK_IDS = 4096
 #: Blocks coded side by side.
-LANES = 1024
+LANES = 2048
 END_ID = 0
-_SLOTS = 1 << 12
+_SLOTS = 1 << 11
 _HEAD = struct.Struct("<4sIIIIB")
 
 
@@ -62,69 +62,73 @@ SQUASH, STRETCH = _curves()
 
 
 class _Model:
-    """State of the predictors of ``n`` blocks."""
+    """State of the predictors of ``n`` blocks; the live ones are always the first ``k``."""
 
     def __init__(self, n: int, low_bits: int):
-        self.n, self.low_bits = n, low_bits
+        self.low_bits = low_bits
         self.t2 = np.zeros(n * _SLOTS, np.int32)
         self.t1 = np.zeros(n * _SLOTS, np.int32)
-        self.hit2 = np.full(n * 32, 1024, np.int64)
-        self.hit1 = np.full(n * 32, 1024, np.int64)
-        self.hit0 = np.full(n, 1024, np.int64)
+        self.slot = np.arange(n, dtype=np.int64) * _SLOTS
+        self.row32 = np.arange(n, dtype=np.int64) * 32
+        # order-2 and order-1 estimates by confidence and agreement, order-0 hit rate
+        self.hit = np.full((2, n * 32), 1024, np.int64)
+        self.q = np.full((3, n), 1024, np.int64)
         self.hit_b = np.full(n * 16, 1024, np.int64)
         self.weight = np.full((3, n), 24000, np.int64)
         self.group = np.ones((n, 16), np.int64)
-        self.member = np.ones((n, 16, 16), np.int64)
+        self.member = np.ones((n * 16, 16), np.int64)
         self.c1 = np.zeros(n, np.int64)
         self.c2 = np.zeros(n, np.int64)
 
-    def guess(self, live: np.ndarray):
-        c1, c2 = self.c1[live], self.c2[live]
-        i2 = live * _SLOTS + (((c1 * 40503 + c2 * 30011) >> 3) & (_SLOTS - 1))
-        i1 = live * _SLOTS + (((c1 * 40503) >> 2) & (_SLOTS - 1))
-        e2, e1 = self.t2[i2].astype(np.int64), self.t1[i1].astype(np.int64)
-        p2, p1 = e2 >> 4, e1 >> 4
-        f2, f1 = e2 & 15, e1 & 15
-        agree = p1 == p2
-        k2, k1 = live * 32 + f2 * 2 + agree, live * 32 + f1 * 2 + agree
-        q = np.stack((self.hit2[k2], self.hit1[k1], self.hit0[live]))
-        s = STRETCH[q]
-        w = self.weight[:, live]
-        dot = np.clip((w * s).sum(0) >> 16, -2047, 2047)
-        p = SQUASH[dot + 2048]
-        return p, (i2, i1, p2, p1, f2, f1, agree, k2, k1, q, s, p)
-
-    def learn(self, live: np.ndarray, ids: np.ndarray, was: tuple) -> None:
-        i2, i1, p2, p1, f2, f1, agree, k2, k1, q, s, p = was
-        hit = ids == p2
+    def guess(self, k: int) -> None:
+        """Guesses p2 and p1, their confidence, and the chance ``p`` (of 4096) that p2 is right."""
+        h = self.c1[:k] * 40503
+        self.i1 = self.slot[:k] + ((h >> 2) & (_SLOTS - 1))
+        h += self.c2[:k] * 30011
+        self.i2 = self.slot[:k] + ((h >> 3) & (_SLOTS - 1))
+        e2, e1 = self.t2.take(self.i2), self.t1.take(self.i1)
+        self.p2, self.p1, self.f2, self.f1 = e2 >> 4, e1 >> 4, e2 & 15, e1 & 15
+        self.agree = self.p1 == self.p2
+        at = self.row32[:k] + self.agree
+        self.k2, self.k1 = at + (self.f2 << 1), at + (self.f1 << 1)
+        q = self.q[:, :k]
+        q[0], q[1] = self.hit[0].take(self.k2), self.hit[1].take(self.k1)
+        self.s = STRETCH.take(q)
+        dot = (self.weight[:, :k] * self.s).sum(0) >> 16
+        self.p = SQUASH.take(np.clip(dot, -2047, 2047) + 2048)
+
+    def learn(self, ids: np.ndarray, hit: np.ndarray) -> None:
+        k = len(ids)
         bit = hit.astype(np.int64)
-        error = ((bit << 12) - p) * 6
-        self.weight[:, live] += (s * error) >> 14
+        self.weight[:, :k] += (self.s * (((bit << 12) - self.p) * 6)) >> 14
+        q = self.q[:, :k]
         q += ((bit * 4095 - q) >> 5) + bit
-        self.hit2[k2], self.hit1[k1], self.hit0[live] = np.clip(q, 32, 4064)
-        self._table(self.t2, i2, p2, f2, ids, hit)
-        self._table(self.t1, i1, p1, f1, ids, ids == p1)
-        self.c2[live] = self.c1[live]
-        self.c1[live] = ids
+        np.clip(q, 32, 4064, out=q)
+        self.hit[0][self.k2], self.hit[1][self.k1] = q[0], q[1]
+        self._table(self.t2, self.i2, self.p2, self.f2, ids, hit)
+        self._table(self.t1, self.i1, self.p1, self.f1, ids, ids == self.p1)
+        self.c2[:k] = self.c1[:k]
+        self.c1[:k] = ids
 
     @staticmethod
     def _table(table, at, guess, sure, ids, hit) -> None:
-        stay = hit | (sure > 1)
-        level = np.where(hit, np.minimum(sure + 1, 15), np.where(sure > 1, sure >> 1, 1))
-        table[at] = (np.where(stay, guess, ids) << 4) | level
+        """A right guess gains confidence, a wrong one halves it and falls at the bottom."""
+        old = sure > 1
+        level = np.where(hit, np.minimum(sure + 1, 15), np.where(old, sure >> 1, 1))
+        table[at] = (np.where(hit | old, guess, ids) << 4) | level
 
     def learn_b(self, at: np.ndarray, bit: np.ndarray) -> None:
         q = self.hit_b[at]
         self.hit_b[at] = np.clip(q + ((bit * 4095 - q) >> 5) + bit, 32, 4064)
 
-    @staticmethod
-    def count(rows: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """One more for each row's symbol; totals stay below 2**14."""
-        rows[np.arange(len(rows)), symbol] += 24
-        full = rows.sum(1) > 16000
-        if full.any():
-            rows[full] = (rows[full] + 1) >> 1
-        return rows
+
+def _counted(table: np.ndarray, at: np.ndarray, rows: np.ndarray, total: np.ndarray, symbol: np.ndarray) -> None:
+    """One more for each row's symbol; totals stay below 2**14."""
+    rows[np.arange(len(rows)), symbol] += 24
+    full = total > 16000
+    if full.any():
+        rows[full] = (rows[full] + 1) >> 1
+    table[at] = rows
 
 
 class _Writer:
@@ -134,23 +138,24 @@ class _Writer:
         self.out = np.zeros((n, words), np.uint16)
         self.at = np.zeros(n, np.int64)
 
-    def put(self, live, start, size, total_or_shift, shift: bool) -> None:
-        r = self.range[live]
-        r = r >> total_or_shift if shift else r // total_or_shift
+    def put(self, live, start, size, r) -> None:
+        """Narrow to [start, start + size) in units of ``r``; ``live`` is a slice or an index."""
         low = self.low[live] + start * r
         r = size * r
-        over = low >> 32 != 0
-        if over.any():
+        over = np.flatnonzero(low >> 32)
+        if len(over):
             low &= 0xFFFFFFFF
-            self._carry(live[over])
-        small = r < 1 << 16
-        if small.any():
-            who = live[small]
-            if self.at[who].max() + 2 >= self.out.shape[1]:
+            self._carry(over if isinstance(live, slice) else live[over])
+        small = np.flatnonzero(r < 1 << 16)
+        if len(small):
+            who = small if isinstance(live, slice) else live[small]
+            at = self.at[who]
+            if int(at.max()) + 2 >= self.out.shape[1]:
                 self.out = np.hstack((self.out, np.zeros_like(self.out)))
-            self.out[who, self.at[who]] = (low[small] >> 16).astype(np.uint16)
-            self.at[who] += 1
-            low[small] = (low[small] & 0xFFFF) << 16
+            now = low[small]
+            self.out[who, at] = now >> 16
+            self.at[who] = at + 1
+            low[small] = (now & 0xFFFF) << 16
             r[small] <<= 16
         self.low[live], self.range[live] = low, r
 
@@ -158,19 +163,28 @@ class _Writer:
         place = self.at[who] - 1
         while len(who):
             value = (self.out[who, place].astype(np.int64) + 1) & 0xFFFF
-            self.out[who, place] = value.astype(np.uint16)
+            self.out[who, place] = value
             more = value == 0
             who, place = who[more], place[more] - 1
 
+    def symbol(self, live, table, at, symbol) -> None:
+        rows = table[at]
+        upto = rows.cumsum(1)
+        i = np.arange(len(live))
+        size = rows[i, symbol]
+        total = upto[:, -1]
+        self.put(live, upto[i, symbol] - size, size, self.range[live] // total)
+        _counted(table, at, rows, total, symbol)
+
     def finish(self) -> list[bytes]:
         n = len(self.low)
         if self.at.max(initial=0) + 3 >= self.out.shape[1]:
             self.out = np.hstack((self.out, np.zeros((n, 4), np.uint16)))
         who = np.arange(n)
         for part in (self.low >> 16, self.low & 0xFFFF):
-            self.out[who, self.at] = part.astype(np.uint16)
+            self.out[who, self.at] = part
             self.at += 1
-        return [self.out[i, : self.at[i]].tobytes() for i in range(n)]
+        return [self.out[i, : self.at[i]].astype("<u2").tobytes() for i in range(n)]
 
 
 class _Reader:
@@ -178,44 +192,48 @@ class _Reader:
         size = max((len(b) // 2 for b in bodies), default=0) + 4
         self.words = np.zeros((len(bodies), size), np.int64)
         for i, b in enumerate(bodies):
-            self.words[i, : len(b) // 2] = np.frombuffer(b, np.uint16)
+            self.words[i, : len(b) // 2] = np.frombuffer(b, "<u2")
         self.code = (self.words[:, 0] << 16) | self.words[:, 1]
         self.range = np.full(len(bodies), (1 << 32) - 1, np.int64)
         self.at = np.full(len(bodies), 2, np.int64)
 
-    def peek(self, live, total_or_shift, shift: bool) -> tuple[np.ndarray, np.ndarray]:
-        r = self.range[live]
-        r = r >> total_or_shift if shift else r // total_or_shift
-        most = (1 << total_or_shift) - 1 if shift else total_or_shift - 1
-        return np.minimum(self.code[live] // r, most), r
-
     def take(self, live, start, size, r) -> None:
         code = self.code[live] - start * r
         r = size * r
-        small = r < 1 << 16
-        if small.any():
-            who = live[small]
-            code[small] = (code[small] << 16) | self.words[who, np.minimum(self.at[who], self.words.shape[1] - 1)]
-            self.at[who] += 1
+        small = np.flatnonzero(r < 1 << 16)
+        if len(small):
+            who = small if isinstance(live, slice) else live[small]
+            at = self.at[who]
+            code[small] = (code[small] << 16) | self.words[who, np.minimum(at, self.words.shape[1] - 1)]
+            self.at[who] = at + 1
             r[small] <<= 16
         self.code[live], self.range[live] = code, r
 
-
-def _symbol_put(w: _Writer, live, rows, symbol) -> None:
-    upto = rows.cumsum(1)
-    i = np.arange(len(live))
-    size = rows[i, symbol]
-    w.put(live, upto[i, symbol] - size, size, upto[:, -1], False)
-
-
-def _symbol_take(r: _Reader, live, rows) -> np.ndarray:
-    upto = rows.cumsum(1)
-    value, each = r.peek(live, upto[:, -1], False)
-    symbol = (upto <= value[:, None]).sum(1)
-    i = np.arange(len(live))
-    size = rows[i, symbol]
-    r.take(live, upto[i, symbol] - size, size, each)
-    return symbol
+    def bit(self, live, p) -> np.ndarray:
+        """True with chance ``p`` of 4096."""
+        r = self.range[live] >> 12
+        hit = self.code[live] < p * r
+        self.take(live, np.where(hit, 0, p), np.where(hit, p, 4096 - p), r)
+        return hit
+
+    def symbol(self, live, table, at) -> np.ndarray:
+        rows = table[at]
+        upto = rows.cumsum(1)
+        total = upto[:, -1]
+        r = self.range[live] // total
+        value = np.minimum(self.code[live] // r, total - 1)
+        symbol = (upto <= value[:, None]).sum(1)
+        i = np.arange(len(live))
+        size = rows[i, symbol]
+        self.take(live, upto[i, symbol] - size, size, r)
+        _counted(table, at, rows, total, symbol)
+        return symbol
+
+    def plain(self, live, bits: int) -> np.ndarray:
+        r = self.range[live] >> bits
+        value = np.minimum(self.code[live] // r, (1 << bits) - 1)
+        self.take(live, value, 1, r)
+        return value
 
 
 def _low_bits(top: int) -> int:
@@ -235,39 +253,31 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         ids[: size[lane], lane] = blocks[i]
     m, w = _Model(n, low_bits), _Writer(n, int(size.max()) + 8)
     for t in range(len(ids)):
-        live = np.arange(int(np.searchsorted(-size, -t, "left")))
-        now = ids[t, : len(live)]
-        p, was = m.guess(live)
-        p2, p1, f1, agree = was[2], was[3], was[5], was[6]
-        hit = now == p2
-        w.put(live, np.where(hit, 0, p), np.where(hit, p, 4096 - p), 12, True)
-        rest = np.flatnonzero(~hit)
-        if len(rest):
-            ask = rest[~agree[rest]]
-            second = np.zeros(len(live), bool)
-            if len(ask):
-                at = ask * 16 + f1[ask]
-                q = m.hit_b[at]
-                ok = now[ask] == p1[ask]
-                w.put(ask, np.where(ok, 0, q), np.where(ok, q, 4096 - q), 12, True)
-                m.learn_b(at, ok.astype(np.int64))
-                second[ask] = ok
-            lost = rest[~second[rest]]
-            if len(lost):
-                x = now[lost]
-                high = x >> low_bits
-                a, b = high >> 4, high & 15
-                _symbol_put(w, lost, m.group[lost], a)
-                _symbol_put(w, lost, m.member[lost, a], b)
-                m.group[lost] = m.count(m.group[lost], a)
-                m.member[lost, a] = m.count(m.member[lost, a], b)
-                if low_bits:
-                    left = low_bits
-                    while left > 0:
-                        step = min(left, 12)
-                        left -= step
-                        w.put(lost, (x >> left) & ((1 << step) - 1), 1, step, True)
-        m.learn(live, now, was)
+        k = int(np.searchsorted(-size, -t, "left"))
+        now = ids[t, :k]
+        m.guess(k)
+        hit = now == m.p2
+        w.put(slice(k), np.where(hit, 0, m.p), np.where(hit, m.p, 4096 - m.p), w.range[:k] >> 12)
+        lost = np.flatnonzero(~hit)
+        ask = lost[~m.agree[lost]]
+        if len(ask):
+            at = ask * 16 + m.f1[ask]
+            q = m.hit_b[at]
+            ok = now[ask] == m.p1[ask]
+            w.put(ask, np.where(ok, 0, q), np.where(ok, q, 4096 - q), w.range[ask] >> 12)
+            m.learn_b(at, ok.astype(np.int64))
+            lost = lost[now[lost] != m.p1[lost]]
+        if len(lost):
+            x = now[lost]
+            high = x >> low_bits
+            w.symbol(lost, m.group, lost, high >> 4)
+            w.symbol(lost, m.member, lost * 16 + (high >> 4), high & 15)
+            left = low_bits
+            while left > 0:
+                step = min(left, 12)
+                left -= step
+                w.put(lost, (x >> left) & ((1 << step) - 1), 1, w.range[lost] >> step)
+        m.learn(now, hit)
     bodies = w.finish()
     out: list[bytes] = [b""] * n
     for lane, i in enumerate(order):
@@ -293,42 +303,31 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
         ids = np.zeros((int(size.max()), len(order)), np.int64)
         m, r = _Model(len(order), bits), _Reader([bodies[i] for i in order])
         for t in range(len(ids)):
-            live = np.arange(int(np.searchsorted(-size, -t, "left")))
-            p, was = m.guess(live)
-            p2, p1, f1, agree = was[2], was[3], was[5], was[6]
-            value, each = r.peek(live, 12, True)
-            hit = value < p
-            r.take(live, np.where(hit, 0, p), np.where(hit, p, 4096 - p), each)
-            now = p2.copy()
-            rest = np.flatnonzero(~hit)
-            if len(rest):
-                ask = rest[~agree[rest]]
-                second = np.zeros(len(live), bool)
-                if len(ask):
-                    at = ask * 16 + f1[ask]
-                    q = m.hit_b[at]
-                    value, each = r.peek(ask, 12, True)
-                    ok = value < q
-                    r.take(ask, np.where(ok, 0, q), np.where(ok, q, 4096 - q), each)
-                    m.learn_b(at, ok.astype(np.int64))
-                    second[ask] = ok
-                    now[ask[ok]] = p1[ask[ok]]
-                lost = rest[~second[rest]]
-                if len(lost):
-                    a = _symbol_take(r, lost, m.group[lost])
-                    b = _symbol_take(r, lost, m.member[lost, a])
-                    m.group[lost] = m.count(m.group[lost], a)
-                    m.member[lost, a] = m.count(m.member[lost, a], b)
-                    x, left = (a << 4) | b, bits
-                    while left > 0:
-                        step = min(left, 12)
-                        left -= step
-                        value, each = r.peek(lost, step, True)
-                        r.take(lost, value, 1, each)
-                        x = (x << step) | value
-                    now[lost] = x
-            ids[t, : len(live)] = now
-            m.learn(live, now, was)
+            k = int(np.searchsorted(-size, -t, "left"))
+            m.guess(k)
+            hit = r.bit(slice(k), m.p)
+            now = m.p2.astype(np.int64)
+            lost = np.flatnonzero(~hit)
+            ask = lost[~m.agree[lost]]
+            if len(ask):
+                at = ask * 16 + m.f1[ask]
+                ok = r.bit(ask, m.hit_b[at])
+                m.learn_b(at, ok.astype(np.int64))
+                good = ask[ok]
+                now[good] = m.p1[good]
+                second = np.zeros(k, bool)
+                second[good] = True
+                lost = lost[~second[lost]]
+            if len(lost):
+                a = r.symbol(lost, m.group, lost)
+                x, left = (a << 4) | r.symbol(lost, m.member, lost * 16 + a), bits
+                while left > 0:
+                    step = min(left, 12)
+                    left -= step
+                    x = (x << step) | r.plain(lost, step)
+                now[lost] = x
+            ids[t, :k] = now
+            m.learn(now, hit)
         for lane, i in enumerate(order):
             out[i] = ids[: size[lane], lane].copy()
             if zlib.crc32(out[i].astype("<u4").tobytes()) != heads[i][1]:
