@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import math
+import os
+import tempfile
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barledger.sources.staging import shared_dir, staged
 
-__all__ = ["components", "doc_key", "even_parts", "shared_dir", "staged", "table", "text_or_empty"]
+__all__ = ["components", "doc_key", "shared_dir", "ship", "staged", "table", "text_or_empty"]
 
 #: Stands for a null doc_id inside keys; it sorts before every other id.
 NO_ID = -(2**63)
@@ -17,7 +19,30 @@ NO_ID = -(2**63)
 MAX_ROUNDS = 64
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers once, where they cannot import it themselves.
+
+    The archive is a file of the driver alone; Spark's file server hands it to the executors.
+    """
+    import barledger
+
+    sc = spark.sparkContext
+    if getattr(sc, "_barledger_sent", False):
+        return
+    root = os.path.dirname(os.path.abspath(barledger.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="spark-"), "barledger.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("barledger", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._barledger_sent = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -37,12 +62,6 @@ def doc_key(id_column: str = "doc_id", text_column: str = "text") -> Column:
     )
 
 
-def even_parts(df: DataFrame, columns: list[str], partitions: int | None = None) -> DataFrame:
-    """Rows dealt evenly, so that one hot key or one large input file is no single task."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *columns)
-
-
 def _forest(batches):
     """Union-find inside one partition: its edges become (node, smallest node reached)."""
     import pyarrow as pa
@@ -113,7 +132,3 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
         todo = left
     raise RuntimeError(f"The graph did not converge in {MAX_ROUNDS} rounds.")
-
-
-def partitions_for(n_bytes: float, each: float) -> int:
-    return max(1, math.ceil(n_bytes / each))

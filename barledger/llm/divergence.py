@@ -6,9 +6,11 @@ language's reference by Jensen-Shannon distance (base 2, 0 to 1); the nearest la
 A text is rejected when the nearest distance is above the limit and the text is long enough
 for the test (``min_chars``, ``min_words``); shorter texts pass it.  Base rules come first.
 
-References are medians (classes) and means (words) of the shares over all texts of a language
-that pass the base rules and the length guards.  They are one row for each language of
-``COMMON_WORDS``, a fixed number, and so the only values that reach the driver.
+References are the mean shares over all texts of a language that pass the base rules and the
+length guards; they are made twice, the second time without the texts that the first would
+reject.  They are one row for each language of ``COMMON_WORDS``, a fixed number, and so the only values that
+reach the driver.  Counts are made once: they are written to the shared folder, and both the
+references and the verdicts are read from there.
 
 Defined cases: null or blank text has no words and fails the base rule; a language without
 reference texts is left out; with no reference at all only the base rules decide; texts whose
@@ -18,11 +20,14 @@ by one, so repeated rows get equal verdicts.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barledger.llm.common import staged
+
 # The most frequent function words of each language.
 COMMON_WORDS: dict[str, tuple[str, ...]] = {
     "en": ("the", "of", "and", "to", "in", "a", "is", "that", "for", "it", "with", "as"),
@@ -30,15 +35,15 @@ COMMON_WORDS: dict[str, tuple[str, ...]] = {
     "fr": ("de", "la", "le", "et", "les", "des", "en", "un", "une", "est", "que", "pour"),
     "es": ("de", "la", "que", "el", "en", "y", "a", "los", "se", "del", "las", "un"),
 }
-#: Character classes by pattern; what matches none (mostly lower-case letters) is the last bin.
+#: Character classes by pattern; what is in no class (mostly lower-case letters) is the last bin.
 CLASSES = {
-    "space": r"[\x20\x09-\x0D]",
     "upper": r"[A-ZÀ-ÖØ-Þ]",
     "digit": r"[0-9]",
     "point": r"[.,;:!?'\"()\-]",
     "symbol": r"[#*$%&|<>]",
-    "beyond": r"[^\x00-\x7F]",
 }
+#: Two more without a pattern: white space, and UTF-8 bytes beyond the first of each character.
+ALL_CLASSES = (*CLASSES, "space", "beyond")
 SPACES = " \t\n\x0b\x0c\r"
 WINDOW = 8
 
@@ -49,13 +54,27 @@ class Limits:
 
     min_words: int = 20
     repeat_percent: int = 30
-    class_distance: float = 0.2
+    class_distance: float = 0.17
     class_min_chars: int = 200
-    word_distance: float = 0.4
+    word_distance: float = 0.29
     word_min_words: int = 100
 
 
 _BINS = tuple(dict.fromkeys(w for words in COMMON_WORDS.values() for w in words))
+_LETTERS = [chr(c) for c in range(48, 127)]
+
+
+def _residues() -> tuple[int, list[str]]:
+    """A modulus under which the CRC-32 of the bins' words differ, and each residue's letter."""
+    if len(_BINS) > len(_LETTERS):
+        raise ValueError("Too many common words for one letter each.")
+    m = len(_BINS)
+    while len({zlib.crc32(w.encode()) % m for w in _BINS}) < len(_BINS):
+        m += 1
+    letters = [""] * m
+    for w, c in zip(_BINS, _LETTERS):
+        letters[zlib.crc32(w.encode()) % m] = c
+    return m, letters
 
 
 def _words(text: Column) -> Column:
@@ -68,36 +87,46 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     d = docs.withColumn("__text", F.coalesce(F.col(f"`{text}`"), F.lit("")))
     d = d.withColumn("__words", _words(F.col("__text")))
     d = d.withColumn("__n_words", F.size("__words").cast("bigint")).withColumn("__chars", F.char_length("__text").cast("bigint"))
+    # one pass cuts the text down to the characters of the classes, a few in a hundred
+    none_of = "[^" + "".join(p[1:-1] for p in CLASSES.values()) + "]+"
+    d = d.withColumn("__rare", F.regexp_replace("__text", none_of, ""))
     for name, pattern in CLASSES.items():
-        d = d.withColumn(f"__{name}", F.regexp_count("__text", F.lit(pattern)).cast("bigint"))
+        d = d.withColumn(f"__{name}", F.regexp_count("__rare", F.lit(pattern)).cast("bigint"))
+    d = d.withColumn("__word_chars", F.char_length(F.array_join("__words", "")).cast("bigint"))
+    d = d.withColumn("__space", F.col("__chars") - F.col("__word_chars"))
+    d = d.withColumn("__beyond", F.octet_length("__text").cast("bigint") - F.col("__chars"))
+    # each common word becomes one letter of a short string, whose letters are then counted
+    m, letters = _residues()
     plain = F.transform("__words", lambda w: F.rtrim(F.lower(w), F.lit(".,;:!?")))
-    d = d.withColumn("__common", F.filter(plain, lambda w: w.isin(*_BINS)))
-    return d.withColumn(
-        "__bins", F.array(*[F.size("__common") - F.size(F.array_remove("__common", w)) for w in _BINS])
-    )
+    common = F.filter(plain, lambda w: w.isin(*_BINS))
+    letter = F.array(*[F.lit(x) for x in letters])
+    d = d.withColumn("__common", F.array_join(F.transform(common, lambda w: F.get(letter, (F.crc32(w.cast("binary")) % m).cast("int"))), ""))
+    left = lambda c: F.octet_length(F.replace("__common", F.lit(c), F.lit("")))
+    return d.withColumn("__bins", F.array(*[F.octet_length("__common") - left(c) for c in _LETTERS[: len(_BINS)]]))
 
 
 def _shares(d: DataFrame) -> DataFrame:
-    """Arrays of shares that sum to 1: ``__class`` and ``__word``."""
-    chars, words = F.greatest("__chars", F.lit(1)), F.greatest("__n_words", F.lit(1))
-    counts = [F.col(f"__{c}") for c in CLASSES]
-    rest = F.greatest(F.col("__chars") - sum(counts[1:], counts[0]), F.lit(0))
-    return d.withColumn("__class", F.array(*[c / chars for c in counts], rest / chars)).withColumn(
-        "__word", F.transform(F.concat("__bins", F.array((F.col("__n_words") - F.size("__common")).cast("int"))), lambda c: c / words)
-    )
+    """Arrays of shares: ``__class`` and ``__word``; the last bin holds the rest."""
+    counts = [F.col(f"__{c}").cast("double") for c in ALL_CLASSES]
+    rest = F.greatest(F.col("__chars") - sum(counts[1:], counts[0]), F.lit(0.0))
+    d = d.withColumn("__class", F.array(*counts, rest))
+    words = F.concat("__bins", F.array((F.col("__n_words") - F.octet_length("__common")).cast("int")))
+    d = d.withColumn("__word", F.transform(words, lambda c: c.cast("double")))
+    for name in ("__class", "__word"):
+        total = F.greatest(F.aggregate(name, F.lit(0.0), lambda s, x: s + x), F.lit(1.0))
+        d = d.withColumn("__total", total).withColumn(name, F.transform(name, lambda c: c / F.col("__total")))
+    return d.drop("__total")
 
 
 def references(counted: DataFrame, lang: str, limits: Limits) -> dict[str, tuple[list[float], list[float]]]:
-    """Class and word shares of each reference language, from one aggregate."""
+    """Mean class and word shares of each reference language, from one aggregate."""
     long_enough = (F.col("__n_words") >= limits.word_min_words) & (F.col("__chars") >= limits.class_min_chars)
-    d = _shares(counted.where(F.col(f"`{lang}`").isin(*COMMON_WORDS) & long_enough))
-    classes = [F.percentile_approx(F.col("__class")[i], F.lit(0.5), F.lit(1000)).alias(f"c{i}") for i in range(len(CLASSES) + 1)]
+    d = counted.where(F.col(f"`{lang}`").isin(*COMMON_WORDS) & long_enough)
+    classes = [F.avg(F.col("__class")[i]).alias(f"c{i}") for i in range(len(ALL_CLASSES) + 1)]
     words = [F.avg(F.col("__word")[i]).alias(f"w{i}") for i in range(len(_BINS) + 1)]
     found = {}
     for r in d.groupBy(F.col(f"`{lang}`").alias("lang")).agg(*classes, *words).collect():  # one row a reference language
-        c = [r[f"c{i}"] for i in range(len(classes))]
-        w = [r[f"w{i}"] for i in range(len(words))]
-        found[r["lang"]] = ([x / (sum(c) or 1) for x in c], [x / (sum(w) or 1) for x in w])
+        found[r["lang"]] = ([r[f"c{i}"] for i in range(len(classes))], [r[f"w{i}"] for i in range(len(words))])
     return dict(sorted(found.items()))
 
 
@@ -107,11 +136,9 @@ def js_distance(shares: Column, reference: list[float]) -> Column:
     def term(p: Column, m: Column) -> Column:
         return F.when(p > 0, p * F.log2(p / m)).otherwise(F.lit(0.0))
 
-    total = F.lit(0.0)
-    for i, q in enumerate(reference):
-        p, q = shares[i], F.lit(float(q))
-        m = (p + q) / 2
-        total = total + term(p, m) + term(q, m)
+    known = F.array(*[F.lit(float(q)) for q in reference])
+    terms = F.zip_with(shares, known, lambda p, q: term(p, (p + q) / 2) + term(q, (p + q) / 2))
+    total = F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)
     return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
 
 
@@ -144,11 +171,10 @@ def _covered(keys: Column) -> Column:
     return F.aggregate(places, state, step, lambda s: s["n"])
 
 
-def judged(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits = Limits()) -> DataFrame:
-    """``docs`` with ``__`` columns: the base counts, base_failed, distances and kept."""
-    counted = with_counts(docs, text)
-    known = references(counted, lang, limits)
-    d = counted.withColumn("__hashes", F.transform("__words", lambda w: F.xxhash64(w)))
+def counted(docs: DataFrame, text: str = "text", limits: Limits = Limits()) -> DataFrame:
+    """``docs`` with all ``__`` counts and shares, written once to the shared folder."""
+    d = with_counts(docs, text)
+    d = d.withColumn("__hashes", F.transform("__words", lambda w: F.xxhash64(w)))
     d = d.withColumn("__keys", repeat_words("__hashes"))
     d = d.withColumn("__single", F.size(F.array_distinct("__keys")))
     d = d.withColumn(
@@ -159,38 +185,53 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limi
     d = d.withColumn("__lines", lines).withColumn("__dup_lines", (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("bigint"))
     failed = (F.col("__n_words") < limits.min_words) | (100 * F.col("__repeat") > limits.repeat_percent * F.col("__n_words"))
     d = _shares(d.withColumn("__failed", failed))
+    return d.drop("__text", "__words", "__hashes", "__keys", "__single", "__lines", "__bins", "__common", "__rare")
+
+
+def _odd(d: DataFrame, known: dict, lang: str, limits: Limits) -> tuple[DataFrame, Column]:
+    """Distances to the nearest reference, and whether a text is too far away."""
     none = F.lit(None).cast("double")
     near = lambda name, k: F.least(*[js_distance(F.col(name), v[k]) for v in known.values()], none, none) if known else none
     d = d.withColumn("__js_class", near("__class", 0)).withColumn("__js_word", near("__word", 1))
     odd_class = (F.col("__chars") >= limits.class_min_chars) & (F.col("__js_class") > limits.class_distance)
-    odd_word = (
-        (F.col("__n_words") >= limits.word_min_words)
-        & F.col(f"`{lang}`").isin(*known) & (F.col("__js_word") > limits.word_distance)
-        if known
-        else F.lit(False)
-    )
-    odd = F.coalesce(odd_class, F.lit(False)) | F.coalesce(odd_word, F.lit(False))
+    odd_word = (F.col("__n_words") >= limits.word_min_words) & (F.col("__js_word") > limits.word_distance)
+    odd_word = odd_word & F.col(f"`{lang}`").isin(*known) if known else F.lit(False)
+    return d, F.coalesce(odd_class, F.lit(False)) | F.coalesce(odd_word, F.lit(False))
+
+
+def judged(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits = Limits(), drop_text: bool = False) -> DataFrame:
+    """``docs`` with ``__`` columns: the base counts, failed, distances and kept."""
+    d = counted(docs, text, limits)
+    d = staged(d.drop(text) if drop_text else d)
+    base = d
+    known = references(base.where(~F.col("__failed")), lang, limits)
+    for again in (True, False):
+        d, odd = _odd(base, known, lang, limits)
+        if again:  # texts far from the first references do not shape the second
+            known = references(d.where(~F.col("__failed") & ~odd), lang, limits)
     return d.withColumn("__kept", ~(F.col("__failed") | odd))
 
 
 def report(docs: DataFrame) -> DataFrame:
     """One row per text: counts, base_failed, kept, and the two distances."""
-    d = judged(docs.select("doc_id", "text", "lang"))
+    d = judged(docs.select("doc_id", "text", "lang"), drop_text=True)
     return d.select(
         "doc_id",
         F.col("__n_words").alias("n_words"),
-        (F.col("__chars") - F.col("__space")).alias("word_chars"),
+        F.col("__word_chars").alias("word_chars"),
         F.col("__symbol").alias("n_symbols"),
         F.col("__dup_lines").alias("n_dup_lines"),
         F.col("__repeat").alias("n_repeat_words"),
         F.col("__failed").alias("base_failed"),
         F.col("__kept").alias("kept"),
-        F.col("__js_class").alias("js_class"),
-        F.col("__js_word").alias("js_word"),
+        F.round("__js_class", 6).alias("js_class"),
+        F.round("__js_word", 6).alias("js_word"),
     )
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, columns unchanged."""
+    """The rows of ``docs`` that are kept, columns unchanged (any names)."""
     columns = docs.columns
-    return judged(docs).where("__kept").select(*[F.col(f"`{c}`") for c in columns])
+    inner = docs.select(*[F.col(f"`{c}`").alias(c if c in ("text", "lang") else f"c{i}") for i, c in enumerate(columns)])
+    good = judged(inner).where("__kept")
+    return good.select(*[F.col(c if c in ("text", "lang") else f"c{i}").alias(c) for i, c in enumerate(columns)])

@@ -19,29 +19,34 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from barledger.llm import divergence, nbest, suffix_dedup, superminhash, templates  # noqa: E402
-from barledger.llm.common import staged, table  # noqa: E402
+from barledger.llm.common import ship, staged, table  # noqa: E402
 
 #: Bytes of a repeated passage: below the length of fifty words.
 PASSAGE_BYTES = 200
 
 
 def _rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return divergence.keep_good(docs)
 
 
 def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return superminhash.keep_first(docs)
 
 
 def _passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return suffix_dedup.remove_later_copies(docs, PASSAGE_BYTES)
 
 
 def _leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return templates.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def _pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return nbest.encoded(docs)
 
 
