@@ -12,7 +12,7 @@ Two documents are linked when ``100 * |A and B| >= 75 * |A or B|``.
   (a star, linear in the group); links are confirmed on full sets.
 * **Rest.** Bands whose members are still in several groups are compared exactly: within
   those documents, shingles are ordered by frequency and the rarest prefixes are joined.
-  The shorter document of a pair uses the prefix that any match must hit, so that one very
+  The shorter document of a pair uses the prefix that any match must hit, so that a very
   common passage (even three quarters of every text) gives no pairs.
 * **Groups** are the connected components of the links.
 
@@ -177,6 +177,31 @@ def _explode_sets(batches):
             )
 
 
+#: 64-bit words of a parity sketch.
+SKETCH = 16
+
+
+def _sketches(batches):
+    """Parity sketch of each set: bit b tells whether an odd number of shingles hash to b.
+
+    Two sketches differ in at most as many bits as the sets differ in shingles, so a pair with
+    more differing bits than the threshold allows is no link.
+    """
+    import pyarrow as pa
+
+    bits = np.uint64(64 * SKETCH)
+    for batch in batches:
+        for a, b, data, off in flat.blocks(batch.column("text")):
+            sets, at = _sets(data, off)
+            row = np.repeat(np.arange(b - a), np.diff(at))
+            odd = np.bincount(row * (64 * SKETCH) + (sets % bits).astype(np.int64), minlength=(b - a) * 64 * SKETCH) & 1
+            words = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(b - a, SKETCH)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("d").slice(a, b - a), batch.column("h").slice(a, b - a), *(pa.array(words[:, i].copy()) for i in range(SKETCH))],
+                names=["d", "h", *(f"o{i}" for i in range(SKETCH))],
+            )
+
+
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Confirmed pairs (a, b) among candidate pairs; ``texts`` has node, text."""
     joined = (
@@ -211,11 +236,16 @@ def _rare_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     )
     prefix = staged(prefix)
     mixed = prefix.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("shingle")
-    live = prefix.join(mixed, "shingle", "left_semi")
-    x = live.where("short").select("shingle", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("size").alias("sx"))
-    y = live.select("shingle", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("size").alias("sy"))
+    words = [f"o{i}" for i in range(SKETCH)]
+    sketches = of.mapInArrow(_sketches, "d bigint, h bigint, " + ", ".join(f"{w} bigint" for w in words))
+    sketches = staged(sketches.select(F.struct("d", "h").alias("node"), *words))
+    live = staged(prefix.join(mixed, "shingle", "left_semi").join(sketches, "node"))
+    x = live.where("short").select("shingle", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("size").alias("sx"), *[F.col(w).alias(f"x{w}") for w in words])
+    y = live.select("shingle", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("size").alias("sy"), *[F.col(w).alias(f"y{w}") for w in words])
+    differ = " + ".join(f"bit_count(x{w} ^ y{w})" for w in words)
     met = x.join(y, "shingle").where(
-        "rx != ry and (sx < sy or (sx = sy and x < y))" + f" and 100 * sx >= {THRESHOLD} * sy"
+        f"rx != ry and (sx < sy or (sx = sy and x < y)) and 100 * sx >= {THRESHOLD} * sy"
+        f" and {100 + THRESHOLD} * ({differ}) <= {100 - THRESHOLD} * (sx + sy)"
     )
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
