@@ -26,9 +26,9 @@ CONFIG = coverage.CoverageConfig(365, 0.205, 10, 0.2)
 
 def audit_daily(spark, sf):
     """Clean bars with provenance; every 11th supplier keeps its planted defects."""
-    good = v.bars_prov(spark, sf).where("suppkey % 13 <> 0 and suppkey % 11 <> 0")
+    good = v.bars_prov(spark, sf).where("suppkey % 11 <> 0")
     bad = normalize.daily_bars(
-        v.bars_raw(spark, sf).where("suppkey % 13 <> 0 and suppkey % 11 = 0"),
+        v.bars_raw(spark, sf).where("suppkey % 11 = 0"),
         v.stamp(),
         "HOSE",
         carry=["suppkey", F.col("l_orderkey").alias("orderkey")],
@@ -46,9 +46,10 @@ def audit_universe(spark, sf):
 
 
 def audit_requested(spark, sf):
-    return v.suppliers(spark, sf).where(
-        "(suppkey % 13 <> 0 or suppkey % 26 = 0) and suppkey % 17 <> 0"
-    ).select("symbol")
+    """Most suppliers' symbols, and for some suppliers one more that has no rows anywhere."""
+    known = v.suppliers(spark, sf).where("suppkey % 17 <> 0").select("symbol")
+    absent = v.suppliers(spark, sf).where("suppkey % 26 = 0")
+    return known.unionByName(absent.select(F.concat(F.lit("A"), F.col("suppkey").cast("string")).alias("symbol")))
 
 
 def audited(spark, sf):
@@ -72,12 +73,12 @@ _NO_PROV = ", ".join(
 COVERAGE_VIEWS = {
     "cov_rows": f"""SELECT symbol, date, open, high, low, close, volume, {_PROV},
           'part-' || (orderkey % 3) AS path FROM bars_prov
-        WHERE suppkey % 13 <> 0 AND suppkey % 11 <> 0
+        WHERE suppkey % 11 <> 0
           AND date BETWEEN DATE '{AUDIT[0]}' AND DATE '{AUDIT[1]}'
         UNION ALL BY NAME SELECT symbol, date, open, high, low, close, volume,
           'vnstock' AS provider, '1D' AS source_resolution, {_NO_PROV},
           'part-' || (l_orderkey % 3) AS path FROM bars_raw
-        WHERE suppkey % 13 <> 0 AND suppkey % 11 = 0
+        WHERE suppkey % 11 = 0
           AND (date IS NULL OR date BETWEEN DATE '{AUDIT[0]}' AND DATE '{AUDIT[1]}')""",
     "cov_cal": calendar(*AUDIT),
     "cov_span": """SELECT symbol, min(date) AS first_d, max(date) AS last_d FROM cov_rows
@@ -96,9 +97,8 @@ COVERAGE_VIEWS = {
           HAVING count(*) > 1 AND count(DISTINCT (open, high, low, close, volume)) > 1)
         GROUP BY symbol""",
     "cov_policy": policy("cov_rows", "symbol"),
-    "cov_spine": """SELECT symbol, suppkey % 7 <> 0 AS in_universe,
-          (suppkey % 13 <> 0 OR suppkey % 26 = 0) AND suppkey % 17 <> 0 AS in_request
-        FROM suppliers""",
+    "cov_spine": """SELECT symbol, suppkey % 7 <> 0 AS in_universe, suppkey % 17 <> 0 AS in_request
+        FROM suppliers UNION ALL SELECT 'A' || suppkey, false, true FROM suppliers WHERE suppkey % 26 = 0""",
     "cov_m": f"""
         SELECT p.symbol, p.in_universe, p.in_request, count(r.symbol) AS n,
           count(DISTINCT r.date) AS dates, min(r.date) AS first_d, max(r.date) AS last_d,

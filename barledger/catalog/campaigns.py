@@ -14,9 +14,13 @@ from barledger.operators.campaign import CampaignPlan
 from barledger.operators.units import KBS
 from barledger.sources.staging import staged
 
-PLAN = CampaignPlan("camp-1", v.START, v.END, v.CHUNK_DAYS, "2001-11-05")
+#: Short chunks, so that the orders, each a run, leave some tasks pending.
+CHUNK_DAYS = 20
+SECOND_CHUNK = "1995-01-21"
+PLAN = CampaignPlan("camp-1", v.START, v.END, CHUNK_DAYS, "2001-11-05")
 AS_OF = "2001-11-05"
-FEW = 40  # keep every 40th order as a run, so that some tasks stay pending
+#: Run numbers are order keys times this; planted defects go by run number.
+RUN_STEP = 40
 
 
 def plan_symbols(spark, sf):
@@ -28,27 +32,27 @@ def tasks(spark, sf):
 
 
 def runs(spark, sf):
-    """Orders as runs of one symbol and chunk."""
+    """Every order as a run of one symbol and chunk."""
     count = v.table(spark, sf, "supplier").agg(F.count(F.lit(1))).scalar()
     day = F.col("o_orderdate").cast("date")
-    chunk = F.floor(F.datediff(day, x.lit_date(v.START)) / v.CHUNK_DAYS).cast("int")
+    chunk = F.floor(F.datediff(day, x.lit_date(v.START)) / CHUNK_DAYS).cast("int")
     return (
         v.table(spark, sf, "orders")
-        .where(F.col("o_orderkey") % FEW == 0)
+        .withColumn("k", F.col("o_orderkey") * RUN_STEP)
         .select(
-            F.col("o_orderkey").alias("k"),
-            F.concat(F.lit("run-"), F.col("o_orderkey").cast("string")).alias("run_id"),
+            "k",
+            F.concat(F.lit("run-"), F.col("k").cast("string")).alias("run_id"),
             F.concat(F.lit("S"), (F.col("o_custkey") % count).cast("string")).alias("symbol"),
             "o_orderstatus",
             day.alias("day"),
-            F.date_add(x.lit_date(v.START), chunk * v.CHUNK_DAYS).alias("chunk_start"),
+            F.date_add(x.lit_date(v.START), chunk * CHUNK_DAYS).alias("chunk_start"),
         )
         .withColumn(
-            "chunk_end", F.least(F.date_add("chunk_start", v.CHUNK_DAYS - 1), x.lit_date(v.END))
+            "chunk_end", F.least(F.date_add("chunk_start", CHUNK_DAYS - 1), x.lit_date(v.END))
         )
         .withColumn(
             "run_end",
-            F.when(F.col("o_orderstatus") == "P", F.date_sub("chunk_end", 30)).otherwise(
+            F.when(F.col("o_orderstatus") == "P", F.date_sub("chunk_end", 5)).otherwise(
                 F.col("chunk_end")
             ),
         )
@@ -142,9 +146,13 @@ def assessments(spark, sf):
 
 # --- oracle views --------------------------------------------------------------------
 
-CHUNKS = f"""SELECT CAST(g AS DATE) AS start_date,
-    least(CAST(g AS DATE) + {v.CHUNK_DAYS - 1}, DATE '{v.END}') AS end_date
-    FROM generate_series(DATE '{v.START}', DATE '{v.END}', INTERVAL {v.CHUNK_DAYS} DAY) t(g)"""
+def chunks_sql(days: int) -> str:
+    return f"""SELECT CAST(g AS DATE) AS start_date,
+    least(CAST(g AS DATE) + {days - 1}, DATE '{v.END}') AS end_date
+    FROM generate_series(DATE '{v.START}', DATE '{v.END}', INTERVAL {days} DAY) t(g)"""
+
+
+CHUNKS = chunks_sql(CHUNK_DAYS)
 _ATTEMPT = [
     ("NOT readable", "incompatible", "source_manifest_invalid"),
     ("m_run IS NULL", "incompatible", "source_manifest_missing"),
@@ -182,14 +190,13 @@ CAMPAIGN_VIEWS = {
     "camp_tasks": """SELECT symbol || '__' || strftime(start_date, '%Y-%m-%d') || '__' ||
         strftime(end_date, '%Y-%m-%d') AS task_id, symbol, start_date, end_date
         FROM suppliers CROSS JOIN chunks""",
-    "camp_runs": f"""SELECT o_orderkey AS k, 'run-' || o_orderkey AS run_id,
+    "camp_runs": f"""SELECT {RUN_STEP} * o_orderkey AS k, 'run-' || {RUN_STEP} * o_orderkey AS run_id,
           'S' || (o_custkey % (SELECT count(*) FROM supplier)) AS symbol, o_orderstatus,
           CAST(o_orderdate AS DATE) AS day, start_date AS chunk_start, end_date AS chunk_end,
-          CASE WHEN o_orderstatus = 'P' THEN end_date - 30 ELSE end_date END AS run_end,
+          CASE WHEN o_orderstatus = 'P' THEN end_date - 5 ELSE end_date END AS run_end,
           'S' || (o_custkey % (SELECT count(*) FROM supplier)) || '__' ||
             strftime(start_date, '%Y-%m-%d') || '__' || strftime(end_date, '%Y-%m-%d') AS task_id
-        FROM orders JOIN chunks ON CAST(o_orderdate AS DATE) BETWEEN start_date AND end_date
-        WHERE o_orderkey % {FEW} = 0""",
+        FROM orders JOIN chunks ON CAST(o_orderdate AS DATE) BETWEEN start_date AND end_date""",
     "camp_manifests": """SELECT run_id AS m_run, k % 600 <> 200 AS readable,
           CASE WHEN k % 280 = 0 THEN 'data other' ELSE 'data backfill-daily' END AS command,
           CASE WHEN o_orderstatus = 'O' THEN 'failed' ELSE 'success' END AS run_status,
@@ -300,7 +307,7 @@ def g2_projected_calls(spark, sf):
        FROM suppliers WHERE suppkey % 10 = 0 OR suppkey % 8 = 1
        UNION ALL SELECT 'task_id_canonical', (SELECT count(*) FROM camp_tasks
            WHERE CAST(substr(symbol, 2) AS INT) % 7 = 0 AND NOT
-             (CAST(substr(symbol, 2) AS INT) % 10 = 0 AND start_date = DATE '1996-12-31'))
+             (CAST(substr(symbol, 2) AS INT) % 10 = 0 AND start_date = DATE '1995-01-21'))
          + (SELECT count(*) FROM suppliers WHERE suppkey % 8 = 1 AND suppkey % 7 = 0)
        UNION ALL SELECT 'tasks_cover_campaign_range', count(*) FROM suppliers
          WHERE suppkey % 9 = 0
@@ -313,7 +320,7 @@ def g3_plan_invariants(spark, sf):
     good = tasks(spark, sf)
     k = F.substring("symbol", 2, 12).try_cast("int")
     short = (k % 9 == 0) & (F.col("end_date") == x.lit_date(v.END))
-    planted = good.where(~((k % 10 == 0) & (F.col("start_date") == x.lit_date("1996-12-31"))))
+    planted = good.where(~((k % 10 == 0) & (F.col("start_date") == x.lit_date(SECOND_CHUNK))))
     planted = planted.withColumn(
         "end_date", F.when(short, F.date_sub("end_date", 1)).otherwise(F.col("end_date"))
     )
@@ -340,13 +347,13 @@ _REQUEST_VIEWS = {
 def requested_bars(spark, sf):
     """Raw bars tagged with the chunk that requested them; a few drift out of it."""
     bars = normalize.daily_bars(v.bars_raw(spark, sf), v.stamp(), carry=["l_orderkey"])
-    chunk = F.floor(F.datediff("date", x.lit_date(v.START)) / v.CHUNK_DAYS).cast("int")
-    start = F.date_add(x.lit_date(v.START), chunk * v.CHUNK_DAYS)
+    chunk = F.floor(F.datediff("date", x.lit_date(v.START)) / CHUNK_DAYS).cast("int")
+    start = F.date_add(x.lit_date(v.START), chunk * CHUNK_DAYS)
     return bars.where("date is not null").withColumns(
         {
             "request_start_date": start,
             "request_end_date": F.least(
-                F.date_add(start, v.CHUNK_DAYS - 1), x.lit_date(v.END)
+                F.date_add(start, CHUNK_DAYS - 1), x.lit_date(v.END)
             ),
             "date": F.when(F.col("l_orderkey") % 211 == 0, F.date_add("date", 2000)).otherwise(
                 F.col("date")
@@ -417,7 +424,7 @@ def j12_reconcile(spark, sf):
     CAMPAIGN_VIEWS,
 )
 def j12_unknown_tasks(spark, sf):
-    odd = F.substring("run_id", 5, 12).cast("int") % 200 == 0
+    odd = F.substring("run_id", 5, 18).cast("bigint") % 200 == 0
     named = manifests(spark, sf).withColumn(
         "campaign_task_id",
         F.when(odd, F.concat(F.lit("X"), F.col("campaign_task_id"))).otherwise(
@@ -435,7 +442,7 @@ def j12_unknown_tasks(spark, sf):
     CAMPAIGN_VIEWS,
 )
 def j12_collisions(spark, sf):
-    odd = F.substring("source_run_id", 5, 12).cast("int") % 120 == 0
+    odd = F.substring("source_run_id", 5, 18).cast("bigint") % 120 == 0
     other = receipts(spark, sf).withColumn(
         "origin", F.when(odd, "adopted_run").otherwise(F.col("origin"))
     )
@@ -450,7 +457,7 @@ def j12_collisions(spark, sf):
     CAMPAIGN_VIEWS,
 )
 def s10_invalid_receipts(spark, sf):
-    k = F.substring("source_run_id", 5, 12).cast("int")
+    k = F.substring("source_run_id", 5, 18).cast("bigint")
     planted = receipts(spark, sf).withColumns(
         {
             "campaign_id": F.when(k % 120 == 0, "camp-2").otherwise(F.col("campaign_id")),

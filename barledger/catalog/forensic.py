@@ -6,16 +6,23 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barledger.catalog import views as v
-from barledger.catalog.campaigns import CAMPAIGN_VIEWS, tasks
+from barledger.catalog.campaigns import CAMPAIGN_VIEWS, chunks_sql, plan_symbols
 from barledger.catalog.oracles import json_list, n_where
 from barledger.catalog.registry import query
 from barledger.contracts import VALUE_COLUMNS
 from barledger.functions import exprs as x
-from barledger.operators import forensics, normalize
+from barledger.operators import campaign, forensics, normalize
 from barledger.sources.staging import staged
 
 POSITION = F.struct(*v.LINE_ORDER)
 
+#: Two-year chunks, as in the forensic fixtures.
+FORENSIC_PLAN = campaign.CampaignPlan("camp-1", v.START, v.END, v.CHUNK_DAYS, "2001-11-05")
+
+
+def tasks(spark, sf):
+    return campaign.campaign_tasks(FORENSIC_PLAN, plan_symbols(spark, sf))
+
 
 def task_rows(spark, sf):
     """Clean bars per task with planted open, close and high violations.
@@ -54,6 +61,7 @@ def stored_copy(rows):
 
 FORENSIC_VIEWS = {
     **CAMPAIGN_VIEWS,
+    "chunks": chunks_sql(v.CHUNK_DAYS),
     "f_moved": """SELECT b.* EXCLUDE (close), t.task_id, t.end_date,
           CASE WHEN orderkey % 61 = 0 THEN high + 1 ELSE close END AS close
         FROM bars_clean b JOIN camp_tasks t ON t.symbol = b.symbol
