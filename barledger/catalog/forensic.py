@@ -30,7 +30,7 @@ def task_rows(spark, sf):
     The planted open equals the previous close of the same task, so the window here has at
     most one row per calendar day of a chunk.
     """
-    bars = v.bars_clean(spark, sf)
+    bars = v.bars_clean(spark, sf).where(F.col("date") <= x.lit_date(v.END))  # the tasks' range
     chunk = F.floor(F.datediff("date", x.lit_date(v.START)) / v.CHUNK_DAYS).cast("int")
     start = F.date_add(x.lit_date(v.START), chunk * v.CHUNK_DAYS)
     end = F.least(F.date_add(start, v.CHUNK_DAYS - 1), x.lit_date(v.END))

@@ -434,7 +434,7 @@ def a24_verdict_rules(spark, sf):
        UNION ALL SELECT l.probe_id, 'zero_volume_or_one_sided_dates' FROM looked l
          JOIN compared c ON c.probe_id = l.probe_id WHERE l.case_class LIKE '%_and_kbs_stale'
          AND (window_zero > 0 OR b_only > 0)
-       UNION ALL SELECT NULL, 'qualification_incomplete'""",
+       UNION ALL SELECT NULL, 'qualification_incomplete' FROM looked HAVING NOT bool_and(executed)""",
     QUALIFY_VIEWS,
 )
 def a25_failure_rows(spark, sf):

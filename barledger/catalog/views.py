@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barledger.operators.ordering import top_rows
 from barledger.operators.units import KBS, VCI
 
 START, END = "1995-01-01", "2001-11-04"
+#: First weekday of the tables.
+MONDAY = "1995-01-02"
 CHUNK_DAYS = 730
 STAMP = "2024-01-31T00:00:00Z"
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity"]
@@ -60,10 +61,25 @@ def bars_raw(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _dated(rows: DataFrame, may_repeat: str = "false") -> DataFrame:
+    """Every line as a bar on a weekday of its own.
+
+    Weekend lines move to Monday; of a supplier's lines in order, each that finds its day taken
+    moves to the next free weekday (running maximum of day number less line number).
+    Suppliers that ``may_repeat`` keep their days as they are.
+    """
+    days = F.datediff(F.col("l_shipdate").cast("date"), F.lit(MONDAY).cast("date"))
+    given = F.floor(days / 7) * 5 + F.least(days % 7, F.lit(5))
+    w = Window.partitionBy("l_suppkey").orderBy("__w", *LINE_ORDER)
+    rows = rows.withColumn("__w", given.cast("bigint")).withColumn("__n", F.row_number().over(w).cast("bigint"))
+    moved = F.col("__n") + F.max(F.col("__w") - F.col("__n")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("__w", F.when(F.expr(may_repeat), F.col("__w")).otherwise(moved))
+    date = F.date_add(F.lit(MONDAY).cast("date"), (F.floor(F.col("__w") / 5) * 7 + F.col("__w") % 5).cast("int"))
+    return rows.withColumn("date", date).drop("__w", "__n")
+
+
 def _clean_lines(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
-    lines = table(spark, sf, "lineitem") if rows is None else rows
-    dated = lines.withColumn("date", F.col("l_shipdate").cast("date")).where("weekday(date) < 5")
-    return top_rows(dated, ["l_suppkey", "date"], LINE_ORDER, 1, "__r").drop("__r")
+    return _dated(table(spark, sf, "lineitem") if rows is None else rows)
 
 
 def _as_bars(lines: DataFrame) -> DataFrame:
@@ -87,7 +103,7 @@ def _as_bars(lines: DataFrame) -> DataFrame:
 
 
 def bars_clean(spark: SparkSession, sf: str) -> DataFrame:
-    """Normalized daily bars: weekdays, one row per symbol and date, no provenance."""
+    """Normalized daily bars of every line, one per symbol and weekday, no provenance."""
     return _as_bars(_clean_lines(spark, sf))
 
 
@@ -149,11 +165,9 @@ def k_mod(column: str, n: int) -> Column:
 
 
 def _source(spark: SparkSession, sf: str, odd: bool) -> DataFrame:
-    """Weekday bars of odd or even lines; every fourth supplier keeps repeated days."""
+    """Bars of odd or even lines; every fourth supplier keeps repeated days."""
     lines = table(spark, sf, "lineitem").where(F.col("l_linenumber") % 2 == (1 if odd else 0))
-    dated = lines.withColumn("date", F.col("l_shipdate").cast("date")).where("weekday(date) < 5")
-    once = top_rows(dated.where("l_suppkey % 4 <> 3"), ["l_suppkey", "date"], LINE_ORDER, 1, "__r")
-    kept = once.drop("__r").unionByName(dated.where("l_suppkey % 4 = 3"))
+    kept = _dated(lines, "l_suppkey % 4 = 3")
     return kept.select(
         *LINE_ORDER,
         _symbol("l_suppkey").alias("symbol"),
@@ -248,6 +262,15 @@ def _prov_sql() -> str:
     return ", ".join(parts)
 
 
+def _dated_sql(where: str, may_repeat: str = "false") -> str:
+    order = f"PARTITION BY l_suppkey ORDER BY w, {_ORDER}"
+    return f"""(SELECT * EXCLUDE (w, n, m), DATE '{MONDAY}' + CAST(m // 5 * 7 + m % 5 AS INT) AS date FROM (
+        SELECT *, CASE WHEN {may_repeat} THEN w ELSE n + max(w - n) OVER ({order} ROWS UNBOUNDED PRECEDING) END AS m FROM (
+          SELECT *, row_number() OVER ({order}) AS n FROM (
+            SELECT *, days // 7 * 5 + least(days % 7, 5) AS w FROM (
+              SELECT *, date_diff('day', DATE '{MONDAY}', CAST(l_shipdate AS DATE)) AS days FROM lineitem WHERE {where})))))"""
+
+
 VIEW_SQL: dict[str, str] = {
     "bars_raw": f"""
         SELECT {_ORDER}, l_suppkey AS suppkey, 'S' || l_suppkey AS symbol,
@@ -266,9 +289,7 @@ VIEW_SQL: dict[str, str] = {
         SELECT l_orderkey AS orderkey, l_suppkey AS suppkey, 'vnstock' AS provider,
           'S' || l_suppkey AS symbol, 'HOSE' AS exchange, date, {_BAR},
           CAST(NULL AS BOOLEAN) AS adjusted_flag, '1D' AS source_resolution
-        FROM (SELECT *, CAST(l_shipdate AS DATE) AS date FROM lineitem)
-        WHERE isodow(date) < 6
-        QUALIFY row_number() OVER (PARTITION BY l_suppkey, date ORDER BY {_ORDER}) = 1""",
+        FROM {_dated_sql("true")}""",
     "bars_prov": f"SELECT *, {_prov_sql()} FROM bars_clean",
     "suppliers": "SELECT s_suppkey AS suppkey, 'S' || s_suppkey AS symbol FROM supplier",
     "universe_raw": """
@@ -283,15 +304,11 @@ VIEW_SQL: dict[str, str] = {
                 JOIN region ON n_regionkey = r_regionkey)
         CROSS JOIN (VALUES (0), (1)) v(c) WHERE c = 0 OR suppkey % 29 = 0""",
     "source_a": f"""
-        SELECT {_ORDER}, 'S' || l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS date, {_BAR}
-        FROM lineitem WHERE l_linenumber % 2 = 1 AND isodow(l_shipdate) < 6
-        QUALIFY l_suppkey % 4 = 3 OR row_number() OVER (PARTITION BY l_suppkey,
-          CAST(l_shipdate AS DATE) ORDER BY {_ORDER}) = 1""",
+        SELECT {_ORDER}, 'S' || l_suppkey AS symbol, date, {_BAR}
+        FROM {_dated_sql("l_linenumber % 2 = 1", "l_suppkey % 4 = 3")}""",
     "source_b": f"""
-        SELECT {_ORDER}, 'S' || l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS date, {_BAR}
-        FROM lineitem WHERE l_linenumber % 2 = 0 AND isodow(l_shipdate) < 6
-        QUALIFY l_suppkey % 4 = 3 OR row_number() OVER (PARTITION BY l_suppkey,
-          CAST(l_shipdate AS DATE) ORDER BY {_ORDER}) = 1""",
+        SELECT {_ORDER}, 'S' || l_suppkey AS symbol, date, {_BAR}
+        FROM {_dated_sql("l_linenumber % 2 = 0", "l_suppkey % 4 = 3")}""",
     "intraday_raw": """
         SELECT event_id, 'U' || user_id AS symbol, '1m' AS resolution,
           date_trunc('minute', ts) AS ts_minute, event_id % 31 = 0 AS zoned,
