@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barledger.llm import chat, divergence, fixity, idcoder, nbest, segments, suffix_dedup, superminhash, templates, token_cache
+from barledger.llm import chat, divergence, fixity, idcoder, nbest, oracles, segments, suffix_dedup, superminhash, templates, token_cache
 from barledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,4 +37,11 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_format": chat.SQL, "op6_fixity": fixity.SQL}
+    """op3, op5 and op8 need a tokenizer, op9 a fitted model, op10 a mapping chosen by vote: tests use brute force."""
+    return {
+        "op1_divergence": oracles.OP1,
+        "op2_suffix_dedup": oracles.OP2,
+        "op4_chat_format": chat.SQL,
+        "op6_fixity": fixity.SQL,
+        "op7_superminhash": oracles.OP7,
+    }
