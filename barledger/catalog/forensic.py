@@ -14,8 +14,6 @@ from barledger.functions import exprs as x
 from barledger.operators import campaign, forensics, normalize
 from barledger.sources.staging import staged
 
-POSITION = F.struct(*v.LINE_ORDER)
-
 #: Two-year chunks, as in the forensic fixtures.
 FORENSIC_PLAN = campaign.CampaignPlan("camp-1", v.START, v.END, v.CHUNK_DAYS, "2001-11-05")
 
@@ -121,7 +119,7 @@ FORENSIC_VIEWS = {
 )
 def w1_prev_close(spark, sf):
     bars = normalize.daily_bars(v.bars_raw(spark, sf), v.stamp(), carry=v.LINE_ORDER)
-    return forensics.previous_close(bars, ["symbol"], POSITION)
+    return forensics.previous_close(bars, ["symbol"], F.struct(*v.LINE_ORDER))
 
 
 @query(

@@ -16,23 +16,12 @@ LIQUIDITY_VERSION = "liquidity-characterization-v2"
 AVAILABILITY_VERSION = "daily-availability-v1"
 COVERAGE_VERSION = "daily-coverage-v1"
 CAMPAIGN_VERSION = "daily-ingestion-campaign-v1"
-CAMPAIGN_STATE_VERSION = "daily-campaign-state-v2"
-READINESS_VERSION = "daily-campaign-readiness-v1"
 READINESS_POLICY_VERSION = "campaign-research-readiness-policy-v1"
 ASSEMBLED_VERSION = "assembled-daily-v1"
-MARKET_TIME_VERSION = "hose-market-time-v1"
 
 # --- fixed values: market time -------------------------------------------------------
 MARKET_TIMEZONE = "Asia/Ho_Chi_Minh"
 HOLIDAY_STATUS = "weekday_only_vietnam_holidays_not_applied"
-SESSION_WINDOWS = [
-    ("opening_auction", "09:00", "09:15", "periodic"),
-    ("continuous_morning", "09:15", "11:30", "continuous"),
-    ("lunch_break", "11:30", "13:00", "none"),
-    ("continuous_afternoon", "13:00", "14:30", "continuous"),
-    ("closing_auction", "14:30", "14:45", "periodic"),
-]
-NEGOTIATED_END = "15:00"
 
 PROVIDER = "vnstock"
 DAILY_RESOLUTION = "1D"

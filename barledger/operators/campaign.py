@@ -207,6 +207,8 @@ def plan_is_new(plans: DataFrame, campaign_id: str) -> DataFrame:
 
 # --- request-level checks of a daily backfill -----------------------------------------
 
+REQUEST_LOG = "succeeded boolean, row_count bigint"
+
 
 def request_checks(bars: DataFrame, limit: int = MAX_BARS_PER_REQUEST) -> DataFrame:
     """Rows per request, rows outside the requested chunk, and the truncation flag."""

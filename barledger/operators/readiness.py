@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -61,7 +63,8 @@ COVERAGE_CRITERIA = [
 
 
 def _plan_text(plan: CampaignPlan) -> Column:
-    return F.lit(repr(plan))
+    """The plan's named fields as JSON: the text hangs on names and values, not on a class's repr."""
+    return F.lit(json.dumps(dataclasses.asdict(plan), sort_keys=True, default=str))
 
 
 def evidence_digest(plan: CampaignPlan, assessments: DataFrame) -> DataFrame:

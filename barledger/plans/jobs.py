@@ -138,12 +138,17 @@ def ingest_daily(
     exchange: str = "HOSE",
     provenance: UnitProvenance | None = None,
     allow_empty: bool = False,
-    request_count: int | None = None,
+    requests: DataFrame | None = None,
     as_of: str | None = None,
     at: dt.datetime | None = None,
     campaign: tuple[str, str] | None = None,
 ) -> JobResult:
-    """Landed daily rows to a published run: request checks, row checks, gate, manifest."""
+    """Landed daily rows to a published run: request checks, row checks, gate, manifest.
+
+    ``requests`` is the request log (succeeded boolean, row_count bigint; one row per request).
+    A failed request blocks the run.  A run without rows succeeds only if it may be empty and
+    the log proves that every request succeeded without rows; without a log nothing is proven.
+    """
     at = _now(at)
     as_of = as_of or at.date().isoformat()
     raw = store.read_raw("daily", RAW_DAILY_SCHEMA, run_id)
@@ -153,7 +158,7 @@ def ingest_daily(
             carry=["request_start_date", "request_end_date", CORRUPT],
         )
     )
-    requests = camp.request_checks(
+    asked = camp.request_checks(
         bars.withColumns(
             {
                 "request_start_date": F.col("request_start_date").try_cast("date"),
@@ -169,18 +174,28 @@ def ingest_daily(
         ),
     ]
     total = rows.agg(F.count(F.lit(1)).alias("n"))
+    log = store.spark.createDataFrame([], camp.REQUEST_LOG) if requests is None else requests
+    proof = staged(camp.empty_run_allowed(log, allow_empty))
+    proven = proof.first()
+    empty_is_complete = bool(proven["empty_is_complete"] and proven["request_count"])
     no_rows = checks.fact_check(
         total, "daily", "daily_observations_available",
-        checks.INFO if allow_empty else checks.ERROR, F.col("n") == 0,
+        checks.INFO if empty_is_complete else checks.ERROR, F.col("n") == 0,
         message="The provider returned no daily observations.",
     )
+    failed_requests = checks.fact_check(
+        proof, "daily", "daily_requests_succeeded", checks.ERROR,
+        F.col("succeeded_count") < F.col("request_count"),
+        message="At least one request of the run failed.",
+    )
     results = staged(
         union_all(
             [
                 _unreadable(bars, "daily"),
-                checks.run_checks(requests, "daily", request_rules, ["symbol"]),
+                checks.run_checks(asked, "daily", request_rules, ["symbol"]),
                 quality.check_daily(rows, as_of),
                 no_rows,
+                failed_requests,
             ]
         )
     )
@@ -196,7 +211,7 @@ def ingest_daily(
         exchange=exchange, resolution="1D", symbols=symbols, start_date=start, end_date=end,
         normalized_contract=NORMALIZED_DAILY_VERSION,
         price_adjustment_semantics=camp.UNKNOWN_ADJUSTMENT, normalized_row_count=count,
-        chunks_empty=0 if count else (request_count or 1), allow_empty_success=allow_empty,
+        chunks_empty=proven["empty_count"], allow_empty_success=allow_empty,
         row_counts={"normalized": count}, unit_provenance=_record(provenance),
         campaign_id=campaign_id, campaign_task_id=task_id,
     )
@@ -354,7 +369,9 @@ def audit_run_coverage(
 ) -> JobResult:
     """Coverage of exactly one daily run against the newest universe snapshot."""
     at = _now(at)
-    manifest = store.manifests().where(F.col("run_id") == daily_run_id).limit(1).collect()
+    manifest = store.manifests().where(F.col("run_id") == daily_run_id).limit(2).collect()
+    if len(manifest) > 1:
+        raise ValueError(f"Run {daily_run_id} has more than one manifest.")
     spark = store.spark
     if not manifest or manifest[0]["status"] != "success":
         name = "daily_source_run_complete" if manifest else "daily_source_manifest_available"

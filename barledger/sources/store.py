@@ -77,13 +77,10 @@ class MarketStore:
                 T.StructField("run_id", T.StringType()),
             ]
         )
-        rows = (
-            self.spark.read.schema(full)
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .json(f"{self.root}/raw")
-            .where(F.col("dataset") == dataset)
-        )
-        return rows if run_id is None else rows.where(F.col("run_id") == run_id)
+        reader = self.spark.read.schema(full).option("columnNameOfCorruptRecord", CORRUPT)
+        # only the dataset's folder, or the run's, is listed
+        path = f"{self.root}/raw/dataset={dataset}" if run_id is None else self.raw_path(dataset, run_id)
+        return reader.option("basePath", f"{self.root}/raw").json(path)
 
     # --- published datasets -----------------------------------------------------------
 
@@ -167,6 +164,9 @@ class MarketStore:
         return self.spark.createDataFrame([], schema)
 
     def append_manifest(self, values: dict[str, object]) -> None:
+        """One manifest per run; a run id cannot be used again."""
+        if not self.manifests().where(F.col("run_id") == values["run_id"]).isEmpty():
+            raise ValueError(f"Run {values['run_id']} already has a manifest.")
         schema = schema_of(MANIFEST_SCHEMA)
         row = [tuple(values.get(f.name) for f in schema.fields)]
         self.append(self.spark.createDataFrame(row, schema), "manifests")
@@ -220,18 +220,10 @@ def input_paths(rows: DataFrame) -> DataFrame:
     return rows.where("__input_path is not null").select("__input_path").distinct()
 
 
-def stamp_source(rows: DataFrame, run_id: str) -> DataFrame:
-    """Campaign source tag: run id and stored path on every row."""
-    return rows.withColumns(
-        {"source_run_id": F.lit(run_id), "source_normalized_path": F.col("__input_path")}
-    )
-
-
 __all__ = [
     "MarketStore",
     "evidence_locations",
     "file_digests",
     "input_paths",
     "run_digests",
-    "stamp_source",
 ]

@@ -66,8 +66,9 @@ def run(store, run_id, symbol, i, days, at="2026-07-04T01:00:00", empty=False, *
     raw = flat_bars(store.spark, [(symbol, d, 10.0, 5) for d in days])
     tags = {"request_start_date": F.lit(CHUNKS[i][0]), "request_end_date": F.lit(CHUNKS[i][1])}
     store.land(raw, "daily", run_id, tags)
+    log = store.spark.createDataFrame([(True, len(days))], c.REQUEST_LOG)
     return jobs.ingest_daily(
-        store, run_id, [symbol], *CHUNKS[i], provenance=KBS, allow_empty=empty, as_of=AS_OF,
+        store, run_id, [symbol], *CHUNKS[i], provenance=KBS, allow_empty=empty, requests=log, as_of=AS_OF,
         at=dt.datetime.fromisoformat(at), campaign=("camp-a", task(symbol, i)), **extra,
     )
 
@@ -251,3 +252,28 @@ def test_forensic_audit_job(spark, store):
     assert stale.normalized_sha256 and str(stale.next_observation_date) == DAYS[1][0]
     found = names(out["results"])
     assert {r.severity for r in found.values()} == {"INFO"} and len(found) == 3
+
+
+@pytest.mark.parametrize(
+    ("days", "log", "status", "chunks_empty"),
+    [
+        (DAYS[0], [(True, 2)], "success", 0),
+        (DAYS[0], [(True, 2), (False, 0)], "failed", 0),
+        ([], [(True, 0), (True, 0)], "success", 2),
+        ([], [(True, 0), (False, 0)], "failed", 1),
+        ([], None, "failed", 0),
+    ],
+)
+def test_request_log_decides(spark, store, days, log, status, chunks_empty):
+    """A failed request never publishes, and only the log proves an empty run."""
+    raw = flat_bars(spark, [("FPT", d, 10.0, 5) for d in days])
+    tags = {"request_start_date": F.lit(CHUNKS[0][0]), "request_end_date": F.lit(CHUNKS[0][1])}
+    store.land(raw, "daily", "r", tags)
+    requests = None if log is None else spark.createDataFrame(log, c.REQUEST_LOG)
+    done = jobs.ingest_daily(store, "r", ["FPT"], *CHUNKS[0], provenance=KBS, allow_empty=True, requests=requests, as_of=AS_OF)
+    assert done.status == status
+    manifest = store.manifests().where("run_id = 'r'").first()
+    assert (manifest.status, manifest.chunks_empty) == (status, chunks_empty)
+    assert store.exists("normalized/daily") == (status == "success" and bool(days))
+    with pytest.raises(ValueError, match="already has a manifest"):
+        store.append_manifest({"run_id": "r"})
