@@ -199,7 +199,7 @@ _PANEL_SQL = """
     'observed_provider_bar' AS observation_status, 'unknown' AS price_adjustment_status,
     'daily-panel-v2' AS feature_input_contract_version, '{status}' AS unit_provenance_status,
     {ok} AS vnd_traded_value_permitted, '{name}' AS unit_policy_name
-  FROM bars_prov WHERE date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31' {where}"""
+  FROM bars_prov WHERE date BETWEEN DATE '1995-01-02' AND DATE '2001-11-30' {where}"""
 _PANEL_COLUMNS = [
     "symbol", "date", "open", "high", "low", "close", "volume", "data_backend",
     "observation_status", "price_adjustment_status", "feature_input_contract_version",
@@ -212,7 +212,7 @@ _PANEL_COLUMNS = [
     _PANEL_SQL.format(status="ambiguous", ok="false", name="unverified", where=""),
 )
 def n15_panel(spark, sf):
-    return panel.daily_panel(v.bars_prov(spark, sf), "1998-01-01", "1998-12-31").select(
+    return panel.daily_panel(v.bars_prov(spark, sf), "1995-01-02", "2001-11-30").select(
         *_PANEL_COLUMNS
     )
 
@@ -226,31 +226,31 @@ def n15_panel(spark, sf):
 def n15_panel_verified(spark, sf):
     chosen = v.suppliers(spark, sf).where("suppkey % 5 >= 3")
     return panel.daily_panel(
-        v.bars_prov(spark, sf), "1998-01-01", "1998-12-31", chosen
+        v.bars_prov(spark, sf), "1995-01-02", "2001-11-30", chosen
     ).select(*_PANEL_COLUMNS)
 
 
 @query(
     "f1_select_window",
     """SELECT symbol, strftime(date, '%Y-%m-%d') AS date, close FROM bars_clean
-       WHERE suppkey % 3 = 0 AND date BETWEEN DATE '1999-03-01' AND DATE '1999-06-30'""",
+       WHERE suppkey % 3 = 0 AND date BETWEEN DATE '1995-03-01' AND DATE '2001-06-30'""",
 )
 def f1_select_window(spark, sf):
     chosen = v.suppliers(spark, sf).where("suppkey % 3 = 0")
     return panel.select_window(
-        v.bars_clean(spark, sf), "1999-03-01", "1999-06-30", chosen
+        v.bars_clean(spark, sf), "1995-03-01", "2001-06-30", chosen
     ).select("symbol", "date", "close")
 
 
 @query(
     "f2_select_or_undated",
     f"""SELECT symbol, count(*) AS row_count, {n_where("date IS NULL")} AS undated
-        FROM bars_raw WHERE date IS NULL OR date BETWEEN DATE '1999-01-01' AND DATE '1999-12-31'
+        FROM bars_raw WHERE date IS NULL OR date BETWEEN DATE '1995-06-01' AND DATE '2001-06-30'
         GROUP BY symbol""",
 )
 def f2_select_or_undated(spark, sf):
     bars = normalize.daily_bars(v.bars_raw(spark, sf), v.stamp())
-    rows = panel.select_window(bars, "1999-01-01", "1999-12-31", keep_undated=True)
+    rows = panel.select_window(bars, "1995-06-01", "2001-06-30", keep_undated=True)
     return rows.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("row_count"), x.count_where(F.col("date").isNull()).alias("undated")
     )
@@ -275,17 +275,17 @@ def f2_select_or_undated(spark, sf):
           count(r.symbol) = 0 AS absence_of_data
         FROM (SELECT symbol, suppkey FROM suppliers UNION ALL SELECT 'NONE', -1) p
         LEFT JOIN (SELECT * FROM bars_raw
-          WHERE date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31') r
+          WHERE date BETWEEN DATE '1995-01-02' AND DATE '2001-11-30') r
           ON r.symbol = p.symbol
         LEFT JOIN cal ON cal.d = date GROUP BY p.symbol""",
-    {"cal": calendar("1996-01-01", "1999-12-31")},
+    {"cal": calendar("1995-01-02", "2001-11-30")},
 )
 def a3_availability(spark, sf):
     asked = v.suppliers(spark, sf).select("symbol").unionAll(
         spark.createDataFrame([(" none ",)], "symbol string")
     )
     bars = normalize.daily_bars(v.bars_raw(spark, sf), v.stamp())
-    return panel.availability(bars, asked, "1996-01-01", "1999-12-31").drop(
+    return panel.availability(bars, asked, "1995-01-02", "2001-11-30").drop(
         "feature_input_contract_version", "requested_start_date", "requested_end_date",
         "expected_session_model", "holiday_calendar_status",
     )
