@@ -5,11 +5,18 @@ numbers become <num>, numbers glued to letters <qty>, a unit word after a number
 capitalised word inside a sentence <name>.  Windows of ``WINDOW`` template tokens with at least
 ``LITERALS`` ordinary words are hash-joined between documents and benchmark items.
 
-For each (document, item) the slots of all joined windows are compared: each benchmark value
-takes the document value that most windows give it, windows that say otherwise are dropped.  A
-document is contaminated by an item when enough of the item's windows are left
-(``NEED`` windows or ``SHARE`` of them).  The match is ``exact`` when every slot value is
-equal and ``reparameterised`` when values were exchanged consistently.
+For each (document, item) the joined windows are judged in two ways.
+
+* **By value**, all places of the document together: each benchmark value takes the document
+  value that most windows give it, windows that say otherwise are dropped (``windows``).
+* **By slot**, each place by itself (``place_windows``, the best place): a place is a run of
+  windows that go on in document and item alike, apart by at most ``DRIFT`` tokens from one to
+  the next.  Each slot of the item takes one value there, two slots that share a benchmark
+  value may take two.
+
+A document is contaminated by an item when either way leaves enough of the item's windows
+(``NEED`` windows or ``SHARE`` of them).  The match is ``exact`` when every slot value of the
+way that leaves more is equal, and ``reparameterised`` when values were exchanged.
 
 Document windows first pass a bit table of fixed size made from the benchmark's window hashes
 (the only broadcast value: ``TABLE_BITS`` bits however large the benchmark is); what passes is
@@ -34,6 +41,8 @@ WINDOW = 8
 LITERALS = 5
 NEED = 6
 SHARE = 0.6
+#: Tokens put in or left out between two windows of one place.
+DRIFT = 4
 TABLE_BITS = 1 << 23
 
 # Unit words, singular and plural, as they follow a number.
@@ -132,7 +141,7 @@ def windows(h: np.ndarray, kind: np.ndarray, row: np.ndarray) -> tuple[np.ndarra
 
 
 def _window_rows(table=None):
-    """(d, h, w, pos, slots) of each window, or of those whose bit is set."""
+    """(d, h, w, pos, slots, offs) of each window, or of those whose bit is set."""
 
     def run(batches):
         import pyarrow as pa
@@ -147,20 +156,21 @@ def _window_rows(table=None):
                     hit = (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
                     at, w = at[hit], w[hit]
                 first = np.searchsorted(row, np.arange(hi - lo))
-                slots = []
+                slots, offs = [], []
                 for i in at.tolist():
                     inside = i + np.flatnonzero(kind[i : i + WINDOW])
+                    offs.append((inside - i).tolist())
                     slots.append([_KINDS[int(kind[j])] + ":" + data[s[j] : e[j]].tobytes().decode("utf-8", "replace").lower() for j in inside])
                 pick = pa.array(row[at] + lo)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("d").take(pick), batch.column("h").take(pick), pa.array(w.view(np.int64)), pa.array((at - first[row[at]]).astype(np.int64)), pa.array(slots, pa.list_(pa.string()))],
-                    names=["d", "h", "w", "pos", "slots"],
+                    [batch.column("d").take(pick), batch.column("h").take(pick), pa.array(w.view(np.int64)), pa.array((at - first[row[at]]).astype(np.int64)), pa.array(slots, pa.list_(pa.string())), pa.array(offs, pa.list_(pa.int32()))],
+                    names=["d", "h", "w", "pos", "slots", "offs"],
                 )
 
     return run
 
 
-_WINDOW_ROWS = "d bigint, h bigint, w bigint, pos bigint, slots array<string>"
+_WINDOW_ROWS = "d bigint, h bigint, w bigint, pos bigint, slots array<string>, offs array<int>"
 
 
 def consistent(matches: list[dict]) -> tuple[int, int]:
@@ -178,20 +188,59 @@ def consistent(matches: list[dict]) -> tuple[int, int]:
     return len(left), len(changed)
 
 
+def places(matches: list[dict]) -> list[list[dict]]:
+    """Runs of windows in document order whose item positions grow with the document's."""
+    found: list[list[dict]] = []
+    open_: dict[int, list[dict]] = {}  # by alignment, document position minus item position
+    near = sorted(range(-DRIFT, DRIFT + 1), key=abs)
+    for m in sorted(matches, key=lambda m: (m["p"], m["i"])):
+        at = m["p"] - m["i"]
+        for step in near:
+            run = open_.get(at + step)
+            # at the same alignment a gap is only a changed word; elsewhere the windows must be near
+            if run and run[-1]["i"] < m["i"] and run[-1]["p"] < m["p"] and (not step or m["p"] - run[-1]["p"] <= 2 * WINDOW + DRIFT):
+                del open_[at + step]
+                break
+        else:
+            run = []
+            found.append(run)
+        run.append(m)
+        open_[at] = run
+    return found
+
+
+def placed(matches: list[dict]) -> tuple[int, int]:
+    """Item windows of the best place, one value a slot, and benchmark values that changed there."""
+    best = (0, 0)
+    for run in places(matches):
+        votes: dict[int, Counter] = defaultdict(Counter)
+        for m in run:
+            for o, b, d in zip(m["o"], m["b"], m["v"]):
+                votes[m["i"] + o][d, d != b] += 1
+        takes = {slot: min(c.items(), key=lambda x: (-x[1], x[0][1], x[0][0]))[0][0] for slot, c in votes.items()}
+        left, changed = set(), set()
+        for m in run:
+            if all(takes[m["i"] + o] == d for o, d in zip(m["o"], m["v"])):
+                left.add(m["i"])
+                changed.update(b for b, d in zip(m["b"], m["v"]) if b != d)
+        best = max(best, (len(left), -len(changed)))
+    return best[0], -best[1]
+
+
 def _judge(batches):
     import pyarrow as pa
 
     for batch in batches:
-        found = [consistent(x) for x in batch.column("matches").to_pylist()]
+        matches = batch.column("matches").to_pylist()
+        by_value, by_slot = [consistent(x) for x in matches], [placed(x) for x in matches]
+        changed = [s[1] if s[0] >= v[0] else v[1] for v, s in zip(by_value, by_slot)]
         keep = ["d", "h", "item_id", "item_windows"]
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in keep), pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())],
-            names=[*keep, "windows", "changed_slots"],
-        )
+        made = [pa.array(x, pa.int64()) for x in ([v[0] for v in by_value], [s[0] for s in by_slot], changed)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *made], names=[*keep, "windows", "place_windows", "changed_slots"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(d, h, item_id, windows, item_windows, changed_slots, kind) of contaminated texts."""
+    """(d, h, item_id, windows, place_windows, item_windows, changed_slots, kind) of contaminated texts."""
     spark = docs.sparkSession
     key = doc_key()
     items = benchmark.select(F.coalesce("item_id", F.lit(NO_ID)).cast("bigint").alias("d"), F.xxhash64(text_or_empty()).alias("h"), text_or_empty().alias("text")).distinct()
@@ -213,12 +262,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     sizes = wanted.groupBy(F.col("d").alias("item_id")).agg(F.count_distinct("h", "pos").alias("item_windows"))
     side = wanted.select("w", F.col("d").alias("item_id"), F.col("pos").alias("i"), F.col("slots").alias("b")).distinct()
     met = hits.join(side, "w").where(F.size("b") == F.size("slots"))
-    pairs = met.groupBy("d", "h", "item_id").agg(F.collect_list(F.struct("i", "b", F.col("slots").alias("v"))).alias("matches"))
+    pairs = met.groupBy("d", "h", "item_id").agg(F.collect_list(F.struct("i", "b", F.col("slots").alias("v"), F.col("pos").alias("p"), F.col("offs").alias("o"))).alias("matches"))
     judged = pairs.join(sizes, "item_id").select("d", "h", "item_id", "item_windows", "matches").mapInArrow(
-        _judge, "d bigint, h bigint, item_id bigint, item_windows bigint, windows bigint, changed_slots bigint"
+        _judge, "d bigint, h bigint, item_id bigint, item_windows bigint, windows bigint, place_windows bigint, changed_slots bigint"
     )
-    enough = (F.col("windows") >= NEED) | (F.col("windows") >= SHARE * F.col("item_windows"))
-    return judged.where(enough & (F.col("windows") > 0)).withColumn(
+    most = F.greatest("windows", "place_windows")
+    enough = (most >= NEED) | (most >= SHARE * F.col("item_windows"))
+    return judged.where(enough & (most > 0)).withColumn(
         "kind", F.when(F.col("changed_slots") == 0, F.lit("exact")).otherwise(F.lit("reparameterised"))
     )
 
@@ -227,7 +277,7 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per contaminated document and item; rows of ``docs`` repeated whole count once."""
     found = staged(contaminated(docs, benchmark))
     ids = lambda c: F.nullif(F.col(c), F.lit(NO_ID)).alias
-    return found.select(ids("d")("doc_id"), ids("item_id")("item_id"), "windows", "item_windows", "changed_slots", "kind")
+    return found.select(ids("d")("doc_id"), ids("item_id")("item_id"), "windows", "place_windows", "item_windows", "changed_slots", "kind")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

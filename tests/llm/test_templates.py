@@ -77,3 +77,22 @@ def test_empty_tables(spark):
     assert tp.report(docs.limit(0), bench).collect() == []
     assert tp.report(docs, bench.limit(0)).collect() == []
     assert tp.drop_contaminated(docs, bench.limit(0)).count() == 1
+
+
+def test_one_value_in_several_slots_and_two_variants(spark):
+    rng = random.Random(5)
+    noise = lambda n: " ".join("".join(rng.choice("abcdefghi") for _ in range(5)) for _ in range(n))
+    item = "If {} boys and {} girls share {} cakes and {} pies equally how many pieces does each child get"
+    long = "a tank holds {} litres and the old pump moves {} litres while the new pump moves {} litres so how long does it take until the tank is empty"
+    rows = [
+        (1, noise(9) + "\n" + item.format(3, 4, 5, 9) + "\n" + noise(9)),  # one benchmark value, four values
+        (2, noise(9) + "\n" + long.format(9, 3, 6) + "\n" + noise(30) + "\n" + long.format(8, 4, 5) + "\n" + noise(9)),  # two variants
+        (3, noise(9) + "\n" + item.format(3, 4, 5, 9).replace("girls share", "girls do share") + "\n" + noise(9)),  # a word put in
+        (4, noise(90)), (5, " ".join(item.format(2, 2, 2, 2).split()[:10]) + " " + noise(30)),
+    ]
+    bench = spark.createDataFrame([(1, item.format(2, 2, 2, 2)), (2, long.format(7, 2, 5))], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r for r in tp.report(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).collect()}
+    assert sorted(got) == [(1, 1), (2, 2), (3, 1)]
+    assert got[1, 1].place_windows == got[1, 1].item_windows > got[1, 1].windows
+    assert got[2, 2].place_windows == got[2, 2].item_windows > got[2, 2].windows
+    assert {r.kind for r in got.values()} == {"reparameterised"}
