@@ -18,12 +18,20 @@ A document is contaminated by an item when either way leaves enough of the item'
 (``NEED`` windows or ``SHARE`` of them).  The match is ``exact`` when every slot value of the
 way that leaves more is equal, and ``reparameterised`` when values were exchanged.
 
+Items without a usable window (under ``WINDOW`` tokens, or dense with numbers, units and names)
+have one template of all their tokens, hashed at its own length and joined in the same way.
+They have no share: the document holds the whole template or not.  Equal slots always count;
+exchanged values count when each benchmark value takes one value and the item has an ordinary
+word.  Their rows have one window of one.
+
 Document windows first pass a bit table of fixed size made from the benchmark's window hashes
 (the only broadcast value: ``TABLE_BITS`` bits however large the benchmark is); what passes is
 joined in Spark, so the table never decides.
 
-Defined cases: null texts have no tokens; texts and items shorter than a window match nothing;
-repeated rows give equal results; only the named columns are read.
+Lengths of such items reach the driver, one number for each distinct length.
+
+Defined cases: null texts and items have no tokens and match nothing; a text shorter than a
+window can hold whole items only; repeated rows give equal results; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -140,27 +148,90 @@ def windows(h: np.ndarray, kind: np.ndarray, row: np.ndarray) -> tuple[np.ndarra
     return at, flat.mix(out)
 
 
+def _slot(data: np.ndarray, s: np.ndarray, e: np.ndarray, kind: np.ndarray, j: int) -> str:
+    return _KINDS[int(kind[j])] + ":" + data[s[j] : e[j]].tobytes().decode("utf-8", "replace").lower()
+
+
+def spans(h: np.ndarray, row: np.ndarray, size: int, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First token and hash of each run of ``size`` tokens inside a text; ``p`` is the prefix hash of ``h``."""
+    n = len(h) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    at = np.flatnonzero(row[:n] == row[size - 1 :])
+    return at, flat.span_hash(p, at, at + size)
+
+
+def _set_bits(table: bytes, w: np.ndarray) -> np.ndarray:
+    bits = np.frombuffer(table, np.uint64)
+    slot = w % np.uint64(TABLE_BITS)
+    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _item_rows(batches):
+    """(d, h, w, size, plain, slots) of each item without a usable window."""
+    import pyarrow as pa
+
+    for batch in batches:
+        for lo, hi, data, off in flat.blocks(batch.column("text")):
+            s, e, row, h, kind = tokens(data, off)
+            windowed = np.unique(row[windows(h, kind, row)[0]])
+            p = flat.prefix_hash(h)
+            whole = [i for i in np.unique(row).tolist() if i not in windowed]
+            first, last = np.searchsorted(row, whole), np.searchsorted(row, whole, "right")
+            w = flat.span_hash(p, first, last)
+            slots = [[_slot(data, s, e, kind, j) for j in range(a, b) if kind[j]] for a, b in zip(first, last)]
+            plain = [int((kind[a:b] == 0).sum()) for a, b in zip(first, last)]
+            pick = pa.array(np.array(whole, np.int64) + lo)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("d").take(pick), batch.column("h").take(pick), pa.array(w.view(np.int64)), pa.array(last - first, pa.int64()), pa.array(plain, pa.int64()), pa.array(slots, pa.list_(pa.string()))],
+                names=["d", "h", "w", "size", "plain", "slots"],
+            )
+
+
+def _whole_rows(table, sizes: list[int]):
+    """(d, h, w, slots) of the runs of tokens whose bit is set, each once a text and block."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for lo, hi, data, off in flat.blocks(batch.column("text")):
+                s, e, row, h, kind = tokens(data, off)
+                p = flat.prefix_hash(h)
+                found: dict[tuple, None] = {}
+                for size in sizes:
+                    at, w = spans(h, row, size, p)
+                    hit = _set_bits(table.value, w)
+                    for i, x in zip(at[hit].tolist(), w[hit].view(np.int64).tolist()):
+                        found[int(row[i]) + lo, x, tuple(_slot(data, s, e, kind, j) for j in range(i, i + size) if kind[j])] = None
+                pick = pa.array([r for r, _, _ in found], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("d").take(pick), batch.column("h").take(pick), pa.array([w for _, w, _ in found], pa.int64()), pa.array([list(v) for _, _, v in found], pa.list_(pa.string()))],
+                    names=["d", "h", "w", "slots"],
+                )
+
+    return run
+
+
 def _window_rows(table=None):
     """(d, h, w, pos, slots, offs) of each window, or of those whose bit is set."""
 
     def run(batches):
         import pyarrow as pa
 
-        bits = None if table is None else np.frombuffer(table.value, np.uint64)
         for batch in batches:
             for lo, hi, data, off in flat.blocks(batch.column("text")):
                 s, e, row, h, kind = tokens(data, off)
                 at, w = windows(h, kind, row)
-                if bits is not None:
-                    slot = w % np.uint64(TABLE_BITS)
-                    hit = (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+                if table is not None:
+                    hit = _set_bits(table.value, w)
                     at, w = at[hit], w[hit]
                 first = np.searchsorted(row, np.arange(hi - lo))
                 slots, offs = [], []
                 for i in at.tolist():
                     inside = i + np.flatnonzero(kind[i : i + WINDOW])
                     offs.append((inside - i).tolist())
-                    slots.append([_KINDS[int(kind[j])] + ":" + data[s[j] : e[j]].tobytes().decode("utf-8", "replace").lower() for j in inside])
+                    slots.append([_slot(data, s, e, kind, j) for j in inside])
                 pick = pa.array(row[at] + lo)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("d").take(pick), batch.column("h").take(pick), pa.array(w.view(np.int64)), pa.array((at - first[row[at]]).astype(np.int64)), pa.array(slots, pa.list_(pa.string())), pa.array(offs, pa.list_(pa.int32()))],
@@ -239,13 +310,8 @@ def _judge(batches):
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *made], names=[*keep, "windows", "place_windows", "changed_slots"])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(d, h, item_id, windows, place_windows, item_windows, changed_slots, kind) of contaminated texts."""
-    spark = docs.sparkSession
-    key = doc_key()
-    items = benchmark.select(F.coalesce("item_id", F.lit(NO_ID)).cast("bigint").alias("d"), F.xxhash64(text_or_empty()).alias("h"), text_or_empty().alias("text")).distinct()
-    wanted = staged(items.mapInArrow(_window_rows(), _WINDOW_ROWS))
-    # the bit table: at most TABLE_BITS / 64 rows whatever the benchmark's size
+def _bit_table(wanted: DataFrame):
+    """Broadcast bits of the hashes ``w``: at most TABLE_BITS / 64 rows whatever the benchmark's size."""
     bit = F.expr(f"w & {TABLE_BITS - 1}L")
     rows = (
         wanted.select(bit.alias("bit"))
@@ -256,7 +322,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bits = np.zeros(TABLE_BITS // 64, np.uint64)
     for r in rows:
         bits[r["at"]] = np.uint64(r["bits"] & (2**64 - 1))
-    table = spark.sparkContext.broadcast(bits.tobytes())
+    return wanted.sparkSession.sparkContext.broadcast(bits.tobytes())
+
+
+def _whole(items: DataFrame, texts: DataFrame) -> DataFrame:
+    """Judged rows of the items without a usable window."""
+    wanted = staged(items.mapInArrow(_item_rows, "d bigint, h bigint, w bigint, size bigint, plain bigint, slots array<string>"))
+    sizes = sorted(r["size"] for r in wanted.select("size").distinct().collect())
+    if sizes:
+        hits = texts.mapInArrow(_whole_rows(_bit_table(wanted), sizes), "d bigint, h bigint, w bigint, slots array<string>").distinct()
+    else:
+        hits = texts.sparkSession.createDataFrame([], "d bigint, h bigint, w bigint, slots array<string>")
+    side = wanted.select("w", "plain", F.col("d").alias("item_id"), F.col("slots").alias("b")).distinct()
+    met = hits.join(side, "w").where(F.size("b") == F.size("slots"))
+    # pairs (benchmark value, document value): as many as benchmark values when each takes one
+    pairs = F.array_distinct(F.arrays_zip(F.col("b").alias("b"), F.col("slots").alias("v")))
+    met = met.withColumn("one", F.size(pairs) == F.size(F.array_distinct("b")))
+    met = met.withColumn("changed", F.size(F.filter(pairs, lambda x: x["b"] != x["v"])))
+    fits = met.where((F.col("changed") == 0) | (F.col("one") & (F.col("plain") > 0)))
+    one = F.lit(1).cast("bigint").alias
+    return fits.groupBy("d", "h", "item_id").agg(F.min("changed").cast("bigint").alias("changed_slots")).select(
+        "d", "h", "item_id", one("item_windows"), one("windows"), one("place_windows"), "changed_slots"
+    )
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(d, h, item_id, windows, place_windows, item_windows, changed_slots, kind) of contaminated texts."""
+    key = doc_key()
+    items = benchmark.select(F.coalesce("item_id", F.lit(NO_ID)).cast("bigint").alias("d"), F.xxhash64(text_or_empty()).alias("h"), text_or_empty().alias("text")).distinct()
+    wanted = staged(items.mapInArrow(_window_rows(), _WINDOW_ROWS))
+    table = _bit_table(wanted)
     texts = docs.select(key["d"].alias("d"), key["h"].alias("h"), text_or_empty().alias("text"))
     hits = staged(texts.mapInArrow(_window_rows(table), _WINDOW_ROWS).distinct())
     sizes = wanted.groupBy(F.col("d").alias("item_id")).agg(F.count_distinct("h", "pos").alias("item_windows"))
@@ -268,7 +363,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     most = F.greatest("windows", "place_windows")
     enough = (most >= NEED) | (most >= SHARE * F.col("item_windows"))
-    return judged.where(enough & (most > 0)).withColumn(
+    judged = judged.where(enough & (most > 0))
+    return judged.unionByName(_whole(items, texts)).withColumn(
         "kind", F.when(F.col("changed_slots") == 0, F.lit("exact")).otherwise(F.lit("reparameterised"))
     )
 

@@ -96,3 +96,17 @@ def test_one_value_in_several_slots_and_two_variants(spark):
     assert got[1, 1].place_windows == got[1, 1].item_windows > got[1, 1].windows
     assert got[2, 2].place_windows == got[2, 2].item_windows > got[2, 2].windows
     assert {r.kind for r in got.values()} == {"reparameterised"}
+
+
+def test_items_without_a_window(spark):
+    sum_ = "What is 12 + 7 * 3 - 45 / 9 + 88"
+    bench = [(1, sum_), (2, "Name the capital of Peru"), (3, "5 5 6"), (4, "Add 4 to 4"), (5, "... --"), (6, None)]
+    rows = [
+        (1, "well then: " + sum_ + " is asked here"), (2, "so. What is 1 + 2 * 3 - 4 / 5 + 6 then"), (3, "please name the capital of Peru today"),
+        (4, "see 5, 5, 6 there"), (5, "see 7, 7, 8 there"), (6, "add 9 to 9 now"), (7, "add 9 to 8 now"), (8, "name the capital"), (9, None),
+        (10, "now name the capital of Chile"), (11, sum_.replace("88", "")),
+    ]
+    got = tp.report(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(bench, "item_id bigint, text string"))
+    assert {(r.doc_id, r.item_id, r.kind) for r in got.collect()} == {
+        (1, 1, "exact"), (2, 1, "reparameterised"), (3, 2, "exact"), (4, 3, "exact"), (6, 4, "reparameterised"), (10, 2, "reparameterised"),
+    }
