@@ -1,5 +1,9 @@
 """N-best segmentation of texts over the lattice of a SentencePiece model, and decoding.
 
+The given model is a BPE model: its scores are merge ranks, not log-probabilities.  The best path
+by their sum is therefore not the library's encoding, which merges greedily by rank.  ``encoded``
+without digests gives both: the library's own ids, and the N best paths beside them.
+
 A text is read as the library reads it: one leading space, spaces written as U+2581.  No
 ordinary piece holds that mark after its first character, so the lattice of a text is the chain
 of its words' lattices (checked when a model is loaded).
@@ -31,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barledger.llm import flat
+from barledger.llm.chunked import tokenizer
 
 MARK = "▁"
 N_BEST = 4
@@ -307,11 +312,19 @@ def lattice(model: str) -> Lattice:
     return _LOADED[model]
 
 
+def _lists(rows: list[np.ndarray]):
+    import pyarrow as pa
+
+    cut = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32)))
+
+
 def _rows(n: int, model: str | None, digests: bool):
     def run(batches):
         import pyarrow as pa
 
-        lat = lattice(model or default_model())
+        path = model or default_model()
+        lat = lattice(path)
         for batch in batches:
             for lo, hi, data, off in flat.blocks(batch.column("text")):
                 body = data.tobytes()
@@ -320,29 +333,36 @@ def _rows(n: int, model: str | None, digests: bool):
                 best = [np.frombuffer(f[0][1], np.int32) for f in found]
                 scores = pa.array([[s for s, _ in f] for f in found], pa.list_(pa.float64()))
                 same = pa.array([lat.decode(b.tolist()) == t for b, t in zip(best, texts)])
-                pieces = pa.array([len(b) for b in best], pa.int64())
                 keep = [c for c in batch.schema.names if c != "text"]
                 given = [batch.column(c).slice(lo, hi - lo) for c in keep]
                 if digests:
+                    pieces = pa.array([len(b) for b in best], pa.int64())
                     sums = pa.array([[zlib.crc32(i) for _, i in f] for f in found], pa.list_(pa.int64()))
                     yield pa.RecordBatch.from_arrays([*given, pieces, scores, sums, same], names=[*keep, "n_pieces", "scores", "ids_crc32", "round_trip"])
                 else:
-                    cut = np.concatenate(([0], np.cumsum([len(b) for b in best]))).astype(np.int32)
-                    ids = pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(best) if best else np.zeros(0, np.int32)))
-                    yield pa.RecordBatch.from_arrays([*given, pieces, scores, ids, same], names=[*keep, "n_pieces", "scores", "ids", "round_trip"])
+                    own = [np.frombuffer(b, np.int32) for b in tokenizer(path).encode(texts)]
+                    pieces = pa.array([len(b) for b in own], pa.int64())
+                    ways = pa.array(np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32))
+                    paths = pa.ListArray.from_arrays(ways, _lists([np.frombuffer(i, np.int32) for f in found for _, i in f]))
+                    yield pa.RecordBatch.from_arrays(
+                        [*given, pieces, scores, _lists(own), paths, same], names=[*keep, "n_pieces", "scores", "ids", "paths", "round_trip"]
+                    )
 
     return run
 
 
 def encoded(docs: DataFrame, n: int = N_BEST, model: str | None = None, digests: bool = False) -> DataFrame:
-    """Columns of ``docs`` but text, then n_pieces, the N best scores, ids of the best (or the
-    CRC-32 of each of the N best id lists), and whether decoding returned the text."""
+    """Columns of ``docs`` but text, then number and ids of the library's pieces, scores and ids
+    (``paths``) of the N best paths, and whether decoding the best path returned the text.
+
+    With ``digests``, n_pieces is that of the best path, and the CRC-32 of each path stands for the ids.
+    """
     others = [c for c in docs.columns if c != "text"]
     carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     kind = carried.schema["row"].dataType.simpleString()
-    what = "ids_crc32 array<bigint>" if digests else "ids array<int>"
+    what = "ids_crc32 array<bigint>" if digests else "ids array<int>, paths array<array<int>>"
     out = carried.mapInArrow(_rows(n, model, digests), f"row {kind}, n_pieces bigint, scores array<double>, {what}, round_trip boolean")
-    made = ["n_pieces", "scores", what.split()[0], "round_trip"]
+    made = ["n_pieces", "scores", *(["ids_crc32"] if digests else ["ids", "paths"]), "round_trip"]
     return out.select(*[F.col(f"row.`{c}`").alias(c) for c in others if c not in made], *made)
 
 

@@ -102,3 +102,18 @@ def test_query(spark):
     mine = nbest.lattice(nbest.default_model()).encode([TEXTS[3]], 4)[0]
     assert sums[3].ids_crc32 == [zlib.crc32(i) for _, i in mine]
     assert nbest.report(df.limit(0)).collect() == []
+
+
+def test_encoded_carries_the_ids_of_the_library(spark):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=nbest.default_model())
+    texts = [t for t in TEXTS if t] + ["the die is cast", "a    b  c"]
+    df = spark.createDataFrame([*enumerate(texts), (None, None)], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in nbest.encoded(df, 3).collect()}
+    mine = nbest.lattice(nbest.default_model()).encode(texts, 3)
+    for i, t in enumerate(texts):
+        assert list(got[i].ids) == sp.encode(t) and got[i].n_pieces == len(got[i].ids)
+        assert [list(p) for p in got[i].paths] == [np.frombuffer(p, np.int32).tolist() for _, p in mine[i]]
+    assert list(got[None].ids) == [] and [list(p) for p in got[None].paths] == [[]]
+    assert any(list(r.ids) != list(r.paths[0]) for r in got.values())
