@@ -4,7 +4,8 @@ Each text gives two histograms: character classes, and counts of the commonest f
 of the reference languages (all other words are one bin).  Both are compared with every
 language's reference by Jensen-Shannon distance (base 2, 0 to 1); the nearest language counts.
 A text is rejected when the nearest distance is above the limit and the text is long enough
-for the test (``min_chars``, ``min_words``); shorter texts pass it.  Base rules come first.
+for the test (``min_chars``, ``min_words``); shorter texts pass it, and so do texts of a language
+without a reference.  Base rules come first.
 
 References are the mean shares over all texts of a language that pass the base rules and the
 length guards; they are made twice, the second time without the texts that the first would
@@ -14,7 +15,7 @@ references and the verdicts are read from there.
 
 Defined cases: null or blank text has no words and fails the base rule; a language without
 reference texts is left out; with no reference at all only the base rules decide; texts whose
-``lang`` is none of the reference languages (or null) skip the word test.  Rows are judged one
+``lang`` is none of the reference languages (or null) skip both tests.  Rows are judged one
 by one, so repeated rows get equal verdicts.
 """
 
@@ -195,8 +196,8 @@ def _odd(d: DataFrame, known: dict, lang: str, limits: Limits) -> tuple[DataFram
     d = d.withColumn("__js_class", near("__class", 0)).withColumn("__js_word", near("__word", 1))
     odd_class = (F.col("__chars") >= limits.class_min_chars) & (F.col("__js_class") > limits.class_distance)
     odd_word = (F.col("__n_words") >= limits.word_min_words) & (F.col("__js_word") > limits.word_distance)
-    odd_word = odd_word & F.col(f"`{lang}`").isin(*known) if known else F.lit(False)
-    return d, F.coalesce(odd_class, F.lit(False)) | F.coalesce(odd_word, F.lit(False))
+    judgeable = F.col(f"`{lang}`").isin(*known) if known else F.lit(False)
+    return d, F.coalesce(judgeable & (F.coalesce(odd_class, F.lit(False)) | F.coalesce(odd_word, F.lit(False))), F.lit(False))
 
 
 def judged(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits = Limits(), drop_text: bool = False) -> DataFrame:

@@ -72,3 +72,14 @@ def test_distances_reject_odd_texts(spark):
 def test_short_windows(spark, n):
     df = spark.createDataFrame([(1, "w " * n, "en")], "doc_id bigint, text string, lang string")
     assert tuple(dv.report(df).first())[:7] == (1, *brute("w " * n))
+
+
+def test_languages_without_a_reference_pass(spark):
+    rng = random.Random(9)
+    russian = "Съешь же ещё этих мягких французских булок, да выпей чаю в тихом саду у старого дома. " * 2 + " ".join(
+        "".join(rng.choice("оеаинтсрвлкмдпу") for _ in range(6)) for _ in range(150)
+    )
+    rows = [(i, english(rng, 150), "en") for i in range(20)] + [(100, russian, "ru"), (101, russian, None), (102, russian, "en")]
+    got = {r.doc_id: r for r in dv.report(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert not any(r.base_failed for r in got.values()) and got[100].js_class > dv.Limits().class_distance
+    assert got[100].kept and got[101].kept and not got[102].kept
