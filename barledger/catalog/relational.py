@@ -72,9 +72,18 @@ def w8_sortedness(spark, sf):
          AS recent_date FROM bars_clean WHERE orderkey % 5 <> 0 GROUP BY symbol""",
 )
 def w9_last_valid_close(spark, sf):
-    valid = v.bars_clean(spark, sf).where("orderkey % 5 <> 0")
-    return valid.groupBy("symbol").agg(
-        F.max_by("close", "date").alias("recent_close"), F.max("date").alias("recent_date")
+    """All bars; every fifth order's close is planted null."""
+    close = F.when(F.col("orderkey") % 5 != 0, F.col("close"))
+    return last_valid_close(v.bars_clean(spark, sf).withColumn("close", close))
+
+
+def last_valid_close(bars):
+    """Newest close that is not null, and its date; symbols without any are left out."""
+    valid = F.when(F.col("close").isNotNull(), F.col("date"))
+    return (
+        bars.groupBy("symbol")
+        .agg(F.max_by("close", valid).alias("recent_close"), F.max(valid).alias("recent_date"))
+        .where("recent_date IS NOT NULL")
     )
 
 
