@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barledger.functions.exprs import count_where
+from barledger.sources.staging import staged
 
 DEFAULT_WIDTH = 1_000_000
 
@@ -58,6 +59,31 @@ def exact_rank(
     ).drop(*cell, "__offset")
 
 
+def number_rows(df: DataFrame, order: list[str | Column], name: str = "position") -> DataFrame:
+    """1-based place of each row in the total order ``order``; ties get places in input order.
+
+    A two-level prefix scan: ranges are cut at quantiles that Spark samples, rows are sorted
+    inside their range and written once with their local number, and only the ranges' row
+    counts (one row a range) are summed up.  The input ordinal is the last range key, so rows
+    that are equal in every other key are split between ranges too.
+    """
+    rows = staged(df.withColumn("__tie", F.monotonically_increasing_id()))
+    keys = [*order, "__tie"]
+    # The generated id holds the range above bit 33 and the place in the range below.
+    placed = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = staged(placed.withColumn("__at", F.monotonically_increasing_id()))
+    placed = placed.withColumn("__range", F.shiftright("__at", 33))
+    sizes = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")
+    )
+    local = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(F.broadcast(offsets), "__range").withColumn(
+        name, (local + F.col("__offset") + 1).cast("bigint")
+    ).drop("__tie", "__at", "__range", "__offset")
+
+
 def order_breaks(
     df: DataFrame,
     position: str,
