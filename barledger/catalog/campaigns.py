@@ -158,12 +158,18 @@ _ATTEMPT = [
     ("m_run IS NULL", "incompatible", "source_manifest_missing"),
     ("command <> 'data backfill-daily'", "incompatible", "source_command_incompatible"),
     ("run_status <> 'success'", "failed", "source_run_failed"),
-    ("exchange <> 'HOSE' OR run_end < end_date", "incompatible", None),
+    ("exchange <> 'HOSE' OR run_end < end_date", "incompatible", json_list([
+        ("exchange <> 'HOSE'", "exchange_mismatch"),
+        ("run_end < end_date", "source_range_does_not_cover_task"),
+    ])),
     ("paths IS NULL AND proven", "empty", "provider_returned_empty_chunk"),
     ("paths IS NULL", "incompatible", "normalized_symbol_source_missing"),
     ("paths > 1", "incompatible", "multiple_normalized_paths_for_source_symbol"),
     ("bad > 0", "incompatible", "normalized_daily_validation_failed"),
-    ("no_exchange > 0", "incompatible", "source_contains_null_exchanges"),
+    ("no_exchange > 0", "incompatible", json_list([
+        ("no_exchange > 0", "source_contains_null_exchanges"),
+        ("no_exchange = part_rows", "source_exchange_rows_mismatch"),
+    ])),
     ("n IS NULL", "empty", "successful_source_contains_no_rows_for_chunk"),
     ("wrong_units > 0", "incompatible", "row_unit_provenance_incompatible"),
     ("stale_days > 10", "stale", "last_observation_stale_for_chunk_end"),
@@ -171,20 +177,18 @@ _ATTEMPT = [
      'compatible_successful_source","legacy_contract_structurally_validated'),
     ("true", "complete", "compatible_successful_source"),
 ]
-_REASONS_5 = json_list(
-    [
-        ("exchange <> 'HOSE'", "exchange_mismatch"),
-        ("run_end < end_date", "source_range_does_not_cover_task"),
-    ]
-)
 _ST = "CASE " + " ".join(f"WHEN {c} THEN '{s}'" for c, s, _ in _ATTEMPT) + " END"
 _RS = (
     "CASE "
     + " ".join(
-        f"WHEN {c} THEN " + (_REASONS_5 if r is None else f"'[\"{r}\"]'") for c, _, r in _ATTEMPT
+        f"WHEN {c} THEN " + (r if "CASE" in r else f"'[\"{r}\"]'") for c, _, r in _ATTEMPT
     )
     + " END"
 )
+#: First day of a date's chunk; ranges then meet by equality.
+_CHUNK_OF = (
+    f"DATE '{v.START}' + CAST(date_diff('day', DATE '{v.START}', {{}}) // {CHUNK_DAYS} * {CHUNK_DAYS} AS INTEGER)"
+)
 CAMPAIGN_VIEWS = {
     "chunks": CHUNKS,
     "camp_tasks": """SELECT symbol || '__' || strftime(start_date, '%Y-%m-%d') || '__' ||
@@ -196,7 +200,8 @@ CAMPAIGN_VIEWS = {
           CASE WHEN o_orderstatus = 'P' THEN end_date - 5 ELSE end_date END AS run_end,
           'S' || (o_custkey % (SELECT count(*) FROM supplier)) || '__' ||
             strftime(start_date, '%Y-%m-%d') || '__' || strftime(end_date, '%Y-%m-%d') AS task_id
-        FROM orders JOIN chunks ON CAST(o_orderdate AS DATE) BETWEEN start_date AND end_date""",
+        FROM orders JOIN chunks ON start_date = {_CHUNK_OF.format("CAST(o_orderdate AS DATE)")}
+          AND CAST(o_orderdate AS DATE) BETWEEN start_date AND end_date""",
     "camp_manifests": """SELECT run_id AS m_run, k % 600 <> 200 AS readable,
           CASE WHEN k % 280 = 0 THEN 'data other' ELSE 'data backfill-daily' END AS command,
           CASE WHEN o_orderstatus = 'O' THEN 'failed' ELSE 'success' END AS run_status,
@@ -204,19 +209,20 @@ CAMPAIGN_VIEWS = {
           CASE WHEN k % 80 <> 0 THEN 'normalized-daily-v2' END AS normalized_contract,
           k % 240 = 40 AND k % 80 <> 0 AS proven
         FROM camp_runs WHERE k % 400 <> 0""",
-    "camp_rows": """SELECT r.k, r.run_id, b.symbol, b.suppkey, b.orderkey, b.date, b.open,
+    "camp_rows": f"""SELECT r.k, r.run_id, r.task_id, b.symbol, b.suppkey, b.orderkey, b.date, b.open,
           CASE WHEN orderkey % 997 = 0 THEN low - 1 ELSE high END AS high, low, close, volume,
           CASE WHEN k % 520 = 0 AND orderkey % 7 = 0 THEN NULL ELSE b.exchange END AS exchange,
           'normalized/' || run_id || CASE WHEN k % 440 = 0 THEN '-' || (orderkey % 2) ELSE '' END
             AS path
         FROM bars_prov b JOIN camp_runs r ON r.symbol = b.symbol
+          AND r.chunk_start = {_CHUNK_OF.format("b.date")}
           AND b.date BETWEEN r.chunk_start AND r.run_end WHERE r.k % 120 <> 40""",
     "camp_part": f"""SELECT run_id, count(DISTINCT path) AS paths, {n_where(BAD_OHLC)} AS bad,
-          {n_where("exchange IS NULL")} AS no_exchange FROM camp_rows GROUP BY run_id""",
+          {n_where("exchange IS NULL")} AS no_exchange, count(*) AS part_rows
+        FROM camp_rows GROUP BY run_id""",
     "camp_in_task": """SELECT t.task_id, c.run_id, count(*) AS n, min(c.date) AS first_d,
           max(c.date) AS last_d, count(*) FILTER (WHERE suppkey % 5 NOT IN (3, 4)) AS wrong_units
-        FROM camp_tasks t JOIN camp_rows c ON c.symbol = t.symbol
-          AND c.date BETWEEN t.start_date AND t.end_date GROUP BY ALL""",
+        FROM camp_tasks t JOIN camp_rows c USING (task_id) GROUP BY ALL""",
     "camp_joined": """SELECT t.*, r.run_id, r.k, r.day, r.run_end, m.*, p.* EXCLUDE (run_id),
           i.n, i.first_d, i.last_d, i.wrong_units, date_diff('day', i.last_d, t.end_date)
             AS stale_days
@@ -693,9 +699,39 @@ def a12_evidence_digest(spark, sf):
     return readiness.evidence_digest(PLAN, assessments(spark, sf))
 
 
+#: The plan's named fields as JSON in order of names, as the id's definition says.
+_PLAN_JSON = (
+    '{"adjustment": "unknown_provider_adjustment_flag", '
+    '"campaign_id": "camp-1", '
+    '"campaign_version": "daily-ingestion-campaign-v1", '
+    '"chunk_days": 20, '
+    '"data_backend": "kbs", '
+    '"end": "2001-11-04", '
+    '"exchange": "HOSE", '
+    '"expected_adjusted_flag": null, '
+    '"normalized_version": "normalized-daily-v2", '
+    '"provenance": {"data_backend": "kbs", '
+    '"evidence_reference": "vnstock-kbs-ohlcv-units@2026-01-31", '
+    '"policy_name": "vnstock-kbs-daily-ohlcv", '
+    '"policy_version": "1", '
+    '"price_scale_to_vnd": 1000.0, '
+    '"price_unit": "thousand_vnd", '
+    '"provider": "vnstock", '
+    '"schema_version": "daily-unit-provenance-v1", '
+    '"source_resolution": "1D", '
+    '"volume_scale_to_shares": 1.0, '
+    '"volume_unit": "shares"}, '
+    '"provider": "vnstock", '
+    '"snapshot_date": "2001-11-05", '
+    '"source_resolution": "1D", '
+    '"stale_after_days": 10, '
+    '"start": "1995-01-01"}'
+)
+
+
 @query(
     "a13_dataset_id",
-    f"""SELECT 'assembled-daily-v1-' || substr(sha256('{repr(PLAN).replace("'", "''")}|' ||
+    f"""SELECT 'assembled-daily-v1-' || substr(sha256('{_PLAN_JSON}|' ||
          {digest_sql("lines")}), 1, 16) AS assembled_dataset_id
        FROM (SELECT '{{"task_id":' || {_text("task_id")} || ',"status":' || {_text("status")} ||
            ',"selected_run_id":' || {_text("selected_run_id")} || '}}' AS line FROM camp_state)""",

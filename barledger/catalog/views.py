@@ -349,5 +349,8 @@ def oracle(body: str, extra: dict[str, str] | None = None) -> str:
     visit(body)
     if not needed:
         return body
-    ctes = ",\n".join(f"{n} AS ({known[n]})" for n in needed)
+    # A view that several others read is computed once.
+    readers = {n: sum(bool(re.search(rf"\b{n}\b", t)) for t in [body, *(known[m] for m in needed if m != n)]) for n in needed}
+    kept = {n: "MATERIALIZED " if readers[n] > 1 else "" for n in needed}
+    ctes = ",\n".join(f"{n} AS {kept[n]}({known[n]})" for n in needed)
     return f"WITH {ctes}\n{body}"
