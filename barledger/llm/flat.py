@@ -17,6 +17,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+PLAIN = np.zeros(256, bool)
+PLAIN[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -100,6 +102,33 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return start, end, np.searchsorted(offsets, start, "right") - 1
 
 
+def plain_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of digits, letters and non-ASCII characters, A-Z lower-cased, copied one space apart.
+
+    Returns the copy (8 bytes of padding behind) and start, end and row of each word in it.
+    """
+    data = LOWER[data]
+    n = len(data)
+    inside = np.zeros(n + 2, bool)
+    inside[1:-1] = PLAIN[data]
+    rows = len(offsets) - 1
+    first, last = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
+    if n:
+        edges = offsets[:-1][offsets[:-1] < n]
+        first[edges] = inside[1:-1][edges]
+        tails = offsets[1:] - 1
+        tails = tails[tails >= 0]
+        last[tails] = inside[1:-1][tails]
+    s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
+    row = np.searchsorted(offsets[: rows + 1], s, "right") - 1
+    size = e - s
+    to = np.cumsum(size + 1) - size - 1
+    packed = np.full(int((size + 1).sum()) + 8, 0x20, np.uint8)
+    source = np.flatnonzero(inside[1:-1])
+    packed[np.arange(len(source)) + np.repeat(np.arange(len(s)), size)] = data[source]
+    return packed, to, to + size, row
+
+
 def shingle_sets(words: np.ndarray, rows: np.ndarray, n_rows: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ``size``-word shingle hashes of each row, sorted; offsets of the rows.
 

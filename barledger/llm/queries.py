@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barledger.llm import chat, divergence, fixity, idcoder, nbest, oracles, segments, suffix_dedup, superminhash, templates, token_cache
+from barledger.llm import centroids, chat, divergence, fixity, idcoder, importance, licenses, nbest, oracles, oracles_drawn
+from barledger.llm import segments, suffix_dedup, superminhash, templates, token_cache
 from barledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,9 @@ def queries() -> dict[str, Query]:
         "op8_nbest": _over(nbest.report, "documents"),
         "op9_segments": _over(segments.report, "documents", "labels"),
         "op10_templates": _over(templates.report, "documents", "benchmark"),
+        "op11_importance": _over(importance.report, "documents", "benchmark"),
+        "op12_licenses": _over(licenses.report, "documents"),
+        "op13_centroids": _over(centroids.report, "embeddings"),
     }
 
 
@@ -44,4 +48,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_chat_format": chat.SQL,
         "op6_fixity": fixity.SQL,
         "op7_superminhash": oracles.OP7,
+        "op11_importance": oracles_drawn.OP11,
+        "op12_licenses": oracles_drawn.OP12,
+        "op13_centroids": oracles_drawn.OP13,
     }
