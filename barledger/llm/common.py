@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from barledger.sources.staging import shared_dir, staged
 
-__all__ = ["components", "doc_key", "shared_dir", "ship", "staged", "table", "text_or_empty"]
+__all__ = ["carried", "components", "doc_key", "restored", "shared_dir", "ship", "staged", "table", "text_or_empty"]
 
 #: Stands for a null doc_id inside keys; it sorts before every other id.
 NO_ID = -(2**63)
@@ -62,6 +62,19 @@ def doc_key(id_column: str = "doc_id", text_column: str = "text") -> Column:
     )
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """``docs`` as (node, row): the row's key beside all its columns in one struct.
+
+    Columns that an operator adds cannot clash with those of the table; ``restored`` undoes it.
+    """
+    return docs.select(doc_key().alias("node"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from the struct ``row``."""
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
 def _forest(batches):
     """Union-find inside one partition: its edges become (node, smallest node reached)."""
     import pyarrow as pa

@@ -10,13 +10,17 @@ ordered by doc_id, text hash, offset).  Texts are UTF-8 bytes and strings never
   per ``length`` bytes, and only (k-gram, context) hashes are shuffled.
 * **Classes.** Contexts equal in every byte are settled at once, however many there are.
 * **Suffix order.** What is left are contexts that share a k-gram but differ somewhere (the
-  ends of shared passages).  Their bytes meet by k-gram, suffixes are ordered by prefix
-  doubling up to ``length`` bytes and places break ties.  There the previous smaller place of
-  a suffix with a common prefix of ``length`` is its neighbour: its longest previous factor
-  reaches ``length`` if that neighbour exists, the longest next factor if the one behind does.
+  ends of shared passages).  Their bytes meet by k-gram and suffixes are ordered by prefix
+  doubling up to ``length`` bytes.  In that order each suffix has a previous and a next
+  neighbour with a smaller place; the longer of the common prefixes with the two is its longest
+  previous factor (up to ``length``), and a window whose factor reaches ``length`` has an
+  earlier copy.  The same with larger places tells later copies.
 * **Very common k-grams** (more than ``HOT`` different contexts) are first cut into runs of a
   few windows, which are again settled by class; only runs that share their common part with
-  a different run are compared window by window, by hash, with no group in one task.
+  a different run are compared window by window, by hash, with no group in one task.  These
+  k-grams never reach the suffix order.
+
+Rows repeated whole are one text with a flag: their anchors are counted once.
 
 Defined cases: null text is empty; texts shorter than ``length`` keep all bytes; rows repeated
 whole are copies in mode ``all`` and one text in mode ``later``; rows sharing a doc_id with
@@ -32,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barledger.llm import flat
-from barledger.llm.common import NO_ID, doc_key, staged, text_or_empty
+from barledger.llm.common import NO_ID, carried, doc_key, staged, text_or_empty
 
 LENGTH = 400
 GRAM = 64
@@ -126,8 +130,11 @@ def _context_bytes(length: int):
     return run
 
 
-def prefix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
-    """Rank of each suffix by its first ``depth`` bytes (equal prefixes, equal rank)."""
+def prefix_ranks(data: np.ndarray, depth: int) -> tuple[list[np.ndarray], list[int]]:
+    """Ranks of all suffixes by their first 1, 2, 4 .. ``depth`` bytes, and these lengths.
+
+    Equal prefixes have equal ranks; a suffix that ends early is shorter than any longer one.
+    """
     n = len(data)
     bits = max(1, int(n).bit_length())
     if 3 * bits > 63:
@@ -138,7 +145,7 @@ def prefix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
     def ranked(high: np.ndarray) -> np.ndarray:
         order = np.sort((high << bits) | index)
         value = order >> bits
-        out = np.empty(n, np.int64)
+        out = np.empty(n, np.int32)
         out[order & low] = np.cumsum(np.concatenate(([True], value[1:] != value[:-1])))
         return out
 
@@ -148,27 +155,66 @@ def prefix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
             out[: n - by] = rank[by:]
         return out
 
-    rank, reach = ranked(data.astype(np.int64) + 1), 1
-    while reach < depth:
+    ranks, lengths = [ranked(data.astype(np.int64) + 1)], [1]
+    while lengths[-1] < depth:
+        reach = lengths[-1]
         by = min(reach, depth - reach)
-        rank = ranked((rank << bits) | later(rank, by))
-        reach += by
-    return rank
+        ranks.append(ranked((ranks[-1].astype(np.int64) << bits) | later(ranks[-1], by)))
+        lengths.append(reach + by)
+    return ranks, lengths
+
+
+def common_prefix(ranks: list[np.ndarray], lengths: list[int], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of suffixes ``a`` and ``b``, up to the last of ``lengths``."""
+    n, depth = len(ranks[0]), lengths[-1]
+    out = np.where(ranks[-1][a] == ranks[-1][b], depth, 0)
+    open_ = np.flatnonzero(out == 0)
+    for rank, reach in zip(ranks[-2::-1], lengths[-2::-1]):
+        i, j = a[open_] + out[open_], b[open_] + out[open_]
+        inside = (i < n) & (j < n)
+        same = np.zeros(len(open_), bool)
+        same[inside] = rank[i[inside]] == rank[j[inside]]
+        out[open_[same]] += reach
+    return out
 
 
-def factor_flags(data: np.ndarray, starts: np.ndarray, place: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For suffixes at ``starts``: longest previous and longest next factor reach ``length``.
+def nearest_smaller(place: np.ndarray) -> np.ndarray:
+    """Index of the nearest element before each one that is smaller, -1 without one.
 
-    ``place`` orders the suffixes as positions; in suffix order with ties by place the previous
-    (next) smaller (larger) place with a common prefix of ``length`` is the neighbour.
+    All elements jump over their larger predecessors at once; what lies between an element and
+    the one it points to is always larger, so every jump is sound.
     """
-    rank = prefix_ranks(data, length)[starts]
-    order = np.lexsort((place, rank))
-    same = rank[order][1:] == rank[order][:-1]
-    earlier, later = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
-    earlier[order[1:]] = same
-    later[order[:-1]] = same
-    return earlier, later
+    at = np.arange(len(place)) - 1
+    live = np.flatnonzero(at >= 0)
+    while len(live):
+        live = live[place[at[live]] > place[live]]
+        at[live] = at[at[live]]
+        live = live[at[live] >= 0]
+    return at
+
+
+def previous_factors(ranks: list[np.ndarray], lengths: list[int], starts: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Longest previous factor of each suffix at ``starts``: the longest prefix, up to the last
+    length, that also starts at a smaller place.
+
+    In suffix order (ties by place) it is met at the previous or the next suffix of smaller place.
+    """
+    order = np.lexsort((place, ranks[-1][starts]))
+    sorted_place, suffix = place[order], starts[order]
+    before = nearest_smaller(sorted_place)
+    after = len(order) - 1 - nearest_smaller(sorted_place[::-1])[::-1]
+    out = np.zeros(len(starts), np.int64)
+    for other, has in ((before, before >= 0), (after, after < len(order))):
+        i = np.flatnonzero(has)
+        out[order[i]] = np.maximum(out[order[i]], common_prefix(ranks, lengths, suffix[i], suffix[other[i]]))
+    return out
+
+
+def factor_flags(data: np.ndarray, starts: np.ndarray, place: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the longest previous (next) factor of the suffixes at ``starts`` reaches ``length``."""
+    ranks, lengths = prefix_ranks(data, length)
+    earlier = previous_factors(ranks, lengths, starts, place) >= length
+    return earlier, previous_factors(ranks, lengths, starts, -place) >= length
 
 
 def _spans(d, h, s, flag, first):
@@ -221,6 +267,33 @@ def _ordered(length: int, mode: str):
     return run
 
 
+#: Rows of one output batch.
+_OUT_ROWS = 50_000
+
+
+def _batched(parts, names: list[str]):
+    """Record batches of at most about ``_OUT_ROWS`` rows from tuples of equal-length arrays."""
+    import pyarrow as pa
+
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size >= _OUT_ROWS:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=names)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=names)
+
+
+def _bodies(batches, names: list[str]):
+    """Rows of the named columns, a few at a time."""
+    for batch in batches:
+        for lo in range(0, len(batch), 1000):
+            part = batch.slice(lo, 1000)
+            yield from zip(*(part.column(c).to_pylist() for c in names))
+
+
 def _runs(length: int):
     """Cut contexts of very common k-grams into runs of windows.
 
@@ -229,24 +302,20 @@ def _runs(length: int):
     """
     size = max(1, min(RUN, length // 4))
 
-    def run(batches):
-        import pyarrow as pa
+    def cut(d, h, f, s, n, o, body):
+        p = flat.prefix_hash(np.frombuffer(body, np.uint8))
+        a = np.unique(np.concatenate(([0], np.arange((o + 1) % size, n, size))))
+        z = np.append(a[1:], n) - 1
+        side = (o - a) // size
+        begin = o - size * side
+        salt = np.full(len(a), f, np.int64).view(np.uint64) + side.view(np.uint64)
+        key = flat.span_hash(p, begin, begin - size + 1 + length) + flat.mix(salt)
+        whole = flat.span_hash(p, a, z + length) + (o - a).view(np.uint64) * np.uint64(0x9FB21C651E98DF25)
+        return np.full(len(a), d), np.full(len(a), h), key.view(np.int64), whole.view(np.int64), s + a, z - a + 1, o - a
 
-        for batch in batches:
-            d, h, f, s, n, o, body = (batch.column(c).to_pylist() for c in ("d", "h", "f", "s", "n", "o", "body"))
-            out = []
-            for i in range(len(d)):
-                p = flat.prefix_hash(np.frombuffer(body[i], np.uint8))
-                a = np.unique(np.concatenate(([0], np.arange((o[i] + 1) % size, n[i], size))))
-                z = np.append(a[1:], n[i]) - 1
-                side = (o[i] - a) // size
-                begin = o[i] - size * side
-                salt = np.full(len(a), f[i], np.int64).view(np.uint64) + side.view(np.uint64)
-                key = flat.span_hash(p, begin, begin - size + 1 + length) + flat.mix(salt)
-                whole = flat.span_hash(p, a, z + length) + (o[i] - a).view(np.uint64) * np.uint64(0x9FB21C651E98DF25)
-                out.append((np.full(len(a), d[i]), np.full(len(a), h[i]), key.view(np.int64), whole.view(np.int64), s[i] + a, z - a + 1, o[i] - a))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["d", "h", "f", "c", "s", "n", "o"])
+    def run(batches):
+        rows = _bodies(batches, ["d", "h", "f", "s", "n", "o", "body"])
+        yield from _batched((cut(*r) for r in rows), ["d", "h", "f", "c", "s", "n", "o"])
 
     return run
 
@@ -254,21 +323,15 @@ def _runs(length: int):
 def _windows(length: int):
     """Each window of the wanted runs as a context of its own, keyed by its hash."""
 
-    def run(batches):
-        import pyarrow as pa
+    def cut(d, h, s, n, body, wanted):
+        at = [np.arange(x["s"], x["s"] + x["n"]) - s for x in wanted if s <= x["s"] < s + n]
+        a = np.concatenate(at) if at else np.zeros(0, np.int64)
+        key = flat.span_hash(flat.prefix_hash(np.frombuffer(body, np.uint8)), a, a + length).view(np.int64)
+        return np.full(len(a), d), np.full(len(a), h), key, key, a + s, np.ones(len(a), np.int64), np.zeros(len(a), np.int64)
 
-        for batch in batches:
-            d, h, s, n, body, wanted = (batch.column(c).to_pylist() for c in ("d", "h", "s", "n", "body", "wanted"))
-            out = []
-            for i in range(len(d)):
-                p = flat.prefix_hash(np.frombuffer(body[i], np.uint8))
-                at = [np.arange(x["s"], x["s"] + x["n"]) - s[i] for x in wanted[i] if s[i] <= x["s"] < s[i] + n[i]]
-                if at:
-                    a = np.concatenate(at)
-                    key = flat.span_hash(p, a, a + length).view(np.int64)
-                    out.append((np.full(len(a), d[i]), np.full(len(a), h[i]), key, key, a + s[i], np.ones(len(a), np.int64), np.zeros(len(a), np.int64)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["d", "h", "f", "c", "s", "n", "o"])
+    def run(batches):
+        rows = _bodies(batches, ["d", "h", "s", "n", "body", "wanted"])
+        yield from _batched((cut(*r) for r in rows), ["d", "h", "f", "c", "s", "n", "o"])
 
     return run
 
@@ -279,10 +342,13 @@ _ROWS = "d bigint, h bigint, f bigint, c bigint, s bigint, n bigint, o bigint"
 def _settle(rows: DataFrame, length: int, mode: str) -> tuple[DataFrame, DataFrame]:
     """Spans of contexts with equal copies; one row of each class that shares its key with another class."""
     often = rows.groupBy("f").agg(F.count("*").alias("rows")).where("rows > 1").select("f")
-    live = staged(rows.join(often, "f", "left_semi"))
+    found = rows.join(often, "f", "left_semi")
+    # Texts repeated whole give the same row again: one row a place, with their number.
+    live = staged(found.groupBy("d", "h", "f", "c", "s", "n", "o").agg(F.count("*").alias("times")))
     place = F.struct("d", "h", "s")
+    copies = F.sum("times") if mode == "all" else F.count("*")
     classes = staged(
-        live.groupBy("f", "c").agg(F.count("*").alias("copies"), F.min(place).alias("first"), F.max("n").alias("n"), F.max("o").alias("o"))
+        live.groupBy("f", "c").agg(copies.alias("copies"), F.min(place).alias("first"), F.max("n").alias("n"), F.max("o").alias("o"))
     )
     copied = live.join(classes.where("copies > 1").select("f", "c", "first"), ["f", "c"])
     if mode == "later":
@@ -350,25 +416,26 @@ def _cut(digest: bool):
         import pyarrow as pa
 
         for batch in batches:
-            body, off = flat.raw(batch.column("text"))
-            spans = batch.column("spans").to_pylist()
-            rows = []
-            for i in range(len(batch)):
-                whole = body[off[i] : off[i + 1]].tobytes()
-                runs = merged(spans[i])
-                if not digest:
-                    runs = whole_characters(whole, runs)
-                kept, at = [], 0
-                for s, e in runs:
-                    kept.append(whole[at:s])
-                    at = e
-                kept.append(whole[at:])
-                left = b"".join(kept)
-                rows.append((len(whole), len(whole) - len(left), len(runs), hashlib.sha256(left).hexdigest() if digest else left.decode("utf-8", "replace")))
-            n = list(zip(*rows)) or [()] * 4
-            new = [pa.array(n[0], pa.int64()), pa.array(n[1], pa.int64()), pa.array(n[2], pa.int64()), pa.array(n[3], pa.string())]
             keep = [c for c in batch.schema.names if c not in ("text", "spans")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *new], names=[*keep, "n_bytes", "n_removed", "n_spans", "out"])
+            for lo, hi, body, off in flat.blocks(batch.column("text")):
+                part = batch.slice(lo, hi - lo)
+                spans = part.column("spans").to_pylist()
+                rows = []
+                for i in range(hi - lo):
+                    whole = body[off[i] : off[i + 1]].tobytes()
+                    runs = merged(spans[i])
+                    if not digest:
+                        runs = whole_characters(whole, runs)
+                    kept, at = [], 0
+                    for s, e in runs:
+                        kept.append(whole[at:s])
+                        at = e
+                    kept.append(whole[at:])
+                    left = b"".join(kept)
+                    rows.append((len(whole), len(whole) - len(left), len(runs), hashlib.sha256(left).hexdigest() if digest else left.decode("utf-8", "replace")))
+                n = list(zip(*rows)) or [()] * 4
+                new = [pa.array(c, k) for c, k in zip(n, (pa.int64(), pa.int64(), pa.int64(), pa.string()))]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *new], names=[*keep, "n_bytes", "n_removed", "n_spans", "out"])
 
     return run
 
@@ -392,17 +459,13 @@ def remove_later_copies(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Only whole characters are removed; a null text stays null.  Column order is kept.
     """
-    key = doc_key()
-    spans = repeated_spans(_keyed(docs), length, "later").select(F.col("d").alias("__d"), F.col("h").alias("__h"), F.col("spans").alias("__spans"))
-    rows = docs.withColumn("__k", key).withColumn("__d", F.col("__k.d")).withColumn("__h", F.col("__k.h")).drop("__k")
-    joined = rows.join(spans, ["__d", "__h"], "left")
-    carried = joined.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"),
-        F.col("text").isNull().alias("absent"),
-        F.col("text"),
-        F.col("__spans").alias("spans"),
+    spans = repeated_spans(_keyed(docs), length, "later").select(F.struct("d", "h").alias("node"), "spans")
+    joined = carried(docs).join(spans, "node", "left").select("row", F.col("row.text").alias("text"), "spans")
+    others = [c for c in docs.columns if c != "text"]
+    given = joined.select(
+        F.struct(*[F.col(f"row.`{c}`").alias(c) for c in others]).alias("row"), F.col("text").isNull().alias("absent"), "text", "spans"
     )
-    kind = carried.schema["row"].dataType.simpleString()
-    cut = carried.mapInArrow(_cut(False), f"row {kind}, absent boolean, n_bytes bigint, n_removed bigint, n_spans bigint, out string")
+    kind = given.schema["row"].dataType.simpleString()
+    cut = given.mapInArrow(_cut(False), f"row {kind}, absent boolean, n_bytes bigint, n_removed bigint, n_spans bigint, out string")
     text = F.when(F.col("absent"), F.lit(None).cast("string")).otherwise(F.col("out")).alias("text")
     return cut.select(*[text if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barledger.llm import flat
-from barledger.llm.common import NO_ID, components, doc_key, staged, text_or_empty
+from barledger.llm.common import NO_ID, carried, components, doc_key, restored, staged, text_or_empty
 
 BANDS, ROWS = 40, 4
 SHINGLE = 5
@@ -113,7 +113,7 @@ def _profile(batches):
     import pyarrow as pa
 
     for batch in batches:
-        for a, b, data, off in flat.blocks(batch.column("text")):
+        for a, b, data, off in flat.blocks(batch.column("text"), flat.BLOCK_BYTES // 4):
             words, row = word_hashes(data, off)
             sets, at = flat.shingle_sets(words, row, b - a, SHINGLE)
             keys = band_keys(signatures(sets, at))
@@ -139,27 +139,32 @@ def _profile(batches):
 
 
 def _verify(batches):
-    """Pairs whose full sets meet the threshold (texts a_text, b_text; keys kept)."""
+    """Pairs whose full sets meet the threshold.
+
+    Rows come sorted by centre and slice, the centre's own row (no member) before its members,
+    so one centre set is held at a time.
+    """
     import pyarrow as pa
 
-    kept_text, kept_set = None, None
+    centre = np.zeros(0, np.uint64)
     for batch in batches:
-        a_text = batch.column("a_text").to_pylist()
-        keep = np.zeros(len(batch), bool)
-        for lo, hi, data, off in flat.blocks(batch.column("b_text")):
+        alone = batch.column("bd").is_null().to_numpy(zero_copy_only=False)
+        for lo, hi, data, off in flat.blocks(batch.column("text"), flat.BLOCK_BYTES // 2):
             sets, at = _sets(data, off)
-            for i in range(lo, hi):
-                if a_text[i] != kept_text:
-                    body = np.frombuffer((a_text[i] or "").encode(), np.uint8)
-                    kept_text, kept_set = a_text[i], _sets(body, np.array([0, len(body)], np.int64))[0]
-                other = sets[at[i - lo] : at[i - lo + 1]]
-                small, large = (kept_set, other) if len(kept_set) < len(other) else (other, kept_set)
+            keep = np.zeros(hi - lo, bool)
+            for i in range(hi - lo):
+                other = sets[at[i] : at[i + 1]]
+                if alone[lo + i]:
+                    centre = other.copy()
+                    continue
+                small, large = (centre, other) if len(centre) < len(other) else (other, centre)
                 if len(small) and 100 * len(small) >= THRESHOLD * len(large):
                     where = np.searchsorted(large, small)
                     where[where == len(large)] = 0
                     both = int((large[where] == small).sum())
                     keep[i] = 100 * both >= THRESHOLD * (len(small) + len(large) - both)
-        yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("ad", "ah", "bd", "bh")], names=["ad", "ah", "bd", "bh"])
+            part = batch.slice(lo, hi - lo)
+            yield pa.RecordBatch.from_arrays([part.column(c).filter(pa.array(keep)) for c in ("ad", "ah", "bd", "bh")], names=["ad", "ah", "bd", "bh"])
 
 
 def _explode_sets(batches):
@@ -202,14 +207,27 @@ def _sketches(batches):
             )
 
 
+#: Members of one slice of a star.
+FAN = 256
+
+
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Confirmed pairs (a, b) among candidate pairs; ``texts`` has node, text."""
-    joined = (
-        pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
-        .join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
-        .select(F.col("a.d").alias("ad"), F.col("a.h").alias("ah"), F.col("b.d").alias("bd"), F.col("b.h").alias("bh"), "a_text", "b_text")
+    """Confirmed pairs (a, b) among candidate pairs; ``texts`` has node, text.
+
+    The members of a centre are cut into slices of about ``FAN``; each slice gets the centre's
+    text once, in the row before its members.
+    """
+    size = pairs.groupBy("a").agg(F.ceil(F.count("*") / FAN).cast("int").alias("slices"))
+    of = lambda name: texts.select(F.col("node").alias(name), "text")
+    member = pairs.join(size, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int").alias("slice"))
+    member = member.join(of("b"), "b").select("a", "slice", "b", "text")
+    centre = size.join(of("a"), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "text")
+    rows = member.unionByName(centre, allowMissingColumns=True).select(
+        F.col("a.d").alias("ad"), F.col("a.h").alias("ah"), "slice", F.col("b.d").alias("bd"), F.col("b.h").alias("bh"), "text"
     )
-    found = joined.mapInArrow(_verify, "ad bigint, ah bigint, bd bigint, bh bigint")
+    order = ["ad", "ah", "slice", F.col("bd").asc_nulls_first()]
+    ready = rows.repartition("ad", "ah", "slice").sortWithinPartitions(*order)
+    found = ready.mapInArrow(_verify, "ad bigint, ah bigint, bd bigint, bh bigint")
     return found.select(
         F.struct(F.col("ad").alias("d"), F.col("ah").alias("h")).alias("a"),
         F.struct(F.col("bd").alias("d"), F.col("bh").alias("h")).alias("b"),
@@ -300,11 +318,6 @@ def report(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without later members of each group; rows repeated whole count once."""
     found = near_duplicates(docs).where((F.struct("d", "h") == F.col("root")))
-    stay = found.select("d", "h").distinct().select(F.struct("d", "h").alias("__node"))
-    columns = docs.columns
-    keyed = docs.withColumn("__node", doc_key())
-    from pyspark.sql import Window
-
-    nth = F.row_number().over(Window.partitionBy("__node").orderBy("__node"))
-    one = keyed.join(stay, "__node", "left_semi").withColumn("__nth", nth).where("__nth = 1")
-    return one.select(*[F.col(f"`{c}`") for c in columns])
+    stay = found.select(F.struct("d", "h").alias("node")).distinct()
+    one = carried(docs).join(stay, "node", "left_semi").dropDuplicates(["node"])
+    return restored(one, docs)

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barledger.llm import flat
-from barledger.llm.common import NO_ID, doc_key, staged, text_or_empty
+from barledger.llm.common import NO_ID, carried, doc_key, restored, staged, text_or_empty
 
 WINDOW = 8
 LITERALS = 5
@@ -378,6 +378,5 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without contaminated texts, columns unchanged."""
-    found = staged(contaminated(docs, benchmark).select(F.struct("d", "h").alias("__node")).distinct())
-    keyed = docs.withColumn("__node", doc_key())
-    return keyed.join(found, "__node", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = staged(contaminated(docs, benchmark).select(F.struct("d", "h").alias("node")).distinct())
+    return restored(carried(docs).join(found, "node", "left_anti"), docs)

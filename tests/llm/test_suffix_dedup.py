@@ -84,8 +84,55 @@ def test_empty_table(spark):
 def test_prefix_ranks():
     data = np.frombuffer(b"banana bandana", np.uint8)
     for depth in (1, 3, 5, 14):
-        ranks = sd.prefix_ranks(data, depth)
+        ranks, lengths = sd.prefix_ranks(data, depth)
+        assert lengths[-1] == depth
         keys = [bytes(data[i : i + depth]) for i in range(len(data))]
         for i in range(len(keys)):
             for j in range(len(keys)):
-                assert (ranks[i] < ranks[j]) == (keys[i] < keys[j])
+                assert (ranks[-1][i] < ranks[-1][j]) == (keys[i] < keys[j])
+
+
+def test_longest_previous_factors_equal_the_definition():
+    rng = random.Random(6)
+    for depth in (3, 7, 40):
+        body = "".join(rng.choice("ab") for _ in range(150)) + "a" * 50
+        data = np.frombuffer(body.encode(), np.uint8)
+        place = np.array(rng.sample(range(1000), len(body)))
+        starts = np.array(sorted(rng.sample(range(len(body)), 120)))
+        ranks, lengths = sd.prefix_ranks(data, depth)
+        got = sd.previous_factors(ranks, lengths, starts, place[starts])
+
+        def shared(i, j):
+            n = 0
+            while n < depth and max(i, j) + n < len(body) and body[i + n] == body[j + n]:
+                n += 1
+            return n
+
+        want = [max((shared(i, j) for j in starts if place[j] < place[i]), default=0) for i in starts]
+        assert got.tolist() == want
+
+
+def test_nearest_smaller():
+    for values in ([3, 1, 2], [1, 2, 3, 4], [4, 3, 2, 1], [5], []):
+        want = [max((j for j in range(i) if values[j] < values[i]), default=-1) for i in range(len(values))]
+        assert sd.nearest_smaller(np.array(values, np.int64)).tolist() == want
+
+
+def test_repeated_rows_give_one_list_of_spans(spark):
+    rng = random.Random(2)
+    text = "".join(rng.choice("abcdefgh") for _ in range(900))
+    for copies in (2, 200):
+        rows = spark.createDataFrame([(1, 0, text)] * copies, "d bigint, h bigint, text string").repartition(4)
+        (found,) = sd.repeated_spans(rows, 100).collect()
+        assert len(found["spans"]) < 60 and sd.merged(found["spans"]) == [(0, 900)]
+        assert sd.repeated_spans(rows, 100, "later").collect() == []
+
+
+def test_clashing_columns_and_a_long_text(spark):
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdefgh") for _ in range(400_000))
+    schema = "doc_id bigint, text string, __k int, __spans int, __d int, __h int, node int, row int, spans int, out int, d int, h int"
+    rows = [(1, text, *range(10)), (2, text[1000:1300], *range(10)), (3, None, *range(10))]
+    got = {r.doc_id: r for r in sd.remove_later_copies(spark.createDataFrame(rows, schema), 200).collect()}
+    assert tuple(got[1]) == rows[0] and tuple(got[3]) == rows[2]
+    assert got[2].text == "" and tuple(got[2])[2:] == tuple(range(10))
