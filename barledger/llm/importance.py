@@ -8,8 +8,8 @@ counted; the CRC-32 of a feature's bytes modulo ``BUCKETS`` names its bucket.
   words, so every feature is one byte span.  An open-addressed NumPy table (linear probing,
   at most half full) interns the spans: the key is xxhash64 of the bytes, an equal key is
   verified byte by byte, and a slot stores the bucket and the count.  Each occurrence keeps
-  its slot id, so counts are a bincount of ids, a CRC is taken once for each distinct feature,
-  and gains are gathered through the ids.
+  its slot id, so counts are a bincount of ids, a CRC is taken once for each distinct feature
+  (of a longer run by joining the CRCs of its words), and gains are gathered through the ids.
 * **Counts.** Each task sums its blocks into one array of ``BUCKETS`` longs and returns its
   non-zero buckets; Spark adds them up.  Only the bucket totals (a fixed number) reach the
   driver, where the gains are computed, and go back with the second pass.
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import xxhash
@@ -124,51 +125,102 @@ def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarra
     return equal
 
 
+def _crc_step() -> np.ndarray:
+    """CRC-32 of each byte value alone, without conditioning."""
+    v = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        v = np.where(v & 1, (v >> 1) ^ np.uint32(0xEDB88320), v >> 1)
+    return v
+
+
+_STEP = _crc_step()
+
+
+@lru_cache(maxsize=_LONG)
+def _shift(length: int) -> np.ndarray:
+    """Four tables, one a byte of a CRC, that together append ``length`` zero bytes to it."""
+    if length:
+        v = _shift(length - 1)
+        return (v >> np.uint32(8)) ^ _STEP[v & np.uint32(255)]
+    return np.arange(256, dtype=np.uint32)[None] << (np.arange(4, dtype=np.uint32)[:, None] * np.uint32(8))
+
+
+def crc_joined(left: np.ndarray, right: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """CRC-32 of left + space + right from both CRCs and the byte length of ``right``."""
+    c = ~left
+    c = ~((c >> np.uint32(8)) ^ _STEP[(c ^ np.uint32(0x20)) & np.uint32(255)])
+    out = right.copy()
+    order = np.argsort(length, kind="stable")
+    size, first = np.unique(length[order], return_index=True)
+    for n, at in zip(size.tolist(), np.split(order, first[1:])):
+        t, x = _shift(n), c[at]
+        out[at] ^= t[0][x & np.uint32(255)] ^ t[1][(x >> np.uint32(8)) & np.uint32(255)] ^ t[2][(x >> np.uint32(16)) & np.uint32(255)] ^ t[3][x >> np.uint32(24)]
+    return out
+
+
 class Table:
-    """Open-addressed table of byte spans: key, place, length, bucket and count by slot."""
+    """Open-addressed table of byte spans.
+
+    A slot knows the span that owns it (and by it the key and the bytes), its count and its bucket;
+    ``slot`` is the slot of each occurrence.
+    """
 
     def __init__(self, data: np.ndarray, start: np.ndarray, length: np.ndarray):
-        self.data = data
         n = len(start)
         size = 1 << max(4, (2 * n - 1).bit_length())
-        self.key = np.zeros(size, np.uint64)
-        self.owner = np.full(size, -1, np.int64)
+        self.owner = np.full(size, -1, np.int32)
         key = xxhash64(data, start, length)
-        self.slot = np.empty(n, np.int64)
-        todo, at = np.arange(n), (key & np.uint64(size - 1)).astype(np.int64)
+        self.slot = np.empty(n, np.int32)
+        todo, at = np.arange(n, dtype=np.int32), (key & np.uint64(size - 1)).astype(np.int32)
         while len(todo):
-            free = self.owner[at] < 0
-            if free.any():
-                self.owner[at[free]] = todo[free]  # of several, the last one stays
-                won = at[free]
-                self.key[won] = key[self.owner[won]]
+            free = np.flatnonzero(self.owner[at] < 0)
+            self.owner[at[free]] = todo[free]  # of several, the last one stays
             holder = self.owner[at]
-            fit = (self.key[at] == key[todo]) & (length[holder] == length[todo])
+            fit = (key[holder] == key[todo]) & (length[holder] == length[todo])
             maybe = np.flatnonzero(fit & (holder != todo))
             fit[maybe] = same_bytes(data, start[holder[maybe]], start[todo[maybe]], length[todo[maybe]])
             self.slot[todo[fit]] = at[fit]
             todo, at = todo[~fit], (at[~fit] + 1) & (size - 1)
         self.count = np.bincount(self.slot, minlength=size)
-        self.bucket = np.zeros(size, np.int64)
-        used = np.flatnonzero(self.owner >= 0)
-        view = memoryview(data)
-        s = start[self.owner[used]]
-        e = s + length[self.owner[used]]
-        self.bucket[used] = np.fromiter((zlib.crc32(view[a:b]) for a, b in zip(s.tolist(), e.tolist())), np.int64, len(used)) % BUCKETS
+        self.used = np.flatnonzero(self.owner >= 0)
+        self.bucket = np.zeros(size, np.int32)
+
+    def crc(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """CRC-32 of the bytes of each slot."""
+        out, who, view = np.zeros(len(self.owner), np.uint32), self.owner[self.used], memoryview(data)
+        out[self.used] = [zlib.crc32(view[a:b]) for a, b in zip(start[who].tolist(), end[who].tolist())]
+        return out
+
 
+def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[Table]]:
+    """Words of each row; for runs of 1, 2 .. ``ORDER`` words the row of each, and their table.
 
-def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, Table]:
-    """Words of each row, row of each feature, and the table that interns the features."""
+    The CRC of a longer run is put together from that of the run without its last word and that
+    of the word, so bytes are read for distinct words only (and where a last word is very long).
+    """
     packed, s, e, row = flat.plain_words(data, offsets)
-    starts, ends, rows = [s], [e], [row]
+    word = Table(packed, s, e - s)
+    one = word.crc(packed, s, e)
+    word.bucket[:] = one % np.uint32(BUCKETS)
+    rows, tables, shorter = [row], [word], one[word.slot]
     for n in range(2, ORDER + 1):
-        whole = row[n - 1 :] == row[: len(row) - n + 1] if len(row) >= n else np.zeros(0, bool)
-        i = np.flatnonzero(whole)
-        starts.append(s[i])
-        ends.append(e[i + n - 1])
+        i = np.flatnonzero(row[n - 1 :] == row[: len(row) - n + 1]) if len(row) >= n else np.zeros(0, np.int64)
+        table = Table(packed, s[i], e[i + n - 1] - s[i])
+        first = i[table.owner[table.used]]  # first and last word of each distinct run
+        last = first + n - 1
+        size = e[last] - s[last]
+        crc = crc_joined(shorter[first], one[word.slot[last]], np.minimum(size, _LONG))
+        for j in np.flatnonzero(size > _LONG).tolist():
+            crc[j] = zlib.crc32(packed[s[first[j]] : e[last[j]]].tobytes())
+        table.bucket[table.used] = crc % np.uint32(BUCKETS)
         rows.append(row[i])
-    start = np.concatenate(starts)
-    return np.bincount(row, minlength=len(offsets) - 1), np.concatenate(rows), Table(packed, start, np.concatenate(ends) - start)
+        tables.append(table)
+        if n < ORDER:
+            whole, found = np.zeros(len(table.owner), np.uint32), np.zeros(len(s), np.uint32)
+            whole[table.used] = crc
+            found[i] = whole[table.slot]
+            shorter = found
+    return np.bincount(row, minlength=len(offsets) - 1), rows, tables
 
 
 def _bucket_counts(batches):
@@ -178,8 +230,9 @@ def _bucket_counts(batches):
     total = np.zeros(BUCKETS, np.int64)
     for batch in batches:
         for _, _, data, off in flat.blocks(batch.column("text")):
-            _, _, table = features(data, off)
-            np.add.at(total, table.bucket, table.count)
+            for table in features(data, off)[2]:
+                # counts are far below 2^53, so sums as doubles are exact
+                total += np.bincount(table.bucket[table.used], table.count[table.used], BUCKETS).astype(np.int64)
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["bucket", "n"])
 
@@ -203,11 +256,12 @@ def _weights(gain: np.ndarray):
 
         for batch in batches:
             for a, b, data, off in flat.blocks(batch.column("text")):
-                n_words, row, table = features(data, off)
-                by_slot = gain[table.bucket]
-                count = np.bincount(row, minlength=b - a)
-                total = np.zeros(b - a, np.int64)
-                np.add.at(total, row, by_slot[table.slot])
+                n_words, rows, tables = features(data, off)
+                count, total = np.zeros(b - a, np.int64), np.zeros(b - a, np.int64)
+                for row, table in zip(rows, tables):
+                    by_slot = gain[table.bucket].astype(np.float64)
+                    count += np.bincount(row, minlength=b - a)
+                    total += np.bincount(row, by_slot[table.slot], b - a).astype(np.int64)
                 weight = np.where(count > 0, total // np.maximum(count, 1), 0)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), pa.array(n_words), pa.array(count), pa.array(weight)],

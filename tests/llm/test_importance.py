@@ -84,10 +84,23 @@ def test_table_tells_equal_keys_apart(monkeypatch, collide):
     size = np.array([len(w) for w in words])
     table = im.Table(body, np.cumsum(size) - size, size)
     assert [[i for i, t in enumerate(table.slot) if t == s] for s in table.slot] == [[i for i, v in enumerate(words) if v == w] for w in words]
-    assert table.bucket[table.slot].tolist() == [zlib.crc32(w.encode()) % 10000 for w in words]
+    at, size = np.cumsum(size) - size, size
+    assert table.crc(body, at, at + size)[table.slot].tolist() == [zlib.crc32(w.encode()) for w in words]
     assert table.count[table.slot].tolist() == [words.count(w) for w in words]
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_buckets_of_runs(monkeypatch, order):
+    monkeypatch.setattr(im, "ORDER", order)
+    text = "a bc a bc def " + "x" * 300 + " a bc ÉTÉ " + "y" * 256 + " " + "z" * 257
+    body = np.frombuffer(text.encode(), np.uint8)
+    _, rows, tables = im.features(body, np.array([0, len(body)]))
+    ws = ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in text.split()]
+    for n, table in enumerate(tables, 1):
+        want = [zlib.crc32(" ".join(ws[i : i + n]).encode()) % 10000 for i in range(len(ws) - n + 1)]
+        assert table.bucket[table.slot].tolist() == want
+
+
 def test_words_do_not_cross_rows():
     texts = ["ab cd", "ef", "", "gh-IJ"]
     body = np.frombuffer("".join(texts).encode(), np.uint8)
