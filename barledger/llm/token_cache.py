@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 
 from barledger.llm import flat
 from barledger.llm.chunked import public_path, tokenizer
-from barledger.llm.common import shared_dir, text_or_empty
+from barledger.llm.common import shared_dir, staged, text_or_empty
 
 LIMIT = 1024
+TOKENIZER = "byte_bpe_50k.json"
 CACHE = "version binary, content binary, n_tokens bigint"
 
 
@@ -69,26 +70,40 @@ def stored(spark: SparkSession, cache: str, version: bytes) -> DataFrame:
 
 
 def fill(texts: DataFrame, cache: str, name: str, version: bytes) -> None:
-    """Append the counts of contents that ``cache`` lacks; ``texts`` has content, text."""
-    known = stored(texts.sparkSession, cache, version)
-    if not known.isEmpty():
-        lacking = texts.select("content").distinct().join(known, "content", "left_anti")
-        texts = texts.join(lacking, "content", "left_semi")
+    """Append the counts of contents that ``cache`` lacks; ``texts`` has content, text.
+
+    Copies become one row before the shuffle; what the cache knows leaves by an anti-join.
+    """
     distinct = texts.groupBy("content").agg(F.first("text").alias("text"))
-    counted = distinct.mapInArrow(_encode(name), "content binary, n_tokens bigint")
+    misses = distinct.join(stored(texts.sparkSession, cache, version), "content", "left_anti")
+    counted = misses.mapInArrow(_encode(name), "content binary, n_tokens bigint")
     counted.select(F.lit(version).alias("version"), "content", "n_tokens").write.mode("append").parquet(cache)
 
 
-def counts(docs: DataFrame, cache: str, name: str = "byte_bpe_50k.json", limit: int = LIMIT) -> DataFrame:
+def counts(docs: DataFrame, cache: str, name: str = TOKENIZER, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit per input row; fills ``cache``."""
     version = version_digest(name if "/" in name else public_path(name))
-    content = F.unhex(F.sha2(F.encode(text_or_empty(), "utf-8"), 256)).alias("content")
-    fill(docs.select(content, text_or_empty().alias("text")), cache, name, version)
-    rows = docs.select("doc_id", content, F.octet_length(text_or_empty()).cast("bigint").alias("n_bytes"))
-    return rows.join(stored(docs.sparkSession, cache, version), "content", "left").select(
+    fill(docs.select(_content(), text_or_empty().alias("text")), cache, name, version)
+    rows = docs.select("doc_id", _content(), F.octet_length(text_or_empty()).cast("bigint").alias("n_bytes"))
+    # one row a content, written, so that Spark can split a content that many rows share
+    known = staged(stored(docs.sparkSession, cache, version))
+    return rows.join(known, "content", "left").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
 
 
-def report(docs: DataFrame) -> DataFrame:
-    return counts(docs, new_cache(docs.sparkSession))
+def _content():
+    return F.unhex(F.sha2(F.encode(text_or_empty(), "utf-8"), 256)).alias("content")
+
+
+def report(docs: DataFrame, cache: str | None = None) -> DataFrame:
+    """Counts of all rows through a cache that an earlier job has filled in part.
+
+    The earlier job counts the rows whose digest starts with a zero digit; the second finds their
+    counts stored, encodes the distinct others and appends them.
+    """
+    cache = cache or new_cache(docs.sparkSession)
+    earlier = docs.where(F.expr("substr(sha2(encode(coalesce(text, ''), 'utf-8'), 256), 1, 1) = '0'"))
+    version = version_digest(public_path(TOKENIZER))
+    fill(earlier.select(_content(), text_or_empty().alias("text")), cache, TOKENIZER, version)
+    return counts(docs, cache, TOKENIZER)

@@ -59,3 +59,19 @@ def test_stored_counts_are_used(spark):
     df = spark.createDataFrame([(1, "c")], "doc_id bigint, text string")
     assert [tuple(r) for r in token_cache.counts(df, cache).collect()] == [(1, 1, 77, False)]
     assert token_cache.counts(df.limit(0), cache).collect() == []
+
+
+def test_report_finds_stored_counts_and_encodes_each_distinct_miss_once(spark):
+    import hashlib
+
+    rows = [(i, f"text {i % 40}") for i in range(200)] + [(500, None), (501, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    cache = token_cache.new_cache(spark)
+    got = {r.doc_id: r.n_tokens for r in token_cache.report(df, cache).collect()}
+    tok = chunked.Chunked(chunked.public_path("byte_bpe_50k.json"))
+    assert got == {d: len(tok._library([t or ""])[0]) for d, t in rows}
+    stored = [bytes(r.content) for r in spark.read.parquet(cache).collect()]
+    distinct = {hashlib.sha256((t or "").encode()).digest() for _, t in rows}
+    assert sorted(stored) == sorted(distinct)  # each content once: the second job appended misses only
+    early = {c for c in distinct if c.hex().startswith("0")}
+    assert early and early != distinct
