@@ -4,14 +4,21 @@ Ids are cut into blocks of at most ``BLOCK_IDS``.  Every block starts from the s
 its own checksum and can be read alone.  For each id an order-2 and an order-1 context name the
 id that last followed them.  The chance that the order-2 guess is right is mixed from three
 adaptive estimates (order-2 confidence, order-1 confidence, order-0 hit rate) by learned
-weights in the logistic domain; the guess, then the order-1 guess, then the id itself under an
-adaptive order-0 frequency model are range coded.  All arithmetic is on integers, so any
-machine reads what another wrote.
+weights in the logistic domain.  The guess, then the order-1 guess, then the order-0 guess (the
+id seen most in the block so far) are range coded as hits or misses, and last the id itself:
+its high eight bits under adaptive frequencies, the next four under adaptive frequencies kept
+by the lower half of the high bits, what is left as plain bits.  All arithmetic is on
+integers, so any machine reads what another wrote.
 
 Many blocks are coded side by side: each numpy step moves every block of a group by one id.
 
 A file is the range of ascending ids that one partition holds: rows of (file, block, body).  Files
 are written and read by Spark, so any store that Spark knows will do.
+
+Defined cases: a null or empty text has the end id alone; a null doc_id comes first; rows that
+repeat a doc_id stand one after the other by the hash of their text, each with its own start;
+a text longer than a block goes on in the next ones; an empty table writes no block and reads as
+no row.  Only doc_id and text are read, so extra columns cannot clash.
 """
 
 from __future__ import annotations
@@ -25,7 +32,7 @@ from pyspark.sql import functions as F
 
 from barledger.llm import flat
 from barledger.llm.chunked import public_path, tokenizer
-from barledger.llm.common import NO_ID, doc_key, shared_dir, text_or_empty
+from barledger.llm.common import NO_ID, doc_key, shared_dir, staged, text_or_empty
 
 MAGIC = b"CMR1"
 BLOCK_IDS = 4096
@@ -77,6 +84,12 @@ class _Model:
         self.weight = np.full((3, n), 24000, np.int64)
         self.group = np.ones((n, 16), np.int64)
         self.member = np.ones((n * 16, 16), np.int64)
+        self.next = np.ones((n * 16, 16), np.int64)
+        # order-0 guess: counts by hashed id, the id that leads and its count, its hit rate
+        self.seen = np.zeros(n * _SLOTS, np.int16)
+        self.top = np.zeros(n, np.int64)
+        self.top_seen = np.zeros(n, np.int16)
+        self.hit_c = np.full(n, 512, np.int64)
         self.c1 = np.zeros(n, np.int64)
         self.c2 = np.zeros(n, np.int64)
 
@@ -107,6 +120,11 @@ class _Model:
         self.hit[0][self.k2], self.hit[1][self.k1] = q[0], q[1]
         self._table(self.t2, self.i2, self.p2, self.f2, ids, hit)
         self._table(self.t1, self.i1, self.p1, self.f1, ids, ids == self.p1)
+        at = self.slot[:k] + ((ids * 40503 >> 4) & (_SLOTS - 1))
+        count = self.seen[at] + np.int16(1)
+        self.seen[at] = count
+        lead = count > self.top_seen[:k]
+        self.top[:k][lead], self.top_seen[:k][lead] = ids[lead], count[lead]
         self.c2[:k] = self.c1[:k]
         self.c1[:k] = ids
 
@@ -118,8 +136,20 @@ class _Model:
         table[at] = (np.where(hit | old, guess, ids) << 4) | level
 
     def learn_b(self, at: np.ndarray, bit: np.ndarray) -> None:
-        q = self.hit_b[at]
-        self.hit_b[at] = np.clip(q + ((bit * 4095 - q) >> 5) + bit, 32, 4064)
+        self._rate(self.hit_b, at, bit)
+
+    def learn_c(self, at: np.ndarray, bit: np.ndarray) -> None:
+        self._rate(self.hit_c, at, bit)
+
+    @staticmethod
+    def _rate(table: np.ndarray, at: np.ndarray, bit: np.ndarray) -> None:
+        q = table[at]
+        table[at] = np.clip(q + ((bit * 4095 - q) >> 5) + bit, 32, 4064)
+
+    def third(self, lost: np.ndarray) -> np.ndarray:
+        """Lost lanes whose order-0 guess has not been refused yet."""
+        top = self.top[lost]
+        return lost[(top != self.p2[lost]) & (top != self.p1[lost])]
 
 
 def _counted(table: np.ndarray, at: np.ndarray, rows: np.ndarray, total: np.ndarray, symbol: np.ndarray) -> None:
@@ -267,12 +297,24 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
             w.put(ask, np.where(ok, 0, q), np.where(ok, q, 4096 - q), w.range[ask] >> 12)
             m.learn_b(at, ok.astype(np.int64))
             lost = lost[now[lost] != m.p1[lost]]
+        ask = m.third(lost)
+        if len(ask):
+            q = m.hit_c[ask]
+            ok = now[ask] == m.top[ask]
+            w.put(ask, np.where(ok, 0, q), np.where(ok, q, 4096 - q), w.range[ask] >> 12)
+            m.learn_c(ask, ok.astype(np.int64))
+            gone = np.zeros(k, bool)
+            gone[ask[ok]] = True
+            lost = lost[~gone[lost]]
         if len(lost):
             x = now[lost]
             high = x >> low_bits
             w.symbol(lost, m.group, lost, high >> 4)
             w.symbol(lost, m.member, lost * 16 + (high >> 4), high & 15)
             left = low_bits
+            if left >= 4:
+                left -= 4
+                w.symbol(lost, m.next, lost * 16 + (high & 15), (x >> left) & 15)
             while left > 0:
                 step = min(left, 12)
                 left -= step
@@ -318,9 +360,22 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
                 second = np.zeros(k, bool)
                 second[good] = True
                 lost = lost[~second[lost]]
+            ask = m.third(lost)
+            if len(ask):
+                ok = r.bit(ask, m.hit_c[ask])
+                m.learn_c(ask, ok.astype(np.int64))
+                good = ask[ok]
+                now[good] = m.top[good]
+                gone = np.zeros(k, bool)
+                gone[good] = True
+                lost = lost[~gone[lost]]
             if len(lost):
                 a = r.symbol(lost, m.group, lost)
-                x, left = (a << 4) | r.symbol(lost, m.member, lost * 16 + a), bits
+                b = r.symbol(lost, m.member, lost * 16 + a)
+                x, left = (a << 4) | b, bits
+                if left >= 4:
+                    left -= 4
+                    x = (x << 4) | r.symbol(lost, m.next, lost * 16 + b)
                 while left > 0:
                     step = min(left, 12)
                     left -= step
@@ -463,8 +518,11 @@ def read_documents(spark, path: str) -> DataFrame:
     totals = blocks.groupBy("file").agg(F.sum("n").alias("total"))
     before = F.sum("total").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
     files = totals.select("file", F.coalesce(before, F.lit(0)).alias("before"))  # one row a file
-    parts = blocks.select("file", "first", "body").mapInArrow(
-        _read, "file bigint, row bigint, d bigint, part bigint, first bigint, n bigint, crc bigint"
+    # written once: what follows reads the parts twice, and decoding is the dear step
+    parts = staged(
+        blocks.select("file", "first", "body").mapInArrow(
+            _read, "file bigint, row bigint, d bigint, part bigint, first bigint, n bigint, crc bigint"
+        )
     )
     whole = parts.groupBy("file", "row", "d").agg(
         F.min("first").alias("first"), F.sum("n").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("part", "n", "crc"))).alias("parts")
