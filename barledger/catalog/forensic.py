@@ -180,7 +180,7 @@ def j11_positional(spark, sf):
     bars = normalize.daily_bars(v.bars_raw(spark, sf), v.stamp(), carry=v.LINE_ORDER)
     from barledger.operators.ordering import exact_rank
 
-    ranked = exact_rank(bars, ["symbol"], "date", "l_orderkey", v.LINE_ORDER[1:], width=1000)
+    ranked = exact_rank(bars, ["symbol"], "date", "l_orderkey", v.LINE_ORDER[1:])
     return ranked.select("symbol", "date", "l_orderkey", "rank")
 
 

@@ -52,18 +52,24 @@ def w5_latest_per_key(spark, sf):
 
 @query(
     "w8_sortedness",
-    """SELECT symbol, CAST(count(*) FILTER (WHERE date < before) AS BIGINT) AS order_break_count,
+    f"""SELECT symbol, CAST(count(*) FILTER (WHERE date < before) AS BIGINT) AS order_break_count,
          count(*) AS row_count FROM (SELECT symbol, date, lag(date) OVER (PARTITION BY symbol
-           ORDER BY orderkey) AS before FROM (SELECT * FROM bars_clean
-           QUALIFY count(*) OVER (PARTITION BY symbol, orderkey) = 1)) GROUP BY symbol""",
+           ORDER BY {", ".join(v.LINE_ORDER)}) AS before FROM bars_lined) GROUP BY symbol""",
 )
 def w8_sortedness(spark, sf):
-    """Adjacent rows (by order key) whose date goes down, in bounded sub-buckets."""
-    bars = v.bars_clean(spark, sf)
-    unique = bars.groupBy("symbol", "orderkey").agg(
-        F.count(F.lit(1)).alias("n"), F.max("date").alias("date")
-    ).where("n = 1")
-    return ordering.order_breaks(unique, "orderkey", [F.col("date")], ["symbol"], width=500)
+    """Adjacent lines (by line order) whose date goes down, scanned in ranges."""
+    return ordering.order_breaks(v.bars_lined(spark, sf), v.LINE_ORDER, [F.col("date")], ["symbol"])
+
+
+@query(
+    "w7_total_order",
+    f"""SELECT symbol, date, row_number() OVER (ORDER BY date, {", ".join(v.LINE_ORDER)}) AS place
+        FROM (SELECT * REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM bars_lined)""",
+)
+def w7_total_order(spark, sf):
+    """Place of every line in one order over the whole table, without a single sorted task."""
+    placed = ordering.number_rows(v.bars_lined(spark, sf), ["date", *v.LINE_ORDER], "place")
+    return placed.select("symbol", "date", "place")
 
 
 @query(

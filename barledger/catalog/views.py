@@ -107,6 +107,11 @@ def bars_clean(spark: SparkSession, sf: str) -> DataFrame:
     return _as_bars(_clean_lines(spark, sf))
 
 
+def bars_lined(spark: SparkSession, sf: str) -> DataFrame:
+    """Symbol and day of every line with the columns of the line order."""
+    return _clean_lines(spark, sf).select(*LINE_ORDER, _symbol("l_suppkey").alias("symbol"), "date")
+
+
 def bars_prov(spark: SparkSession, sf: str) -> DataFrame:
     """bars_clean with provenance varied by supplier."""
     m = F.col("suppkey") % 5
@@ -290,6 +295,7 @@ VIEW_SQL: dict[str, str] = {
           'S' || l_suppkey AS symbol, 'HOSE' AS exchange, date, {_BAR},
           CAST(NULL AS BOOLEAN) AS adjusted_flag, '1D' AS source_resolution
         FROM {_dated_sql("true")}""",
+    "bars_lined": f"SELECT {_ORDER}, 'S' || l_suppkey AS symbol, date FROM {_dated_sql('true')}",
     "bars_prov": f"SELECT *, {_prov_sql()} FROM bars_clean",
     "suppliers": "SELECT s_suppkey AS suppkey, 'S' || s_suppkey AS symbol FROM supplier",
     "universe_raw": """

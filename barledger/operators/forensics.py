@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barledger.contracts import MAX_BARS_PER_REQUEST, VALUE_COLUMNS
@@ -198,26 +198,40 @@ def next_observation(
     """Forward as-of: the first later task of the symbol with an observation after the edge.
 
     ``stale`` has task_id, symbol, end_date and last_date; ``raw_days`` has one row per
-    (run_id, symbol, date).  A symbol has at most one later task per chunk of the range.
+    (run_id, symbol, date).  Days first shrink to the last one of each run and symbol, which
+    tells the task to look into; tasks meet tasks only, at most one for each chunk of the
+    plan's range.  The day itself comes from one window over the edges and the days of the
+    chosen run and symbol together, so no day is joined with an edge.
     """
     later = assessments.where("selected_run_id is not null").select(
         "symbol",
         F.col("start_date").alias("later_start"),
         F.col("selected_run_id").alias("run_id"),
     )
-    candidates = stale.select("task_id", "symbol", "end_date", "last_date").join(later, "symbol")
-    candidates = candidates.where(F.col("later_start") > F.col("end_date"))
-    seen = candidates.join(raw_days.select("run_id", "symbol", "date"), ["run_id", "symbol"])
-    order = F.struct("later_start", "date", "run_id")
+    last = raw_days.groupBy("run_id", "symbol").agg(F.max("date").alias("run_last"))
+    edges = stale.select("task_id", "symbol", "end_date", "last_date")
+    chosen = (
+        edges.join(later.join(last, ["run_id", "symbol"]), "symbol")
+        .where("later_start > end_date and run_last > last_date")
+        .groupBy("task_id", "symbol", "last_date")
+        .agg(F.min_by("run_id", F.struct("later_start", "run_id")).alias("run_id"))
+    )
+    marks = chosen.select("run_id", "symbol", F.col("last_date").alias("date"), "task_id")
+    days = raw_days.join(chosen, ["run_id", "symbol"], "left_semi").select(
+        "run_id", "symbol", "date", F.lit(None).cast("string").alias("task_id")
+    )
+    # from the newest day back; an edge stands before the days of its own date
+    back = Window.partitionBy("run_id", "symbol").orderBy(
+        F.col("date").desc(), F.col("task_id").isNull()
+    )
+    seen = F.last(F.when(F.col("task_id").isNull(), F.col("date")), ignorenulls=True).over(
+        back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     return (
-        seen.where(F.col("date") > F.col("last_date"))
-        .groupBy("task_id")
-        .agg(F.min(order).alias("o"))
-        .select(
-            "task_id",
-            F.col("o.date").alias("next_observation_date"),
-            F.col("o.run_id").alias("next_source_run_id"),
-        )
+        days.unionByName(marks)
+        .withColumn("next_observation_date", seen)
+        .where("task_id is not null")
+        .select("task_id", "next_observation_date", F.col("run_id").alias("next_source_run_id"))
     )
 
 

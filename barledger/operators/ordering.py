@@ -13,7 +13,14 @@ from pyspark.sql import functions as F
 from barledger.functions.exprs import count_where
 from barledger.sources.staging import staged
 
-DEFAULT_WIDTH = 1_000_000
+def _ranged(df: DataFrame, order: list[str | Column]) -> DataFrame:
+    """``df`` written once, range-partitioned by ``order``, with the number of its range.
+
+    Range bounds are quantiles that Spark samples, so ranges hold about equally many rows
+    however sparse or dense the values are; a hash of the whole row splits equal ones.
+    """
+    ranged = df.repartitionByRange(*order, F.xxhash64(*df.columns))
+    return staged(ranged.withColumn("__range", F.spark_partition_id()))
 
 
 def exact_rank(
@@ -22,38 +29,32 @@ def exact_rank(
     day: str,
     position: str,
     ties: list[str] = (),
-    width: int = DEFAULT_WIDTH,
     name: str = "rank",
 ) -> DataFrame:
     """1-based rank of each row in its key by (day nulls last, position, ties).
 
-    ``position`` is the row's integral input ordinal.  Sub-buckets are (key, day,
-    position // width); only their counts are windowed over the key.
+    A two-level prefix scan over ranges of (key, day, position, ties): rows are ranked inside
+    their key and range, and only the counts by key and range are windowed over the key.
     """
     # Hidden non-null text keys: the offset join is a plain equality and shares its shuffle
-    # with the window inside a sub-bucket.
+    # with the window inside a range.
     hidden = {
         f"__k{i}": F.coalesce(F.col(k).cast("string"), F.lit("\u0000"))
         for i, k in enumerate(keys)
     }
-    rows = df.withColumns(
-        {
-            **hidden,
-            "__day": F.coalesce(F.col(day).cast("string"), F.lit("~")),
-            "__bucket": F.floor(F.col(position) / F.lit(width)).cast("bigint"),
-        }
-    )
-    cell = [*hidden, "__day", "__bucket"]
+    order = [F.col(day).asc_nulls_last(), position, *ties]
+    rows = _ranged(df.withColumns(hidden), [*hidden, *order])
+    cell = [*hidden, "__range"]
     sizes = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n"))
     before = (
         Window.partitionBy(*hidden)
-        .orderBy("__day", "__bucket")
+        .orderBy("__range")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = sizes.select(
         *cell, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")
     )
-    inside = Window.partitionBy(*cell).orderBy(position, *ties)
+    inside = Window.partitionBy(*cell).orderBy(*order)
     return rows.join(offsets, cell).withColumn(
         name, (F.row_number().over(inside) + F.col("__offset")).cast("bigint")
     ).drop(*cell, "__offset")
@@ -86,32 +87,34 @@ def number_rows(df: DataFrame, order: list[str | Column], name: str = "position"
 
 def order_breaks(
     df: DataFrame,
-    position: str,
+    position: str | list[str],
     sort_keys: list[Column],
     partition: list[str] = (),
-    width: int = DEFAULT_WIDTH,
 ) -> DataFrame:
     """Number of adjacent input rows (by ``position``) whose sort key goes down.
 
     One row per ``partition`` (a single row without one) with ``order_break_count`` and
-    ``row_count``.  Zero breaks means the rows already are in sort order.
+    ``row_count``.  Zero breaks means the rows already are in sort order.  Ranges of the
+    position are scanned by themselves; only the first and last row of each are stitched.
     """
     part = list(partition)
+    places = [position] if isinstance(position, str) else list(position)
     rows = df.select(
         *part,
-        F.col(position).cast("bigint").alias("__p"),
+        F.struct(*places).alias("__p"),
         F.struct(*[k.alias(f"k{i}") for i, k in enumerate(sort_keys)]).alias("__k"),
-    ).withColumn("__b", F.floor(F.col("__p") / F.lit(width)).cast("bigint"))
-    inside = Window.partitionBy(*part, "__b").orderBy("__p")
+    )
+    rows = _ranged(rows, [*part, "__p"])
+    inside = Window.partitionBy(*part, "__range").orderBy("__p")
     stepped = rows.withColumn("__prev", F.lag("__k").over(inside))
-    buckets = stepped.groupBy(*part, "__b").agg(
+    ranges = stepped.groupBy(*part, "__range").agg(
         count_where(_descends(F.col("__prev"), F.col("__k"), len(sort_keys))).alias("breaks"),
         F.count(F.lit(1)).alias("n"),
         F.min_by("__k", "__p").alias("first"),
         F.max_by("__k", "__p").alias("last"),
     )
-    across = Window.partitionBy(*(part or [F.lit(0)])).orderBy("__b")
-    edges = buckets.withColumn("__prev_last", F.lag("last").over(across)).withColumn(
+    across = Window.partitionBy(*(part or [F.lit(0)])).orderBy("__range")
+    edges = ranges.withColumn("__prev_last", F.lag("last").over(across)).withColumn(
         "edge", _descends(F.col("__prev_last"), F.col("first"), len(sort_keys))
     )
     return edges.groupBy(*part).agg(
