@@ -16,6 +16,7 @@ _MODULES = [
     "quality",
     "relational",
     "storing",
+    "committing",
 ]
 
 

@@ -129,6 +129,18 @@ NORMALIZED_DAILY = Contract(
     nullable=["exchange", "adjusted_flag"],
 )
 
+#: Types of stored daily rows; reading with them needs no merging of file footers.
+NORMALIZED_DAILY_TYPES = {
+    "date": "date",
+    **dict.fromkeys(VALUE_COLUMNS, "double"),
+    "adjusted_flag": "boolean",
+    "ingestion_timestamp_utc": "timestamp",
+    **{c: PROVENANCE_TYPES[c] for c in SOURCE_PROVENANCE_COLUMNS},
+}
+NORMALIZED_DAILY_SCHEMA = ", ".join(
+    f"{c} {NORMALIZED_DAILY_TYPES.get(c, 'string')}" for c in NORMALIZED_DAILY.columns
+)
+
 # Columns a daily frame needs before any check can run (legacy frames lack provenance).
 DAILY_REQUIRED = [c for c in _DAILY_BASE if c != "exchange"]
 PANEL_SOURCE_REQUIRED = list(_DAILY_BASE)

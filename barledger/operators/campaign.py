@@ -120,6 +120,12 @@ def task_id() -> Column:
     )
 
 
+def chunk_count(plan: CampaignPlan) -> int:
+    """Chunks, so tasks per symbol, of a plan."""
+    days = (dt.date.fromisoformat(plan.end) - dt.date.fromisoformat(plan.start)).days + 1
+    return -(-days // plan.chunk_days)
+
+
 def campaign_tasks(plan: CampaignPlan, symbols: DataFrame) -> DataFrame:
     """One task per symbol and date chunk; chunks are generated per symbol, not joined."""
     starts = chunk_starts(lit_date(plan.start), lit_date(plan.end), plan.chunk_days)

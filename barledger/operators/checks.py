@@ -77,13 +77,25 @@ def required_columns(
     return df.sparkSession.createDataFrame([row], RESULT_SCHEMA)
 
 
+def rule_metrics(rules: list[Rule]) -> dict[str, Column]:
+    """Aggregates that count each rule's affected rows while a frame is written."""
+    return {f"rule:{r.name}": count_where(holds(r.fails)) for r in rules}
+
+
 def run_checks(
     df: DataFrame,
     dataset: str,
     rules: list[Rule],
     sample_keys: list[str] | None = None,
+    counts: dict[str, int] | None = None,
 ) -> DataFrame:
-    """One result row per rule with at least one affected row."""
+    """One result row per rule with at least one affected row.
+
+    With ``counts`` (observed ``rule_metrics``) the frame is not counted again: only rules that
+    fail read it, for their sample keys.
+    """
+    if counts is not None:
+        return _counted_checks(df, dataset, rules, sample_keys, counts)
     flagged = df.select(
         *[c for c in (sample_keys or []) if c in df.columns],
         *[holds(r.fails).alias(f"__f{i}") for i, r in enumerate(rules)],
@@ -124,6 +136,24 @@ def run_checks(
     ).select(*RESULT_COLUMNS)
 
 
+def _counted_checks(df, dataset, rules, sample_keys, counts) -> DataFrame:
+    failing = [(r, counts[f"rule:{r.name}"]) for r in rules if counts[f"rule:{r.name}"]]
+    rows = df.sparkSession.createDataFrame(
+        [
+            (dataset, r.severity, r.name, r.message or r.name.replace("_", " "), r.columns, n if r.counts_rows else 0, r.blocks)
+            for r, n in failing
+        ],
+        RESULT_SCHEMA.replace("sample_affected_keys array<string>, ", ""),
+    )
+    keys = [c for c in (sample_keys or []) if c in df.columns]
+    sample = F.array().cast("array<string>")
+    if keys and failing:
+        flagged = df.select(*keys, *[holds(r.fails).alias(f"__f{i}") for i, (r, _) in enumerate(failing)])
+        rows = rows.join(_samples(flagged, [r for r, _ in failing], keys), "check_name", "left")
+        sample = F.coalesce("sample_affected_keys", sample)
+    return rows.withColumn("sample_affected_keys", sample).select(*RESULT_COLUMNS)
+
+
 def _samples(flagged: DataFrame, rules: list[Rule], keys: list[str]) -> DataFrame:
     """Up to five smallest keys per failing rule."""
     failing = flagged.where(any_of(F.col(f"__f{i}") for i in range(len(rules))))

@@ -109,14 +109,18 @@ def _sortedness(
 
 
 def check_daily(
-    df: DataFrame, as_of: dt.date | str, position: str | None = None
+    df: DataFrame,
+    as_of: dt.date | str,
+    position: str | None = None,
+    counts: dict[str, int] | None = None,
 ) -> DataFrame:
+    """Checks of daily bars; ``counts`` are observed metrics of ``daily_row_rules``."""
     dataset = "daily"
     gate = required_columns(df, dataset, DAILY_REQUIRED)
     if gate is not None:
         return gate
     parts = [
-        run_checks(df, dataset, daily_row_rules(as_of), _DAY_KEYS),
+        run_checks(df, dataset, daily_row_rules(as_of), _DAY_KEYS, counts),
         uniqueness_check(df, dataset, "duplicate_symbol_date", _DAY_KEYS),
     ]
     if position:
@@ -154,14 +158,14 @@ def intraday_instant(df: DataFrame) -> Column:
     return F.col("timestamp").cast("timestamp")
 
 
-def check_intraday(df: DataFrame, position: str | None = None) -> DataFrame:
-    dataset = "intraday"
-    gate = required_columns(df, dataset, _INTRADAY_REQUIRED)
-    if gate is not None:
-        return gate
+def _zoned(df: DataFrame) -> Column:
     zoned = F.col("timestamp_utc").isNotNull() if "timestamp_utc" in df.columns else F.lit(False)
-    if isinstance(df.schema["timestamp"].dataType, T.TimestampType):
-        zoned = F.lit(True)
+    return F.lit(True) if isinstance(df.schema["timestamp"].dataType, T.TimestampType) else zoned
+
+
+def intraday_row_rules(df: DataFrame) -> list[Rule]:
+    """Row-level rules for bars with the columns of ``df``."""
+    zoned = _zoned(df)
     rules = [
         *non_negative(VALUE_COLUMNS),
         Rule(
@@ -188,11 +192,22 @@ def check_intraday(df: DataFrame, position: str | None = None) -> DataFrame:
                 _INTRADAY_PROVENANCE,
             )
         )
+    return rules
+
+
+def check_intraday(
+    df: DataFrame, position: str | None = None, counts: dict[str, int] | None = None
+) -> DataFrame:
+    """Checks of intraday bars; ``counts`` are observed metrics of ``intraday_row_rules``."""
+    dataset = "intraday"
+    gate = required_columns(df, dataset, _INTRADAY_REQUIRED)
+    if gate is not None:
+        return gate
     keyed = df.withColumns(
-        {"__zoned": zoned, "__instant": intraday_instant(df)}
+        {"__zoned": _zoned(df), "__instant": intraday_instant(df)}
     )
     parts = [
-        run_checks(df, dataset, rules, ["symbol", "timestamp"]),
+        run_checks(df, dataset, intraday_row_rules(df), ["symbol", "timestamp"], counts),
         uniqueness_check(
             keyed, dataset, "duplicate_symbol_resolution_timestamp",
             ["symbol", "resolution", "__zoned", "__instant"],

@@ -1,7 +1,8 @@
-"""User-level jobs: read, normalize, check, gate, publish, record.
+"""User-level jobs: read, normalize, write, audit, commit, record.
 
-Each job stages its normalized rows once (so landed JSON is parsed once), evaluates the
-checks on the staged columns, publishes only when nothing blocks, and appends a manifest.
+Bars are written once; the row checks are counted by the tasks that write them, the other checks
+read the written files.  A run becomes visible by its commit row, which is appended only when
+nothing blocks.  Every job appends a manifest.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from barledger.contracts import (
     ASSEMBLED_VERSION,
     NORMALIZED_DAILY_VERSION,
     PROVIDER,
+    NORMALIZED_DAILY_SCHEMA,
     VALUE_COLUMNS,
 )
 from barledger.functions.exprs import lit_date
@@ -41,6 +43,9 @@ from barledger.operators.units import UnitProvenance
 from barledger.sources.staging import staged
 from barledger.sources.store import (
     CORRUPT,
+    DAILY,
+    INTRADAY,
+    LAYOUT,
     RAW_DAILY_SCHEMA,
     RAW_INTRADAY_SCHEMA,
     RAW_UNIVERSE_SCHEMA,
@@ -173,11 +178,16 @@ def ingest_daily(
             "rows_inside_requested_chunk", checks.ERROR, F.col("outside_row_count") > 0, ["symbol"]
         ),
     ]
-    total = rows.agg(F.count(F.lit(1)).alias("n"))
+    rules = quality.daily_row_rules(as_of)
+    written = store.stage_run(rows, DAILY, run_id, *LAYOUT[DAILY], checks.rule_metrics(rules))
+    count = written["row_count"]
+    if count:
+        rows = store.staged_rows(DAILY, run_id, rows.schema)
     log = store.spark.createDataFrame([], camp.REQUEST_LOG) if requests is None else requests
     proof = staged(camp.empty_run_allowed(log, allow_empty))
     proven = proof.first()
     empty_is_complete = bool(proven["empty_is_complete"] and proven["request_count"])
+    total = store.spark.range(1).select(F.lit(count).alias("n"))
     no_rows = checks.fact_check(
         total, "daily", "daily_observations_available",
         checks.INFO if empty_is_complete else checks.ERROR, F.col("n") == 0,
@@ -193,17 +203,17 @@ def ingest_daily(
             [
                 _unreadable(bars, "daily"),
                 checks.run_checks(asked, "daily", request_rules, ["symbol"]),
-                quality.check_daily(rows, as_of),
+                quality.check_daily(rows, as_of, counts=written),
                 no_rows,
                 failed_requests,
             ]
         )
     )
     open_ = gate_open(results)
-    count = total.first()["n"]
     outputs = [store.raw_path("daily", run_id)]
     if open_ and count:
-        outputs.append(store.publish_daily(rows, run_id))
+        store.commit(DAILY, run_id, count, at)
+        outputs.append(store.run_path(DAILY, run_id))
     campaign_id, task_id = campaign or (None, None)
     return _finish(
         store, JobResult(run_id, "success" if open_ else "failed", results, outputs),
@@ -222,9 +232,16 @@ def ingest_intraday(
 ) -> JobResult:
     at = _now(at)
     raw = store.read_raw("intraday", RAW_INTRADAY_SCHEMA, run_id)
-    rows = staged(normalize.intraday_bars(raw, _stamp(at), exchange=exchange))
-    results = staged(quality.check_intraday(rows))
-    outputs = [store.publish_intraday(rows, run_id)] if gate_open(results) else []
+    rows = normalize.intraday_bars(raw, _stamp(at), exchange=exchange)
+    rules = quality.intraday_row_rules(rows)
+    written = store.stage_run(rows, INTRADAY, run_id, *LAYOUT[INTRADAY], checks.rule_metrics(rules))
+    if written["row_count"]:
+        rows = store.staged_rows(INTRADAY, run_id, rows.schema)
+    results = staged(quality.check_intraday(rows, counts=written))
+    outputs = []
+    if gate_open(results):
+        store.commit(INTRADAY, run_id, written["row_count"], at)
+        outputs.append(store.run_path(INTRADAY, run_id))
     status = "success" if outputs else "failed"
     return _finish(store, JobResult(run_id, status, results, outputs), "data ingest-intraday", at)
 
@@ -286,7 +303,7 @@ def prepare_universe(
         if screen_reference > observed.isoformat():
             raise ValueError("The liquidity reference must not be after the snapshot date.")
         symbols = universe.included_symbols(prepared)
-        daily = store.read("normalized/daily", daily_runs)
+        daily = store.read_daily(daily_runs)
         start = panel.liquidity_window(screen_reference, liquidity_config)
         selected = panel.select_window(daily, start, screen_reference, symbols)
         window = snapshot.sparkSession.range(1).select(start.cast("string").alias("d")).first()["d"]
@@ -334,7 +351,7 @@ def build_panel(
 ) -> JobResult:
     """Daily panel and availability; availability is published even if the panel is blocked."""
     at = _now(at)
-    daily = store.read("normalized/daily", daily_runs)
+    daily = store.read_daily(daily_runs)
     built = staged(panel.daily_panel(daily, start, end, symbols))
     asked = symbols if symbols is not None else daily.select("symbol").distinct()
     available = staged(panel.availability(daily, asked, start, end))
@@ -386,7 +403,7 @@ def audit_run_coverage(
     requested = store.manifests().where(F.col("run_id") == daily_run_id).select(
         F.explode("symbols").alias("symbol")
     )
-    daily = store.read("normalized/daily", [daily_run_id])
+    daily = store.read_daily([daily_run_id])
     observed = prepared.agg(
         F.max("source_snapshot_observed_at_utc").cast("date").cast("string").alias("d")
     ).first()["d"]
@@ -432,31 +449,110 @@ def init_campaign(store: MarketStore, plan: CampaignPlan, symbols: DataFrame) ->
     return JobResult(plan.campaign_id, "success" if open_ else "failed", results, [], {"tasks": tasks})
 
 
-def campaign_tables(store: MarketStore, plan: CampaignPlan) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(tasks, receipts, normalized rows) of a campaign."""
+ATTEMPTS = (
+    "campaign_id string, task_id string, source_run_id string, manifest_digest string, as_of date, "
+    "status string, reason_codes array<string>, observation_count bigint, "
+    "first_observation_date date, last_observation_date date"
+)
+_EVIDENCE = ["task_id", "source_run_id", "manifest_digest"]
+
+
+def campaign_tables(store: MarketStore, plan: CampaignPlan) -> tuple[DataFrame, DataFrame]:
+    """(tasks, receipts) of a campaign."""
     mine = F.col("campaign_id") == plan.campaign_id
     tasks = store.table("tasks").where(mine).drop("campaign_id")
-    receipts = store.table_or("receipts", RECEIPTS).where(mine)
-    rows = store.read("normalized/daily").withColumn("partition_symbol", F.col("symbol"))
-    return tasks, receipts, rows
+    return tasks, store.table_or("receipts", RECEIPTS).where(mine)
+
+
+def campaign_rows(store: MarketStore, receipts: DataFrame) -> DataFrame:
+    """Committed daily rows of the receipts' runs; the partitions of other runs are pruned."""
+    runs = receipts.select(F.col("source_run_id").alias("run_id"))
+    if not store.exists(DAILY):
+        schema = f"{NORMALIZED_DAILY_SCHEMA}, run_id string, __input_path string"
+        return store.spark.createDataFrame([], schema).withColumn("partition_symbol", F.col("symbol"))
+    return store.read_daily(runs=runs).withColumn("partition_symbol", F.col("symbol"))
 
 
-def assess_campaign(store: MarketStore, plan: CampaignPlan, as_of: str) -> dict[str, DataFrame]:
-    """Reconcile receipts with manifests, assess every attempt, reduce to tasks."""
-    tasks, receipts, rows = campaign_tables(store, plan)
+def manifest_digests(manifests: DataFrame) -> DataFrame:
+    """One digest per run over all fields of its manifest."""
+    line = F.sha2(F.to_json(F.struct(*sorted(manifests.columns)), {"ignoreNullFields": "false"}), 256)
+    return manifests.groupBy(F.col("run_id").alias("source_run_id")).agg(F.max(line).alias("manifest_digest"))
+
+
+def assess_campaign(
+    store: MarketStore, plan: CampaignPlan, as_of: str, everything: bool = False
+) -> dict[str, DataFrame]:
+    """Reconcile receipts with manifests, assess new attempts, reduce all to tasks.
+
+    A committed run never changes, so an attempt is judged once for each (task, run, manifest
+    digest) and kept; only attempts without a kept judgement read stored rows.  A judgement
+    holds for its day and later ones, except where rows were blocked: whether a date lies in
+    the future depends on the day, so these are judged again, and so is anything judged for a
+    later day than ``as_of``.  ``everything`` judges all attempts anew.
+    """
+    tasks, receipts = campaign_tables(store, plan)
     manifests = store.manifests()
     created, unknown = camp.new_receipts(plan, tasks, receipts, manifests)
-    if unknown.limit(1).count():
+    if not unknown.isEmpty():
         raise ValueError("A campaign manifest names an unknown task.")
-    if camp.invalid_receipts(plan, tasks, receipts).limit(1).count():
+    if not camp.invalid_receipts(plan, tasks, receipts).isEmpty():
         raise ValueError("The campaign has invalid receipts.")
     created = staged(created)
-    if created.limit(1).count():
+    if not created.isEmpty():
         store.append(created, "receipts")
-    current = receipts.unionByName(created)
-    attempts = staged(camp.assess_attempts(plan, tasks, current, manifests, rows, as_of))
+    digests = manifest_digests(manifests)
+    current = staged(
+        receipts.unionByName(created).join(digests, "source_run_id", "left").withColumn(
+            "manifest_digest", F.coalesce("manifest_digest", F.lit(""))
+        )
+    )
+    blocked = F.array_contains("reason_codes", "normalized_daily_validation_failed")
+    kept = store.table_or("attempts", ATTEMPTS, declared=True).where(
+        (F.col("campaign_id") == plan.campaign_id)
+        & (F.col("as_of") <= lit_date(as_of))
+        & ~F.coalesce(blocked, F.lit(False))
+        & F.lit(not everything)
+    )
+    judgement = ["status", "reason_codes", "observation_count", "first_observation_date", "last_observation_date"]
+    kept = kept.groupBy(*_EVIDENCE).agg(F.max_by(F.struct(*judgement), "as_of").alias("j"))
+    known = current.join(kept, _EVIDENCE).join(tasks, "task_id")
+    todo = staged(current.join(kept, _EVIDENCE, "left_anti"))
+    judged = camp.assess_attempts(plan, tasks, todo, manifests, campaign_rows(store, todo), as_of)
+    judged = staged(judged.join(todo.select(*_EVIDENCE), ["task_id", "source_run_id"]))
+    if not judged.isEmpty():
+        store.append(
+            judged.select(
+                F.lit(plan.campaign_id).alias("campaign_id"), *_EVIDENCE, lit_date(as_of).alias("as_of"), *judgement
+            ),
+            "attempts",
+        )
+    columns = ["task_id", "symbol", "start_date", "end_date", "source_run_id", "recorded_at_utc", *judgement]
+    attempts = staged(known.select("*", "j.*").select(*columns).unionByName(judged.select(*columns)))
     state = staged(camp.reduce_attempts(tasks, attempts))
-    return {"attempts": attempts, "assessments": state, "rows": rows, "tasks": tasks}
+    return {
+        "attempts": attempts, "judged": judged, "assessments": state, "tasks": tasks,
+        "rows": campaign_rows(store, current),
+    }
+
+
+def campaign_status(
+    store: MarketStore, plan: CampaignPlan, as_of: str, max_tasks: int, **retry: bool
+) -> dict[str, DataFrame]:
+    """Campaign flags, the readiness that still holds, and the next tasks to fetch.
+
+    A stored readiness stays attached only while the evidence has the digest it was made from.
+    """
+    frames = assess_campaign(store, plan, as_of)
+    state = frames["assessments"]
+    ready = store.table("readiness").where(F.col("campaign_id") == plan.campaign_id) if store.exists("tables/readiness") else None
+    published = None
+    if store.exists("tables/assembled_datasets"):
+        published = store.table("assembled_datasets").where(F.col("campaign_id") == plan.campaign_id)
+    flags = readiness.campaign_state(
+        state, readiness.evidence_digest(plan, state), ready, published,
+        readiness.assembled_dataset_id(plan, state),
+    )
+    return {**frames, "state": flags, "next": camp.next_batch(state, max_tasks, **retry)}
 
 
 def adopt_run(
@@ -498,7 +594,10 @@ def audit_campaign(
     )
     audited = staged(readiness.campaign_coverage(plan, symbols, state, rows, config))
     ready = staged(readiness.readiness(plan, symbols, state, audited, rows, policy))
-    store.append(ready.withColumn("campaign_id", F.lit(plan.campaign_id)), "readiness")
+    digest = readiness.evidence_digest(plan, state).scalar()
+    store.append(
+        ready.withColumns({"campaign_id": F.lit(plan.campaign_id), "evidence_digest": digest}), "readiness"
+    )
     summary = readiness.audit_summary(plan, symbols, state, audited, rows, policy)
     return {**frames, "coverage": audited, "readiness": ready, "summary": summary, "source": rows}
 
@@ -578,8 +677,8 @@ def forensic_audit(
         [
             run_digests(store.spark, f"{store.root}/raw/dataset=daily", "raw", "*.json"),
             run_digests(
-                store.spark, store.dataset_path("normalized/daily"), "normalized", "*.parquet"
-            ),
+                store.spark, store.dataset_path(DAILY), "normalized", "*.parquet"
+            ).join(store.run_ids(DAILY), "run_id", "left_semi"),
         ]
     )
     records = staged(forensics.attach_artifacts(records, artifacts))
@@ -680,11 +779,11 @@ def validate_stored(
 ) -> DataFrame:
     """Checks over everything that was published."""
     parts = []
-    if store.exists("normalized/daily"):
-        parts.append(quality.check_daily(store.read("normalized/daily"), as_of))
-    if store.exists("normalized/intraday"):
+    if store.has_runs("normalized/daily"):
+        parts.append(quality.check_daily(store.read_daily(), as_of))
+    if store.has_runs("normalized/intraday"):
         parts.append(quality.check_intraday(store.read("normalized/intraday")))
-    if store.exists("normalized/quotes"):
+    if store.has_runs("normalized/quotes"):
         quotes = store.read("normalized/quotes")
         asked = requested_quotes if requested_quotes is not None else quotes.select("symbol")
         parts.append(quality.check_quotes(quotes, asked))

@@ -1,15 +1,23 @@
 """File layout of a market-data store: landed JSON, partitioned Parquet, small tables.
 
 Runs and symbols are partition columns, so exact-run selection and symbol selection are
-partition pruning.  Every published directory is written once.
+partition pruning.
+
+A dataset is published by write, audit, commit.  ``stage_run`` writes a run's folder and takes
+check counts during that one write; the checks judge them; ``commit`` appends one row that makes
+the run visible.  Readers see committed runs only, so a blocked run, or one whose job was killed
+midway, is never read, and its folder is replaced when the run is written again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barledger.contracts import NORMALIZED_DAILY_SCHEMA
 from barledger.functions.digests import multiset_digest
 
 
@@ -40,6 +48,14 @@ MANIFEST_SCHEMA = (
     "parameters string, finished_at_utc timestamp"
 )
 
+COMMIT_SCHEMA = "dataset string, run_id string, row_count bigint, committed_at timestamp"
+DAILY, INTRADAY = "normalized/daily", "normalized/intraday"
+#: Partition columns and order inside files.
+LAYOUT = {
+    DAILY: (["symbol"], ["symbol", "date"]),
+    INTRADAY: (["resolution", "trading_date"], ["resolution", "trading_date", "symbol", "timestamp"]),
+}
+
 
 def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
@@ -87,25 +103,73 @@ class MarketStore:
     def dataset_path(self, dataset: str) -> str:
         return f"{self.root}/{dataset}"
 
-    def publish(
-        self, df: DataFrame, dataset: str, run_id: str, partition_by: list[str], sort: list[str] = ()
-    ) -> str:
-        """Write one run of a dataset under its run partition, all or nothing.
-
-        The rebalance hint sizes files by partition value and splits a value that holds
-        much of the data over several tasks instead of sending it to one.
+    def run_path(self, dataset: str, run_id: str) -> str:
+        return f"{self.dataset_path(dataset)}/run_id={run_id}"
+
+    def stage_run(
+        self,
+        df: DataFrame,
+        dataset: str,
+        run_id: str,
+        partition_by: list[str] = (),
+        sort: list[str] = (),
+        metrics: dict[str, Column] | None = None,
+    ) -> dict[str, int]:
+        """Write one run of a dataset without making it visible; return its observed counts.
+
+        ``metrics`` are aggregates taken by the tasks that write, next to ``row_count``.  The
+        observation stands after the last shuffle: each written row is counted once, by the
+        task that wrote it.  The rebalance hint sizes files by partition value and splits a
+        value that holds much of the data over several tasks.
         """
-        path = f"{self.dataset_path(dataset)}/run_id={run_id}"
+        if self.is_committed(dataset, run_id):
+            raise ValueError(f"Run {run_id} of {dataset} is committed and cannot be written again.")
         balanced = df.drop("run_id")
         if partition_by:
             balanced = balanced.hint("rebalance", *partition_by)
         if sort:
             balanced = balanced.sortWithinPartitions(*sort)
-        balanced.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
-        return path
+        seen = Observation(f"{dataset}/{run_id}")
+        columns = {"row_count": F.count(F.lit(1)), **(metrics or {})}
+        observed = balanced.observe(seen, *[c.alias(n) for n, c in columns.items()])
+        # A folder without a commit row is what a killed job has left.
+        observed.write.mode("overwrite").partitionBy(*partition_by).parquet(self.run_path(dataset, run_id))
+        return dict(seen.get)
+
+    def commit(self, dataset: str, run_id: str, row_count: int, at: dt.datetime | None = None) -> None:
+        """Make a staged run visible, if its files hold exactly the rows that were counted."""
+        if self.is_committed(dataset, run_id):
+            raise ValueError(f"Run {run_id} of {dataset} is already committed.")
+        # from the files' footers; a folder without rows has no file to read a schema from
+        stored = self.staged_rows(dataset, run_id).count() if row_count else 0
+        if stored != row_count:
+            raise ValueError(f"Run {run_id} of {dataset} holds {stored} rows, {row_count} were written.")
+        row = [(dataset, run_id, row_count, at or dt.datetime.now(dt.UTC).replace(tzinfo=None))]
+        self.append(self.spark.createDataFrame(row, COMMIT_SCHEMA), "commits", ["dataset"])
+
+    def commits(self, dataset: str) -> DataFrame:
+        """Commit rows of a dataset (run_id, row_count, committed_at); one small partition is read."""
+        found = self.table_or("commits", COMMIT_SCHEMA, declared=True)
+        return found.where(F.col("dataset") == dataset).drop("dataset")
+
+    def is_committed(self, dataset: str, run_id: str) -> bool:
+        return not self.commits(dataset).where(F.col("run_id") == run_id).isEmpty()
+
+    def staged_rows(self, dataset: str, run_id: str, schema: T.StructType | None = None) -> DataFrame:
+        """Rows of one run's folder, committed or not: for audits before the commit."""
+        reader = self.spark.read.schema(schema) if schema else self.spark.read
+        return reader.option("basePath", self.dataset_path(dataset)).parquet(self.run_path(dataset, run_id))
+
+    def publish(
+        self, df: DataFrame, dataset: str, run_id: str, partition_by: list[str], sort: list[str] = ()
+    ) -> str:
+        """Write and commit a run whose rows have been judged already."""
+        counts = self.stage_run(df, dataset, run_id, partition_by, sort)
+        self.commit(dataset, run_id, counts["row_count"])
+        return self.run_path(dataset, run_id)
 
     def publish_daily(self, df: DataFrame, run_id: str) -> str:
-        return self.publish(df, "normalized/daily", run_id, ["symbol"], ["symbol", "date"])
+        return self.publish(df, DAILY, run_id, *LAYOUT[DAILY])
 
     def publish_intraday(self, df: DataFrame, run_id: str) -> str:
         """Partition by resolution and day; files are sorted by symbol inside.
@@ -113,19 +177,24 @@ class MarketStore:
         A directory per symbol and day would leave millions of tiny files.  Sorted files
         let the reader skip row groups of other symbols by their statistics instead.
         """
-        keys = ["resolution", "trading_date"]
-        return self.publish(
-            df, "normalized/intraday", run_id, keys, [*keys, "symbol", "timestamp"]
-        )
+        return self.publish(df, INTRADAY, run_id, *LAYOUT[INTRADAY])
 
     def publish_snapshot(self, df: DataFrame, dataset: str, run_id: str, key: str, value: Column) -> str:
         """Snapshot and feature tables, partitioned by their snapshot or reference date."""
         return self.publish(df.withColumn(key, value.cast("string")), dataset, run_id, [key])
 
     def read(
-        self, dataset: str, run_ids: list[str] | None = None, schema: T.StructType | None = None
+        self,
+        dataset: str,
+        run_ids: list[str] | None = None,
+        schema: T.StructType | None = None,
+        runs: DataFrame | None = None,
     ) -> DataFrame:
-        """All files of a dataset with the file each row came from.
+        """Rows of committed runs with the file each row came from.
+
+        The commit rows, ``runs`` (a frame with run_id, such as receipts) and ``run_ids`` all
+        select run partitions: literal ids when the plan is made, the frames when it runs, by
+        dynamic partition pruning.  Runs outside them are listed, never read.
 
         Give the contract ``schema`` on large stores; without it, footers are merged so
         that older runs with fewer columns can be read next to newer ones.
@@ -133,19 +202,37 @@ class MarketStore:
         reader = self.spark.read
         reader = reader.schema(schema) if schema else reader.option("mergeSchema", True)
         rows = reader.parquet(self.dataset_path(dataset))
+        rows = rows.withColumn("__input_path", F.col("_metadata.file_path"))
+        visible = self.commits(dataset).select("run_id")
         if run_ids is not None:
             rows = rows.where(F.col("run_id").isin(run_ids))
-        return rows.withColumn("__input_path", F.col("_metadata.file_path"))
+            visible = visible.where(F.col("run_id").isin(run_ids))
+        if runs is not None:
+            visible = visible.join(runs.select("run_id"), "run_id", "left_semi")
+        return rows.join(visible.distinct(), "run_id", "left_semi").select(*rows.columns)
+
+    def read_daily(self, run_ids: list[str] | None = None, runs: DataFrame | None = None) -> DataFrame:
+        """Committed daily rows by the contract's columns and types."""
+        schema = schema_of(NORMALIZED_DAILY_SCHEMA).add("run_id", T.StringType())
+        return self.read(DAILY, run_ids, schema, runs)
+
+    def has_runs(self, dataset: str) -> bool:
+        return not self.commits(dataset).isEmpty()
 
     def run_ids(self, dataset: str) -> DataFrame:
-        rows = self.spark.read.parquet(self.dataset_path(dataset))
-        return rows.select("run_id").distinct().orderBy("run_id")
+        """Committed runs, from the commit rows alone."""
+        return self.commits(dataset).select("run_id").distinct().orderBy("run_id")
 
     def exists(self, dataset: str) -> bool:
+        """Whether the folder is there and holds files a schema can be read from."""
+        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
+        path = jvm.org.apache.hadoop.fs.Path(self.dataset_path(dataset))
+        if not path.getFileSystem(conf).exists(path):
+            return False
         try:
             self.spark.read.parquet(self.dataset_path(dataset)).schema
         except Exception as exc:
-            if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            if "UNABLE_TO_INFER_SCHEMA" in str(exc):
                 return False
             raise
         return True
@@ -158,10 +245,13 @@ class MarketStore:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/tables/{name}")
 
-    def table_or(self, name: str, schema: str) -> DataFrame:
-        if self.exists(f"tables/{name}"):
-            return self.table(name)
-        return self.spark.createDataFrame([], schema)
+    def table_or(self, name: str, schema: str, declared: bool = False) -> DataFrame:
+        """The table, or an empty frame; ``declared`` reads it with the given schema."""
+        if not self.exists(f"tables/{name}"):
+            return self.spark.createDataFrame([], schema)
+        if declared:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/tables/{name}")
+        return self.table(name)
 
     def append_manifest(self, values: dict[str, object]) -> None:
         """One manifest per run; a run id cannot be used again."""

@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from helpers import KBS, daily, flat_bars, names, stamp, symbols
@@ -129,7 +130,7 @@ def test_campaign_end_to_end(spark, store):
 
 def test_failed_gate_publishes_nothing(store):
     result = run(store, "fpt-bad", "FPT", 0, [DAYS[0][0]] * 2)
-    assert result.status == "failed" and not store.exists("normalized/daily")
+    assert result.status == "failed" and not store.has_runs("normalized/daily")
     manifest = store.manifests().first()
     assert manifest.status == "failed"
     outside = run(store, "fpt-out", "FPT", 0, DAYS[1])
@@ -274,6 +275,65 @@ def test_request_log_decides(spark, store, days, log, status, chunks_empty):
     assert done.status == status
     manifest = store.manifests().where("run_id = 'r'").first()
     assert (manifest.status, manifest.chunks_empty) == (status, chunks_empty)
-    assert store.exists("normalized/daily") == (status == "success" and bool(days))
+    assert store.has_runs("normalized/daily") == (status == "success" and bool(days))
     with pytest.raises(ValueError, match="already has a manifest"):
         store.append_manifest({"run_id": "r"})
+
+
+def test_second_assessment_reads_new_runs_only(store):
+    run(store, "fpt-0", "FPT", 0, DAYS[0])
+    run(store, "hpg-0", "HPG", 0, DAYS[0][:1])
+    first = jobs.assess_campaign(store, PLAN, AS_OF)
+    assert {r.source_run_id for r in first["judged"].collect()} == {"fpt-0", "hpg-0"}
+    run(store, "fpt-1", "FPT", 1, DAYS[1])
+    second = jobs.assess_campaign(store, PLAN, AS_OF)
+    assert {r.source_run_id for r in second["judged"].collect()} == {"fpt-1"}
+    full = jobs.assess_campaign(store, PLAN, AS_OF, everything=True)
+    assert full["judged"].count() == 3
+    rows = lambda frames: sorted(map(repr, frames["assessments"].collect()))
+    assert rows(second) == rows(full) and rows(jobs.assess_campaign(store, PLAN, AS_OF)) == rows(full)
+    # an earlier day cannot rely on judgements of a later one
+    assert jobs.assess_campaign(store, PLAN, "2026-07-03")["judged"].count() == 3
+
+
+def test_unrelated_runs_are_not_read(spark, store):
+    """Run partitions are pruned when the query runs: files of other runs may even be broken."""
+    complete(store)
+    for i in range(3):
+        store.publish_daily(daily(spark, [("FPT", d, 1.0, 1) for d in DAYS[0]], KBS), f"other-{i}")
+    frames = jobs.assess_campaign(store, PLAN, AS_OF)
+    plan = frames["rows"]._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    for path in Path(store.root).glob("normalized/daily/run_id=other-*/**/*.parquet"):
+        path.write_bytes(b"broken")
+    for path in Path(store.root).glob("normalized/daily/run_id=other-*/**/.*.crc"):
+        path.unlink()
+    assert {r.run_id for r in frames["rows"].select("run_id").distinct().collect()} == {"fpt-0", "fpt-1"}
+    again = jobs.assess_campaign(store, PLAN, AS_OF, everything=True)
+    assert again["judged"].where("status = 'complete'").count() == 2
+    with pytest.raises(Exception, match="not a Parquet file|Parquet"):
+        store.read_daily(["other-0"]).collect()
+
+
+def test_torn_and_blocked_runs_are_never_read(spark, store, monkeypatch):
+    run(store, "fpt-0", "FPT", 0, DAYS[0])
+    bars = daily(spark, [("FPT", d, 1.0, 1) for d in DAYS[1]], KBS)
+    counts = store.stage_run(bars, "normalized/daily", "torn", ["symbol"])
+    assert counts == {"row_count": len(DAYS[1])}
+    seen = lambda: {r.run_id for r in store.read_daily().select("run_id").distinct().collect()}
+    assert seen() == {"fpt-0"} and [r.run_id for r in store.run_ids("normalized/daily").collect()] == ["fpt-0"]
+    with pytest.raises(ValueError, match="holds"):
+        store.commit("normalized/daily", "torn", 99)
+    assert seen() == {"fpt-0"}
+    store.publish_daily(bars.limit(1), "torn")  # the job runs again and replaces what was left
+    assert seen() == {"fpt-0", "torn"} and store.read_daily(["torn"]).count() == 1
+    with pytest.raises(ValueError, match="is committed"):
+        store.stage_run(bars, "normalized/daily", "torn", ["symbol"])
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(jobs, "gate_open", killed)
+    with pytest.raises(RuntimeError, match="killed"):
+        run(store, "fpt-1", "FPT", 1, DAYS[1])
+    assert seen() == {"fpt-0", "torn"}
