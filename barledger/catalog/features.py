@@ -199,7 +199,9 @@ _PANEL_SQL = """
     'observed_provider_bar' AS observation_status, 'unknown' AS price_adjustment_status,
     'daily-panel-v2' AS feature_input_contract_version, '{status}' AS unit_provenance_status,
     {ok} AS vnd_traded_value_permitted, '{name}' AS unit_policy_name
-  FROM bars_prov WHERE date BETWEEN DATE '1995-01-02' AND DATE '2001-11-30' {where}"""
+  FROM bars_prov WHERE date >= DATE '1995-01-02' {where}"""
+#: No bar is later, however far a supplier's lines are spread.
+_FAR = "9999-12-31"
 _PANEL_COLUMNS = [
     "symbol", "date", "open", "high", "low", "close", "volume", "data_backend",
     "observation_status", "price_adjustment_status", "feature_input_contract_version",
@@ -212,7 +214,7 @@ _PANEL_COLUMNS = [
     _PANEL_SQL.format(status="ambiguous", ok="false", name="unverified", where=""),
 )
 def n15_panel(spark, sf):
-    return panel.daily_panel(v.bars_prov(spark, sf), "1995-01-02", "2001-11-30").select(
+    return panel.daily_panel(v.bars_prov(spark, sf), "1995-01-02", _FAR).select(
         *_PANEL_COLUMNS
     )
 
@@ -226,7 +228,7 @@ def n15_panel(spark, sf):
 def n15_panel_verified(spark, sf):
     chosen = v.suppliers(spark, sf).where("suppkey % 5 >= 3")
     return panel.daily_panel(
-        v.bars_prov(spark, sf), "1995-01-02", "2001-11-30", chosen
+        v.bars_prov(spark, sf), "1995-01-02", _FAR, chosen
     ).select(*_PANEL_COLUMNS)
 
 

@@ -203,7 +203,9 @@ def dq_research_universe(spark, sf):
     return brief(quality.check_research_universe(planted, expected))
 
 
-_PANEL_WHERE = "date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'"
+#: A range that every dated line falls into.
+_PANEL_RANGE = ("1900-01-01", "2199-12-31")
+_PANEL_WHERE = f"date BETWEEN DATE '{_PANEL_RANGE[0]}' AND DATE '{_PANEL_RANGE[1]}'"
 
 
 @query(
@@ -235,7 +237,7 @@ _PANEL_WHERE = "date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'"
 )
 def dq_panel(spark, sf):
     """Panel of defective bars with one symbol's unit columns tampered with."""
-    built = panel.daily_panel(daily_input(spark, sf), "1996-01-01", "1997-12-31")
+    built = panel.daily_panel(daily_input(spark, sf), *_PANEL_RANGE)
     planted = built.withColumns(
         {
             "price_unit": F.when(F.col("symbol") == "S7", "vnd").otherwise(F.col("price_unit")),
@@ -244,7 +246,7 @@ def dq_panel(spark, sf):
             ),
         }
     )
-    expected = panel.select_window(daily_input(spark, sf), "1996-01-01", "1997-12-31").agg(
+    expected = panel.select_window(daily_input(spark, sf), *_PANEL_RANGE).agg(
         F.count(F.lit(1))
     )
     return brief(quality.check_daily_panel(planted, expected.scalar()))
