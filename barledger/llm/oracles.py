@@ -35,7 +35,7 @@ ref{number} AS (
     FROM share s JOIN ref{number} f USING (kind, bin) GROUP BY ALL)
   GROUP BY r
 ), odd{number} AS (
-  SELECT r, js_class, js_word, coalesce(chars >= {_L.class_min_chars} AND js_class > {_L.class_distance}, false)
+  SELECT r, js_class, js_word, coalesce(chars >= {_L.class_min_chars} AND lang IN (SELECT lang FROM ref{number}) AND js_class > {_L.class_distance}, false)
     OR coalesce(n_words >= {_L.word_min_words} AND lang IN (SELECT lang FROM ref{number}) AND js_word > {_L.word_distance}, false) AS odd
   FROM a LEFT JOIN js{number} USING (r)
 )"""
