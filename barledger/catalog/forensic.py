@@ -286,8 +286,9 @@ def records(spark, sf):
     )
     raw = rows.withColumn("position", F.col("orderkey"))
     kept = raw.where("suppkey % 21 <> 0")
+    torn = state.where("k % 22 = 3").select(F.col("selected_run_id").alias("run_id"))
     return forensics.forensic_records(
-        v.END, state, manifests, kept, kept, stored_copy(kept).where("suppkey % 33 <> 0")
+        v.END, state, manifests, kept, kept, stored_copy(kept).where("suppkey % 33 <> 0"), torn
     )
 
 
@@ -306,6 +307,7 @@ _RECORDS = {
           CASE WHEN run IS NOT NULL AND NOT has_manifest THEN 'manifest_missing' END,
           CASE WHEN run IS NOT NULL AND unreadable THEN 'manifest_unreadable' END,
           CASE WHEN run IS NOT NULL AND NOT has_raw THEN 'raw_jsonl_missing' END,
+          CASE WHEN run IS NOT NULL AND has_raw AND k % 22 = 3 THEN 'raw_jsonl_unreadable' END,
           CASE WHEN run IS NOT NULL AND status = 'stale' AND has_raw AND NOT has_stored
             THEN 'normalized_parquet_missing' END], lambda e: e IS NOT NULL)) AS errors
         FROM f_evidence""",

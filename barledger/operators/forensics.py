@@ -270,9 +270,13 @@ def forensic_records(
     raw: DataFrame,
     normalized_raw: DataFrame,
     stored: DataFrame,
+    unreadable: DataFrame | None = None,
 ) -> DataFrame:
     """One record per failed or stale task: category, evidence, decision.
 
+    ``unreadable`` (run_id) names the runs whose landed evidence holds lines that could not be
+    parsed; their tasks lack required evidence.
+
     ``raw`` holds the landed rows per (run_id, symbol) with ``date``, values and
     ``position``; ``normalized_raw`` is its re-normalization, ``stored`` the published
     rows.  Failed tasks compare raw with the re-normalization, stale ones with the store.
@@ -329,12 +333,17 @@ def forensic_records(
         .join(raw_edge, "task_id", "left")
         .join(stored_edge, "task_id", "left")
     )
+    if unreadable is None:
+        joined = joined.withColumn("__torn", F.lit(None).cast("boolean"))
+    else:
+        torn = unreadable.select(F.col("run_id").alias("selected_run_id")).distinct()
+        joined = joined.join(torn.withColumn("__torn", F.lit(True)), "selected_run_id", "left")
     joined = joined.withColumns(
         {
             "manifest_found": F.coalesce("manifest_found", F.lit(False)),
             "manifest_readable": F.coalesce("manifest_readable", F.lit(True)),
             "raw_found": F.coalesce(F.col("raw_row_count") > 0, F.lit(False)),
-            "raw_readable": F.lit(True),
+            "raw_readable": F.col("__torn").isNull(),
             "stored_found": F.coalesce(F.col("stored_row_count") > 0, F.lit(False)),
         }
     ).withColumn("load_errors", load_errors())

@@ -50,6 +50,7 @@ from barledger.sources.store import (
     RAW_INTRADAY_SCHEMA,
     RAW_UNIVERSE_SCHEMA,
     MarketStore,
+    landed_ordinal,
     run_digests,
 )
 
@@ -661,29 +662,37 @@ def forensic_audit(
 ) -> dict[str, DataFrame]:
     """Classify every failed and stale task from landed and published rows.
 
-    Landed JSON lines carry no ordinal, so rows of one date are ordered by their values.
+    Only runs concerned are read: those of unresolved tasks, and those of the same symbols' other
+    tasks, where a stale tail may resume.  Landed lines keep their ordinal; a run with lines that
+    cannot be parsed counts as unreadable evidence.
     """
     frames = assess_campaign(store, plan, as_of)
     state = frames["assessments"]
-    raw = normalize.daily_bars(
-        store.read_raw("daily", RAW_DAILY_SCHEMA), F.lit(None).cast("timestamp"), plan.exchange,
-        plan.provenance, carry=["run_id"],
-    ).withColumn("position", F.lit(0).cast("bigint"))
-    raw = staged(raw)
-    stored = frames["rows"].withColumn("position", F.lit(0).cast("bigint"))
+    unresolved = forensics.unresolved_tasks(state)
+    own = staged(unresolved.select(F.col("selected_run_id").alias("run_id")).where("run_id is not null").distinct())
+    near = state.join(unresolved.select("symbol").distinct(), "symbol", "left_semi")
+    near = staged(near.select(F.col("selected_run_id").alias("run_id")).where("run_id is not null").distinct())
+    landed = landed_ordinal(store.read_raw("daily", RAW_DAILY_SCHEMA), near)
+    raw = staged(
+        normalize.daily_bars(
+            landed, F.lit(None).cast("timestamp"), plan.exchange, plan.provenance, carry=["run_id", "position", CORRUPT],
+        )
+    )
+    torn = raw.where(F.col(CORRUPT).isNotNull()).select("run_id").distinct()
+    raw = raw.drop(CORRUPT)
+    stored = frames["rows"].withColumn("position", F.monotonically_increasing_id())
     manifests = store.manifests().withColumn("readable", F.lit(True))
-    records = forensics.forensic_records(plan.end, state, manifests, raw, raw, stored)
+    records = forensics.forensic_records(plan.end, state, manifests, raw, raw, stored, torn)
+    committed = own.join(store.run_ids(DAILY), "run_id", "left_semi")
     artifacts = union_all(
         [
-            run_digests(store.spark, f"{store.root}/raw/dataset=daily", "raw", "*.json"),
-            run_digests(
-                store.spark, store.dataset_path(DAILY), "normalized", "*.parquet"
-            ).join(store.run_ids(DAILY), "run_id", "left_semi"),
+            run_digests(store.spark, f"{store.root}/raw/dataset=daily", "raw", "*.json", own),
+            run_digests(store.spark, store.dataset_path(DAILY), "normalized", "*.parquet", committed),
         ]
     )
     records = staged(forensics.attach_artifacts(records, artifacts))
     summary = forensics.forensic_summary(records)
-    expected = forensics.unresolved_tasks(state).agg(F.count(F.lit(1))).scalar()
+    expected = unresolved.agg(F.count(F.lit(1))).scalar()
     facts = summary.withColumn("expected", expected)
     results = union_all(
         [

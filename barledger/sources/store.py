@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from barledger.contracts import NORMALIZED_DAILY_SCHEMA
 from barledger.functions.digests import multiset_digest
+from barledger.operators.ordering import number_rows
 
 
 CORRUPT = "_corrupt_record"
@@ -271,18 +272,30 @@ class MarketStore:
         return path
 
 
-def file_digests(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """SHA-256 of every stored evidence file below ``path``."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+def file_digests(
+    spark: SparkSession, path: str, pattern: str | None = None, runs: DataFrame | None = None
+) -> DataFrame:
+    """SHA-256 of the stored evidence files below ``path``.
+
+    With ``runs`` (run_id), folders below ``path`` are run partitions and only files of those runs
+    are opened.
+    """
+    reader = spark.read.format("binaryFile")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    if runs is None:
+        files = reader.option("recursiveFileLookup", True).load(path)
+    else:
+        files = reader.load(path).join(runs.select("run_id").distinct(), "run_id", "left_semi")
+    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
-def run_digests(spark: SparkSession, path: str, kind: str, pattern: str | None = None) -> DataFrame:
-    """One digest per run over the digests of all its files below ``path``."""
+def run_digests(
+    spark: SparkSession, path: str, kind: str, pattern: str | None = None, runs: DataFrame | None = None
+) -> DataFrame:
+    """One digest per run (of ``runs``) over the digests of all its files below ``path``."""
     run_dir = r"^(.*/run_id=([^/]+))/"
-    files = file_digests(spark, path, pattern).select(
+    files = file_digests(spark, path, pattern, runs).select(
         F.regexp_extract("path", run_dir, 2).alias("run_id"),
         F.regexp_extract("path", run_dir, 1).alias("path"),
         "sha256",
@@ -305,6 +318,21 @@ def evidence_locations(manifests: DataFrame, conventional: DataFrame) -> DataFra
     )
 
 
+def landed_ordinal(landed: DataFrame, runs: DataFrame, name: str = "position") -> DataFrame:
+    """Place of each landed row of ``runs``: by file, then by line; ``landed`` comes straight from a reader.
+
+    The generated id grows with the line inside a split, and a split's block tells its place in
+    the file; places are numbered over ranges, not in one task.
+    """
+    at = landed.select(
+        "*",
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__line"),
+    ).join(runs, "run_id", "left_semi")
+    return number_rows(at, ["__file", "__block", "__line"], name).drop("__file", "__block", "__line")
+
+
 def input_paths(rows: DataFrame) -> DataFrame:
     """Distinct lineage paths of selected rows, one per output row."""
     return rows.where("__input_path is not null").select("__input_path").distinct()
@@ -315,5 +343,6 @@ __all__ = [
     "evidence_locations",
     "file_digests",
     "input_paths",
+    "landed_ordinal",
     "run_digests",
 ]

@@ -253,6 +253,15 @@ def test_forensic_audit_job(spark, store):
     assert stale.normalized_sha256 and str(stale.next_observation_date) == DAYS[1][0]
     found = names(out["results"])
     assert {r.severity for r in found.values()} == {"INFO"} and len(found) == 3
+    # a line that cannot be parsed makes the run's evidence unreadable; unrelated runs are not opened
+    with next(Path(store.raw_path("daily", "fpt-1")).glob("*.json")).open("a") as f:
+        f.write('{"symbol": "FPT", "time"\n')
+    for crc in Path(store.raw_path("daily", "fpt-1")).glob(".*.crc"):
+        crc.unlink()
+    again = jobs.forensic_audit(store, PLAN, "audit-2", AS_OF)
+    torn = {r.task_id: r for r in again["records"].collect()}[task("FPT", 1)]
+    assert torn.load_errors == ["raw_jsonl_unreadable"] and not torn.evidence_complete
+    assert torn.raw_sha256 != close.raw_sha256
 
 
 @pytest.mark.parametrize(
