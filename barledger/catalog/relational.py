@@ -8,7 +8,7 @@ from barledger.catalog import views as v
 from barledger.catalog.oracles import n_where
 from barledger.catalog.registry import query
 from barledger.contracts import CAPABILITY_STATUSES
-from barledger.operators import normalize, ordering, profile, redaction, sets
+from barledger.operators import normalize, ordering, panel, profile, redaction, sets
 
 
 def daily(spark, sf):
@@ -80,17 +80,8 @@ def w7_total_order(spark, sf):
 def w9_last_valid_close(spark, sf):
     """All bars; every fifth order's close is planted null."""
     close = F.when(F.col("orderkey") % 5 != 0, F.col("close"))
-    return last_valid_close(v.bars_clean(spark, sf).withColumn("close", close))
-
-
-def last_valid_close(bars):
-    """Newest close that is not null, and its date; symbols without any are left out."""
-    valid = F.when(F.col("close").isNotNull(), F.col("date"))
-    return (
-        bars.groupBy("symbol")
-        .agg(F.max_by("close", valid).alias("recent_close"), F.max(valid).alias("recent_date"))
-        .where("recent_date IS NOT NULL")
-    )
+    bars = v.bars_clean(spark, sf).withColumn("close", close)
+    return bars.groupBy("symbol").agg(*panel.last_valid("close")).where("recent_date IS NOT NULL")
 
 
 # --- sets ----------------------------------------------------------------------------

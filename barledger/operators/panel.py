@@ -192,6 +192,13 @@ def liquidity_window(reference: dt.date | str, config: LiquidityConfig) -> Colum
     return trailing_weekday_start(lit_date(reference), config.window_weekdays)
 
 
+def last_valid(value: str, usable: Column | None = None) -> tuple[Column, Column]:
+    """Aggregates ``recent_<value>`` and ``recent_date``: the newest non-null value of usable rows."""
+    usable = F.lit(True) if usable is None else usable
+    date = F.when(usable & F.col(value).isNotNull(), F.col("date"))
+    return F.max_by(value, date).alias(f"recent_{value}"), F.max(date).alias("recent_date")
+
+
 def liquidity(
     daily: DataFrame,
     symbols: DataFrame,
@@ -247,10 +254,7 @@ def liquidity(
         F.sum(F.when(cal, volume.cast("decimal(38,4)"))).alias("volume_sum"),
         F.sum(F.when(has_worth, worth)).alias("worth_sum"),
         count_where(has_worth).alias("worth_count"),
-        F.max_by(F.when(cal, close), F.when(cal & close.isNotNull(), F.col("date"))).alias(
-            "recent_close"
-        ),
-        F.max(F.when(cal & close.isNotNull(), F.col("date"))).alias("recent_date"),
+        *last_valid("close", cal),
     )
     joined = spine.join(stats, "symbol", "left").withColumn("policy", policy)
 

@@ -192,8 +192,7 @@ def test_coverage_blockers_keep_reason_order(spark):
 
 
 def test_last_valid_close_reads_every_order(spark):
-    from barledger.catalog.relational import last_valid_close
-
     rows = [("A", "2020-01-01", 1.0, 5), ("A", "2020-01-02", 2.0, 10), ("A", "2020-01-03", None, 1), ("B", "2020-01-01", None, 2)]
-    got = last_valid_close(spark.createDataFrame(rows, "symbol string, date string, close double, orderkey bigint")).collect()
+    bars = spark.createDataFrame(rows, "symbol string, date string, close double, orderkey bigint")
+    got = bars.groupBy("symbol").agg(*panel.last_valid("close")).where("recent_date IS NOT NULL").collect()
     assert [tuple(r) for r in got] == [("A", 2.0, "2020-01-02")]
