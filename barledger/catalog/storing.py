@@ -66,17 +66,21 @@ def s4_intraday_partitions(spark, sf):
 
 @query(
     "s5_s8_snapshot_runs",
-    """SELECT 'run-a' AS run_id FROM supplier HAVING count(*) > 0
-       UNION ALL SELECT 'run-b' FROM supplier HAVING count(*) > 0""",
+    """SELECT run_id, upper(trim(symbol)) AS symbol, count(*) AS row_count
+       FROM universe_raw, (VALUES ('run-a', 1), ('run-b', 2)) r(run_id, every)
+       WHERE exchange = 'ASIA' AND suppkey % every = 0 GROUP BY ALL""",
 )
 def s5_s8_snapshot_runs(spark, sf):
+    """Two snapshot runs, the second of every other supplier, read back by the runs that are listed."""
     store = fresh_store(spark)
-    rows = normalize.universe_snapshot(v.universe_raw(spark, sf), "ASIA", v.stamp())
-    for run in ("run-a", "run-b"):
+    raw = v.universe_raw(spark, sf)
+    for run, every in (("run-a", 1), ("run-b", 2)):
+        rows = normalize.universe_snapshot(raw.where(F.col("suppkey") % every == 0), "ASIA", v.stamp())
         store.publish_snapshot(
             rows, "normalized/universe", run, "snapshot_date", v.stamp().cast("date")
         )
-    return store.run_ids("normalized/universe")
+    rows = store.read("normalized/universe", runs=store.run_ids("normalized/universe"))
+    return rows.groupBy("run_id", "symbol").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query(
@@ -144,13 +148,19 @@ def s13_report(spark, sf):
 
 @query(
     "s14_file_digest",
-    "SELECT true AS all_digested, true AS all_hex FROM lineitem HAVING count(*) > 0",
+    """SELECT r.run_id, CASE WHEN r.run_id = 'changed' THEN count(*) FILTER (WHERE l_orderkey % 997 = 0) = 0
+         ELSE true END AS same_as_first
+       FROM bars_raw, (VALUES ('again'), ('changed')) r(run_id) GROUP BY r.run_id""",
 )
 def s14_file_digest(spark, sf):
-    """SHA-256 of every landed evidence file."""
-    store = landed(spark, sf)
-    files = s.file_digests(spark, store.raw_path("daily", "0001"), "*.json")
-    return files.agg(
-        (F.count("sha256") == F.count(F.lit(1))).alias("all_digested"),
-        F.bool_and(F.col("sha256").rlike("^[0-9a-f]{64}$")).alias("all_hex"),
+    """Digests of landed evidence: the same rows landed again, and with some closes changed."""
+    store = fresh_store(spark)
+    raw = v.bars_raw(spark, sf).select("l_orderkey", "symbol", "time", "open", "high", "low", "close", "volume")
+    moved = F.when(F.col("l_orderkey") % 997 == 0, F.col("close") + 1).otherwise(F.col("close"))
+    for run, rows in (("first", raw), ("again", raw), ("changed", raw.withColumn("close", moved))):
+        store.land(rows.drop("l_orderkey"), "daily", run)
+    digests = s.run_digests(spark, f"{store.root}/raw/dataset=daily", "raw", "*.json")
+    first = digests.where("run_id = 'first'").select("sha256")
+    return digests.where("run_id <> 'first'").select(
+        "run_id", (F.col("sha256") == first.scalar()).alias("same_as_first")
     )
