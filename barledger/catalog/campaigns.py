@@ -11,6 +11,7 @@ from barledger.contracts import PROVENANCE_TYPES
 from barledger.functions import exprs as x
 from barledger.operators import campaign, coverage, normalize, readiness
 from barledger.operators.campaign import CampaignPlan
+from barledger.operators.sets import union_all
 from barledger.operators.units import KBS
 from barledger.sources.staging import staged
 
@@ -133,15 +134,16 @@ def stored_rows(spark, sf):
     return staged(rows)
 
 
-def attempts(spark, sf):
+def attempts(spark, sf, rows=None):
+    """``rows``: the stored rows, where the caller has them already."""
+    rows = stored_rows(spark, sf) if rows is None else rows
     return campaign.assess_attempts(
-        PLAN, tasks(spark, sf), receipts(spark, sf), manifests(spark, sf), stored_rows(spark, sf),
-        AS_OF,
-    )
+        PLAN, tasks(spark, sf), receipts(spark, sf), manifests(spark, sf), rows, AS_OF
+    )
 
 
-def assessments(spark, sf):
-    return campaign.reduce_attempts(tasks(spark, sf), attempts(spark, sf))
+def assessments(spark, sf, rows=None):
+    return campaign.reduce_attempts(tasks(spark, sf), attempts(spark, sf, rows))
 
 
 # --- oracle views --------------------------------------------------------------------
@@ -392,19 +394,28 @@ def g8_chunk_bounds(spark, sf):
     )
 
 
+_LOG = """count(*) AS request_count, CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS succeeded_count,
+         CAST(count(*) FILTER (WHERE ok AND n = 0) AS BIGINT) AS empty_count,
+         coalesce(bool_and(ok AND n = 0), true) AS empty_is_complete"""
+
+
 @query(
     "g9_empty_run",
-    """SELECT count(*) AS request_count, CAST(count(*) FILTER (WHERE o_orderstatus <> 'O')
-         AS BIGINT) AS succeeded_count, CAST(count(*) FILTER (WHERE o_orderstatus <> 'O'
-         AND o_orderkey % 2 = 0) AS BIGINT) AS empty_count, false AS empty_is_complete
-       FROM orders""",
+    f"""WITH log AS (SELECT o_orderstatus <> 'O' AS ok, o_orderkey % 2 AS n FROM orders)
+       SELECT 'all' AS log, {_LOG} FROM log
+       UNION ALL SELECT 'empty', {_LOG} FROM log WHERE ok AND n = 0
+       UNION ALL SELECT 'succeeded', {_LOG} FROM log WHERE ok""",
 )
 def g9_empty_run(spark, sf):
+    """Three request logs: with failures, empty throughout, and succeeded with rows."""
     log = v.table(spark, sf, "orders").select(
         (F.col("o_orderstatus") != "O").alias("succeeded"),
         (F.col("o_orderkey") % 2).alias("row_count"),
     )
-    return campaign.empty_run_allowed(log, True)
+    logs = {"all": log, "empty": log.where("succeeded and row_count = 0"), "succeeded": log.where("succeeded")}
+    return union_all(
+        [campaign.empty_run_allowed(x, True).withColumn("log", F.lit(n)) for n, x in logs.items()]
+    )
 
 
 # --- receipts ------------------------------------------------------------------------
@@ -576,7 +587,8 @@ def j13_adoptable(spark, sf):
     CAMPAIGN_VIEWS,
 )
 def j7_task_rows(spark, sf):
-    return campaign.source_rows(assessments(spark, sf), stored_rows(spark, sf)).select(
+    rows = stored_rows(spark, sf)
+    return campaign.source_rows(assessments(spark, sf, rows), rows).select(
         "symbol", "date", "close", "source_run_id", "source_normalized_path"
     )
 
@@ -588,8 +600,9 @@ _CFG = coverage.CoverageConfig(60, 0.1, 2000, 0.2)
 
 def campaign_frames(spark, sf):
     """(symbols, assessments, source rows, coverage) of the campaign's complete symbols."""
-    state = staged(assessments(spark, sf))
-    rows = staged(campaign.source_rows(state, stored_rows(spark, sf)))
+    stored = stored_rows(spark, sf)
+    state = staged(assessments(spark, sf, stored))
+    rows = staged(campaign.source_rows(state, stored))
     symbols = plan_symbols(spark, sf)
     cov = staged(readiness.campaign_coverage(PLAN, symbols, state, rows, _CFG))
     return symbols, state, rows, cov
@@ -751,7 +764,8 @@ def j2_lineage(spark, sf):
     """Join form: lineage attached to a panel built without it."""
     from barledger.operators.panel import daily_panel
 
-    rows = campaign.source_rows(assessments(spark, sf), stored_rows(spark, sf))
+    stored = stored_rows(spark, sf)
+    rows = campaign.source_rows(assessments(spark, sf, stored), stored)
     panel = daily_panel(rows.drop("source_run_id", "source_normalized_path"), v.START, v.END)
     lineage = rows.select("symbol", "date", "source_run_id", "source_normalized_path")
     return readiness.attach_lineage(panel, lineage).select(
@@ -770,8 +784,9 @@ def j2_lineage(spark, sf):
     CAMPAIGN_VIEWS,
 )
 def p13_assemble(spark, sf):
-    state = assessments(spark, sf)
-    built = readiness.assemble(PLAN, state, campaign.source_rows(state, stored_rows(spark, sf)))
+    rows = stored_rows(spark, sf)
+    state = staged(assessments(spark, sf, rows))
+    built = readiness.assemble(PLAN, state, campaign.source_rows(state, rows))
     return built.select(
         "symbol", "date", "open", "high", "low", "close", "volume", "source_run_id",
         "source_normalized_path", "campaign_id", "assembly_contract_version",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import dataclasses
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from barledger.catalog import views as v
@@ -152,6 +155,50 @@ def give_receipts(store, first: int, end: int) -> None:
         store.append(campaign.receipts_for_run(PLAN, mine, f"run-{i}", "adopted_run", at), "receipts")
 
 
+@query(
+    "p8_plan_from_snapshot",
+    """SELECT 'task' AS kind, upper(trim(symbol)) || '__' || strftime(start_date, '%Y-%m-%d') || '__' ||
+         strftime(end_date, '%Y-%m-%d') AS name FROM universe_raw CROSS JOIN long_chunks
+       WHERE input_ordinal = suppkey * 2 AND exchange = 'ASIA'
+         AND lower(coalesce(type, 'UNKNOWN')) IN ('stock', 'equity')
+       UNION ALL SELECT 'loaded', 'ASIA 1995-01-01 2001-11-04 730 2024-01-31'
+       UNION ALL SELECT 'refused', r FROM (VALUES ('changed chunk_days'), ('changed symbols_digest'),
+         ('the same again'), ('unknown version')) t(r)""",
+    _VIEWS,
+)
+def p8_plan_from_snapshot(spark, sf):
+    """A plan made from an ingested snapshot and read back; a changed or unknown one is refused."""
+    store = fresh_store(spark)
+    raw = v.universe_raw(spark, sf).where("input_ordinal = suppkey * 2")  # each supplier's own record
+    columns = ["symbol", "organ_name", "en_organ_name", "exchange", "type", "id", "input_ordinal"]
+    store.land(raw.select(*columns), "universe", "u1")
+    jobs.ingest_universe(store, "u1", "ASIA", dt.datetime(2024, 1, 31))
+    made = jobs.init_campaign_from_snapshot(store, "camp-u", "ASIA", v.START, v.END, CHUNK_DAYS)
+    plan = jobs.load_plan(store, "camp-u")
+    symbols = made.frames["tasks"].select("symbol").distinct()
+    tries = {
+        "changed chunk_days": lambda: jobs.init_campaign(store, dataclasses.replace(plan, chunk_days=30), symbols),
+        "changed symbols_digest": lambda: jobs.init_campaign(
+            store, plan, symbols.unionByName(spark.createDataFrame([("X",)], "symbol string"))
+        ),
+        "the same again": lambda: jobs.init_campaign(store, plan, symbols),
+        "unknown version": lambda: jobs.load_plan(store, "camp-v0"),
+    }
+    other = {**campaign.plan_values(plan, "-"), "campaign_id": "camp-v0", "campaign_version": "v0"}
+    store.append(spark.createDataFrame([tuple(other.values())], campaign.PLAN_SCHEMA), "plans")
+    refused = []
+    for name, attempt in tries.items():
+        try:
+            attempt()
+        except ValueError as why:
+            if name.split()[-1] in str(why) or "already exists" in str(why) or "Unsupported" in str(why):
+                refused.append(("refused", name))
+    text = f"{plan.exchange} {plan.start} {plan.end} {plan.chunk_days} {plan.snapshot_date}"
+    rows = spark.createDataFrame([("loaded", text), *refused], "kind string, name string")
+    tasks = store.table("tasks").select(F.lit("task").alias("kind"), F.col("task_id").alias("name"))
+    return tasks.unionByName(rows)
+
+
 _STATE = """CASE WHEN n = 0 OR suppkey % 5 NOT IN (3, 4) THEN 'incompatible' WHEN stale > 10 THEN 'stale'
     ELSE 'complete' END"""
 _STATE_SQL = f"""SELECT symbol || '__' || strftime(start_date, '%Y-%m-%d') || '__' || strftime(end_date, '%Y-%m-%d')

@@ -6,7 +6,9 @@ normalized rows); nothing is mutated in place.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
+import json
 import re
 from dataclasses import dataclass
 
@@ -84,6 +86,27 @@ class CampaignPlan:
         check_chunk_days(self.chunk_days)
 
 
+#: Stored form of a plan: its scalar fields by type, the unit record as JSON of named fields.
+PLAN_SCHEMA = (
+    "campaign_id string, start string, end string, chunk_days int, snapshot_date string, "
+    "provider string, data_backend string, exchange string, source_resolution string, "
+    "campaign_version string, normalized_version string, adjustment string, "
+    "expected_adjusted_flag boolean, stale_after_days int, provenance string, symbols_digest string"
+)
+
+
+def plan_values(plan: CampaignPlan, symbols_digest: str) -> dict[str, object]:
+    """The stored row of a plan; the digest pins the symbols its tasks were made from."""
+    values = dataclasses.asdict(plan)
+    return {**values, "provenance": json.dumps(values["provenance"], sort_keys=True), "symbols_digest": symbols_digest}
+
+
+def plan_of(values: dict[str, object]) -> CampaignPlan:
+    """The plan of a stored row; contracts this library does not know are refused."""
+    fields = {k: val for k, val in values.items() if k != "symbols_digest"}
+    return CampaignPlan(**{**fields, "provenance": UnitProvenance(**json.loads(fields["provenance"]))})
+
+
 def check_chunk_days(days: int) -> None:
     if days < 1:
         raise ValueError("The chunk length must be positive.")

@@ -21,6 +21,7 @@ from barledger.contracts import (
     NORMALIZED_DAILY_SCHEMA,
     VALUE_COLUMNS,
 )
+from barledger.functions.digests import multiset_digest
 from barledger.functions.exprs import lit_date
 from barledger.operators import campaign as camp
 from barledger.operators import (
@@ -435,21 +436,68 @@ def audit_run_coverage(
 # --- campaigns ------------------------------------------------------------------------
 
 
+def stored_plan(store: MarketStore, campaign_id: str) -> dict[str, object] | None:
+    """The stored row of a plan, None without one; two rows of one campaign are refused."""
+    plans = store.table_or("plans", camp.PLAN_SCHEMA, declared=True)
+    rows = plans.where(F.col("campaign_id") == campaign_id).limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError(f"Campaign {campaign_id} has more than one plan.")
+    return rows[0].asDict() if rows else None
+
+
+def load_plan(store: MarketStore, campaign_id: str) -> CampaignPlan:
+    """A plan read back from the store; unknown contract versions are refused."""
+    row = stored_plan(store, campaign_id)
+    if row is None:
+        raise ValueError(f"There is no campaign {campaign_id}.")
+    return camp.plan_of(row)
+
+
 def init_campaign(store: MarketStore, plan: CampaignPlan, symbols: DataFrame) -> JobResult:
-    """Write a plan once: its tasks, after its invariants hold."""
-    known = store.table_or("plans", "campaign_id string, plan string")
-    if not camp.plan_is_new(known, plan.campaign_id).first()["is_new"]:
-        raise ValueError(f"Campaign {plan.campaign_id} already exists and is immutable.")
+    """Write a plan once: its typed row and its tasks, after its invariants hold.
+
+    Anything under a known campaign id is refused, with the fields in which it differs.
+    """
+    symbols = staged(symbols.select("symbol"))
+    digest = symbols.agg(multiset_digest(F.col("symbol")).alias("d")).first()["d"]
+    values = camp.plan_values(plan, digest)
+    known = stored_plan(store, plan.campaign_id)
+    if known is not None:
+        moved = sorted(k for k in values if values[k] != known[k])
+        how = f"differs in {', '.join(moved)}" if moved else "already exists"
+        raise ValueError(f"Campaign {plan.campaign_id} is immutable; the given plan {how}.")
     tasks = staged(camp.campaign_tasks(plan, symbols))
     results = staged(camp.check_plan(plan, symbols, tasks))
     open_ = gate_open(results)
     if open_:
         store.append(tasks.withColumn("campaign_id", F.lit(plan.campaign_id)), "tasks", ["campaign_id"])
-        row = [(plan.campaign_id, repr(plan))]
-        store.append(store.spark.createDataFrame(row, "campaign_id string, plan string"), "plans")
+        # The plan's row comes last: tasks without one are what a killed job has left.
+        store.append(store.spark.createDataFrame([tuple(values.values())], camp.PLAN_SCHEMA), "plans")
     return JobResult(plan.campaign_id, "success" if open_ else "failed", results, [], {"tasks": tasks})
 
 
+def init_campaign_from_snapshot(
+    store: MarketStore,
+    campaign_id: str,
+    exchange: str,
+    start: str,
+    end: str,
+    chunk_days: int,
+    snapshot_date: str | None = None,
+    **fields,
+) -> JobResult:
+    """Plan the included candidates of the newest universe snapshot (of ``snapshot_date``)."""
+    snapshot = universe.latest_snapshot(store.read("normalized/universe"), snapshot_date)
+    prepared = staged(universe.research_universe(snapshot.drop("__input_path", "run_id"), exchange))
+    observed = prepared.agg(F.max("source_snapshot_observed_at_utc").cast("date").alias("d")).first()["d"]
+    if observed is None:
+        raise ValueError("There is no universe snapshot to plan from.")
+    plan = CampaignPlan(
+        campaign_id, start, end, chunk_days, observed.isoformat(), exchange=exchange.upper(), **fields
+    )
+    return init_campaign(store, plan, universe.included_symbols(prepared))
+
+
 ATTEMPTS = (
     "campaign_id string, task_id string, source_run_id string, manifest_digest string, as_of date, "
     "status string, reason_codes array<string>, observation_count bigint, "
