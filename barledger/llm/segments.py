@@ -235,17 +235,24 @@ def _apply(rows: DataFrame, model: Model, columns: dict[str, str], full: bool =
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Model of bounded size from at most FIT_ROWS labelled rows outside the held-out fold."""
-    chosen = (
+    """Model of bounded size from at most FIT_ROWS labelled texts outside the held-out fold.
+
+    A text counts once for each doc_id, however often its row is repeated.
+    """
+    marks = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("bigint").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
+    )
+    texts = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("h"), text_or_empty().alias("text"))
+    chosen = (
+        texts.select("doc_id", "h").distinct().join(marks, "doc_id")
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "h")
         .limit(FIT_ROWS)
     )
-    # at most FIT_ROWS pairs of numbers: a proven bound
-    rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id").select("toxic", "text")
-    train = staged(rows)
+    # FIT_ROWS rows of three numbers at most: a proven bound
+    rows = texts.join(F.broadcast(chosen), ["doc_id", "h"])
+    train = staged(rows.groupBy("doc_id", "h").agg(F.first("toxic").alias("toxic"), F.first("text").alias("text")).drop("doc_id", "h"))
     counts = np.zeros((2, BUCKETS), np.int64)
     for r in train.mapInArrow(_count_tokens, "bucket bigint, toxic bigint, other bigint").groupBy("bucket").agg(F.sum("toxic"), F.sum("other")).collect():
         counts[0, r[0]], counts[1, r[0]] = r[1], r[2]
@@ -253,7 +260,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     scores = token_scores(toxic, other) if toxic.sum() and other.sum() else np.full(BUCKETS, -MARGIN)
     lam = solve_lambda(scores, other.astype(float)) if other.sum() else 1.0
     model = Model(scores, lam, 0.0, np.zeros(3))
-    seen = _apply(train, model, {"toxic": "bigint"}).select("toxic", "n", "best").collect()  # FIT_ROWS at most, but for repeated rows
+    seen = _apply(train, model, {"toxic": "bigint"}).select("toxic", "n", "best").collect()  # FIT_ROWS at most
     maxima = [lam * r.best - np.log(r.n) for r in seen if not r.toxic and r.best > 0]
     model.log_k = float(np.mean(maxima) - np.euler_gamma) if len(maxima) >= 20 else 0.0
     made = _apply(train, model, {"toxic": "bigint"}).select("toxic", "x1", "x2").collect()

@@ -96,3 +96,21 @@ def test_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert all(r.score < 1e-6 and r.predicted == 0 for r in sg.report(df, none).collect())
     assert sg.report(df.limit(0), none).collect() == []
+
+
+def test_fit_takes_a_bounded_number_of_texts(spark, monkeypatch):
+    monkeypatch.setattr(sg, "FIT_ROWS", 6)
+    seen = []
+
+    def recorded(df):
+        out = staged(df)
+        seen.append(out.count())
+        return out
+
+    staged = sg.staged
+    monkeypatch.setattr(sg, "staged", recorded)
+    rows = [(1, f"text {i} of one id") for i in range(40)] + [(2, "the same row")] * 40 + [(i, f"other {i}") for i in range(3, 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(1, 9)], "doc_id bigint, quality int, toxic int")
+    sg.fit(docs, labels)
+    assert seen and max(seen) <= 6
