@@ -510,7 +510,7 @@ def campaign_tables(store: MarketStore, plan: CampaignPlan) -> tuple[DataFrame,
     """(tasks, receipts) of a campaign."""
     mine = F.col("campaign_id") == plan.campaign_id
     tasks = store.table("tasks").where(mine).drop("campaign_id")
-    return tasks, store.table_or("receipts", RECEIPTS).where(mine)
+    return tasks, store.table_or("receipts", RECEIPTS, declared=True).where(mine)
 
 
 def campaign_rows(store: MarketStore, receipts: DataFrame) -> DataFrame:

@@ -224,11 +224,14 @@ class MarketStore:
         """Committed runs, from the commit rows alone."""
         return self.commits(dataset).select("run_id").distinct().orderBy("run_id")
 
-    def exists(self, dataset: str) -> bool:
-        """Whether the folder is there and holds files a schema can be read from."""
+    def _there(self, dataset: str) -> bool:
         jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
         path = jvm.org.apache.hadoop.fs.Path(self.dataset_path(dataset))
-        if not path.getFileSystem(conf).exists(path):
+        return path.getFileSystem(conf).exists(path)
+
+    def exists(self, dataset: str) -> bool:
+        """Whether the folder is there and holds files a schema can be read from."""
+        if not self._there(dataset):
             return False
         try:
             self.spark.read.parquet(self.dataset_path(dataset)).schema
@@ -248,10 +251,10 @@ class MarketStore:
 
     def table_or(self, name: str, schema: str, declared: bool = False) -> DataFrame:
         """The table, or an empty frame; ``declared`` reads it with the given schema."""
-        if not self.exists(f"tables/{name}"):
-            return self.spark.createDataFrame([], schema)
-        if declared:
+        if declared and self._there(f"tables/{name}"):
             return self.spark.read.schema(schema).parquet(f"{self.root}/tables/{name}")
+        if declared or not self.exists(f"tables/{name}"):
+            return self.spark.createDataFrame([], schema)
         return self.table(name)
 
     def append_manifest(self, values: dict[str, object]) -> None:
@@ -263,7 +266,7 @@ class MarketStore:
         self.append(self.spark.createDataFrame(row, schema), "manifests")
 
     def manifests(self) -> DataFrame:
-        return self.table_or("manifests", MANIFEST_SCHEMA)
+        return self.table_or("manifests", MANIFEST_SCHEMA, declared=True)
 
     def report(self, df: DataFrame, name: str, run_id: str) -> str:
         """Report rows as JSON lines."""
