@@ -300,7 +300,7 @@ def test_second_assessment_reads_new_runs_only(store):
     full = jobs.assess_campaign(store, PLAN, AS_OF, everything=True)
     assert full["judged"].count() == 3
     rows = lambda frames: sorted(map(repr, frames["assessments"].collect()))
-    assert rows(second) == rows(full) and rows(jobs.assess_campaign(store, PLAN, AS_OF)) == rows(full)
+    assert rows(second) == rows(full)
     # an earlier day cannot rely on judgements of a later one
     assert jobs.assess_campaign(store, PLAN, "2026-07-03")["judged"].count() == 3
 
