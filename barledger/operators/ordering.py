@@ -33,31 +33,33 @@ def exact_rank(
 ) -> DataFrame:
     """1-based rank of each row in its key by (day nulls last, position, ties).
 
-    A two-level prefix scan over ranges of (key, day, position, ties): rows are ranked inside
-    their key and range, and only the counts by key and range are windowed over the key.
+    A two-level prefix scan over ranges of (key, day, position, ties): rows are sorted inside
+    their range once, and only the count and the first place of each key and range are summed
+    up over the key; a rank is then a difference of places.
     """
-    # Hidden non-null text keys: the offset join is a plain equality and shares its shuffle
-    # with the window inside a range.
+    # Hidden non-null text keys: the offset join is a plain equality.
     hidden = {
         f"__k{i}": F.coalesce(F.col(k).cast("string"), F.lit("\u0000"))
         for i, k in enumerate(keys)
     }
-    order = [F.col(day).asc_nulls_last(), position, *ties]
-    rows = _ranged(df.withColumns(hidden), [*hidden, *order])
+    order = [*hidden, F.col(day).asc_nulls_last(), position, *ties, F.xxhash64(*df.columns)]
+    placed = df.withColumns(hidden).repartitionByRange(*order).sortWithinPartitions(*order)
+    # The generated id holds the range above bit 33 and the place in the range below.
+    rows = staged(placed.withColumn("__at", F.monotonically_increasing_id()))
+    rows = rows.withColumn("__range", F.shiftright("__at", 33))
     cell = [*hidden, "__range"]
-    sizes = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
     before = (
         Window.partitionBy(*hidden)
         .orderBy("__range")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = sizes.select(
-        *cell, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")
+        *cell, "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")
     )
-    inside = Window.partitionBy(*cell).orderBy(*order)
     return rows.join(offsets, cell).withColumn(
-        name, (F.row_number().over(inside) + F.col("__offset")).cast("bigint")
-    ).drop(*cell, "__offset")
+        name, (F.col("__at") - F.col("__first") + F.col("__offset") + 1).cast("bigint")
+    ).drop(*cell, "__at", "__first", "__offset")
 
 
 def number_rows(df: DataFrame, order: list[str | Column], name: str = "position") -> DataFrame:
