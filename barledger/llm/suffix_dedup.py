@@ -341,9 +341,9 @@ _ROWS = "d bigint, h bigint, f bigint, c bigint, s bigint, n bigint, o bigint"
 
 def _settle(rows: DataFrame, length: int, mode: str) -> tuple[DataFrame, DataFrame]:
     """Spans of contexts with equal copies; one row of each class that shares its key with another class."""
-    often = rows.groupBy("f").agg(F.count("*").alias("rows")).where("rows > 1").select("f")
-    # Written before it is grouped: the join's tasks then do no more than join, so Spark splits
-    # a k-gram that many rows share.
+    # Both written apart: the join's tasks then do no more than join, so Spark splits a k-gram
+    # that many rows share.
+    often = staged(rows.groupBy("f").agg(F.count("*").alias("rows")).where("rows > 1").select("f"))
     found = staged(rows.join(often, "f", "left_semi"))
     # Texts repeated whole give the same row again: one row a place, with their number.
     live = staged(found.groupBy("d", "h", "f", "c", "s", "n", "o").agg(F.count("*").alias("times")))
