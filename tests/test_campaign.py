@@ -346,3 +346,12 @@ def test_torn_and_blocked_runs_are_never_read(spark, store, monkeypatch):
     with pytest.raises(RuntimeError, match="killed"):
         run(store, "fpt-1", "FPT", 1, DAYS[1])
     assert seen() == {"fpt-0", "torn"}
+
+
+def test_tasks_are_dealt_and_never_broadcast(spark):
+    """The optimizer cannot see that a symbol becomes many tasks."""
+    tasks = c.campaign_tasks(PLAN, symbols(spark, ["FPT", "HPG", "VNM"]).coalesce(1))
+    keys = tasks.select("task_id", F.lit(1).alias("n"))
+    for joined in (keys.join(tasks, "task_id"), symbols(spark, ["FPT"]).join(tasks, "symbol", "left")):
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert tasks.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
