@@ -141,3 +141,13 @@ def test_stream_equals_batch(spark, store, tmp_path):
     normalize_landed(spark, path, out, mark, stamp(), provenance=KBS).awaitTermination()
     rows = spark.read.parquet(out)
     assert rows.count() == 5 and rows.where("source_price_scale_to_vnd = 1000").count() == 5
+
+
+def test_landed_files_are_bounded(spark, store, monkeypatch):
+    """A digest reads a file whole, so a run's evidence is landed in files of bounded length."""
+    monkeypatch.setattr("barledger.sources.store.LANDED_FILE_ROWS", 10)
+    rows = spark.range(25).coalesce(1).select(F.concat(F.lit("S"), "id").alias("symbol"))
+    paths = [store.land(rows, "daily", r) for r in ("a", "b")]
+    first, second = (file_digests(spark, p, "*.json").select("length", "sha256").collect() for p in paths)
+    assert len(first) == 3 and sorted(first) == sorted(second)
+    assert store.read_raw("daily", "symbol string", "a").count() == 25
