@@ -48,7 +48,7 @@ def s3_s7_daily_run(spark, sf):
     bars = v.bars_clean(spark, sf)
     store.publish_daily(bars.where("suppkey % 2 = 1"), "run-a")
     store.publish_daily(bars.where("suppkey % 2 = 0"), "run-b")
-    return store.read("normalized/daily", ["run-b"]).select("symbol", "date", "close", "run_id")
+    return store.read_daily(["run-b"]).select("symbol", "date", "close", "run_id")
 
 
 @query(
@@ -91,7 +91,7 @@ def s5_s8_snapshot_runs(spark, sf):
 def s6_source_files(spark, sf):
     store = fresh_store(spark)
     store.publish_daily(v.bars_clean(spark, sf), "run-a")
-    rows = store.read("normalized/daily")
+    rows = store.read_daily()
     return rows.groupBy("symbol", "run_id").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.bool_and(F.contains("__input_path", F.concat(F.lit("symbol="), "symbol"))).alias(
@@ -108,7 +108,7 @@ def n22_input_paths(spark, sf):
     """Distinct lineage paths, reduced to the symbol directory they point into."""
     store = fresh_store(spark)
     store.publish_daily(v.bars_clean(spark, sf), "run-a")
-    paths = s.input_paths(store.read("normalized/daily"))
+    paths = s.input_paths(store.read_daily())
     return paths.select(
         F.regexp_extract("__input_path", r"symbol=([^/]+)/", 1).alias("symbol")
     ).distinct()

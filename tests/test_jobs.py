@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from helpers import KBS, flat_bars, names, stamp, symbols
+from helpers import KBS, daily, flat_bars, names, stamp, symbols
 from pyspark.sql import functions as F
 
 from barledger.operators import checks, coverage, panel
@@ -151,3 +151,12 @@ def test_landed_files_are_bounded(spark, store, monkeypatch):
     first, second = (file_digests(spark, p, "*.json").select("length", "sha256").collect() for p in paths)
     assert len(first) == 3 and sorted(first) == sorted(second)
     assert store.read_raw("daily", "symbol string", "a").count() == 25
+
+
+def test_daily_runs_are_written_by_many_tasks(spark, store):
+    """A symbol's folder costs the same however small it is, so the folders are dealt over tasks."""
+    store.publish_daily(daily(spark, [(f"S{i}", d, 10.0, 5) for i in range(20) for d in WEEK]), "r")
+    paths = [r[0] for r in input_paths(store.read_daily()).collect()]
+    assert len(paths) == 20 and len({p.rsplit("/", 1)[1].split("-")[1] for p in paths}) > 1
+    listing = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    assert listing == spark.conf.get("spark.sql.shuffle.partitions")
