@@ -516,7 +516,7 @@ def campaign_tables(store: MarketStore, plan: CampaignPlan) -> tuple[DataFrame,
 def campaign_rows(store: MarketStore, receipts: DataFrame) -> DataFrame:
     """Committed daily rows of the receipts' runs; the partitions of other runs are pruned."""
     runs = receipts.select(F.col("source_run_id").alias("run_id"))
-    if not store.exists(DAILY):
+    if not store.has_runs(DAILY):
         schema = f"{NORMALIZED_DAILY_SCHEMA}, run_id string, __input_path string"
         return store.spark.createDataFrame([], schema).withColumn("partition_symbol", F.col("symbol"))
     return store.read_daily(runs=runs).withColumn("partition_symbol", F.col("symbol"))

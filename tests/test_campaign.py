@@ -355,3 +355,17 @@ def test_tasks_are_dealt_and_never_broadcast(spark):
     for joined in (keys.join(tasks, "task_id"), symbols(spark, ["FPT"]).join(tasks, "symbol", "left")):
         assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
     assert tasks.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_attempts_meet_declared_symbols_one_by_one(spark, store):
+    """A run may declare every symbol of the plan; no attempt carries that list."""
+    run(store, "fpt-0", "FPT", 0, DAYS[0])
+    tasks, _ = jobs.campaign_tables(store, PLAN)
+    receipts = c.receipts_for_run(PLAN, tasks.where("start_date = '2026-06-22'"), "fpt-0", "adopted_run", stamp())
+    declared = F.array(F.lit("FPT"), F.lit("FPT"), F.lit(None).cast("string"))
+    manifests = store.manifests().withColumn("symbols", declared)
+    judged = c.assess_attempts(PLAN, tasks, receipts, manifests, jobs.campaign_rows(store, receipts), AS_OF)
+    assert "array_contains" not in judged._jdf.queryExecution().optimizedPlan().toString()
+    found = {r.symbol: (r.status, r.reason_codes) for r in judged.collect()}
+    assert found["FPT"][0] == "complete" and len(found) == 2
+    assert found["HPG"] == ("incompatible", ["symbol_not_declared_by_source_manifest"])
