@@ -83,6 +83,26 @@ def test_positional_comparison_counts_shifts(spark):
     assert not fewer.row_counts_match and fewer.max_absolute_delta_close is None
 
 
+def test_only_keys_with_equal_counts_are_ranked(spark, monkeypatch):
+    pair = bars(spark, [FIRST, ("2026-01-06", 9.0, 10.0, 8.0, 9.0)]).withColumn(
+        "position", F.monotonically_increasing_id()
+    )
+    raw = pair.unionByName(pair.withColumn("task_id", F.lit("u")))
+    stored = raw.where("task_id = 't' or date = '2026-01-05'")
+    stored = stored.unionByName(stored.where("task_id = 't'").withColumn("task_id", F.lit("v")))
+    ranked, rank = [], forensics.exact_rank
+
+    def counted(df, *args, **kwargs):
+        ranked.append({r.task_id for r in df.select("task_id").collect()})
+        return rank(df, *args, **kwargs)
+
+    monkeypatch.setattr(forensics, "exact_rank", counted)
+    found = forensics.compare_raw_and_stored(raw, stored, ["task_id"], "position").collect()
+    got = {r.task_id: (r.raw_row_count, r.stored_row_count, r.exact_match, r.dates_match) for r in found}
+    assert got == {"t": (2, 2, True, True), "u": (2, 1, False, False), "v": (0, 2, False, False)}
+    assert ranked == [{"t"}, {"t"}]
+
+
 def test_forensic_records(spark):
     d = dt.date
     state = spark.createDataFrame(
