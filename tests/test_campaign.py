@@ -357,6 +357,13 @@ def test_tasks_are_dealt_and_never_broadcast(spark):
     assert tasks.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_plan_checks_deal_tasks_into_fixed_parts(spark):
+    asked = symbols(spark, ["FPT", "HPG"])
+    plan = c.check_plan(PLAN, asked, c.campaign_tasks(PLAN, asked))._jdf.queryExecution().executedPlan().toString()
+    by_id = [x for x in plan.splitlines() if "Exchange hashpartitioning(task_id" in x]
+    assert by_id and all("REPARTITION_BY_NUM" in x for x in by_id)
+
+
 def test_attempts_meet_declared_symbols_one_by_one(spark, store):
     """A run may declare every symbol of the plan; no attempt carries that list."""
     run(store, "fpt-0", "FPT", 0, DAYS[0])
