@@ -12,9 +12,9 @@ from barledger.functions.exprs import (
     column_or_null,
     count_where,
     provider_time,
-    timestamp_facts,
     to_day,
     to_number,
+    with_timestamp_facts,
 )
 from barledger.operators.units import UnitProvenance, provenance_literals
 
@@ -135,7 +135,8 @@ def intraday_bars(
     carry: list[str] = (),
 ) -> DataFrame:
     """Normalized intraday bars; provider timestamps are classified, never localized."""
-    facts = timestamp_facts(
+    raw, facts = with_timestamp_facts(
+        raw,
         column_or_null(raw, "time"),
         raw.schema["time"].dataType if "time" in raw.columns else _STRING,
     )

@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from barledger.operators import coverage, forensics, ordering, quality
+from barledger.operators import coverage, forensics, normalize, ordering, quality
 from barledger.operators.checks import top_rows
 
 
@@ -166,3 +166,14 @@ def test_range_filter_reaches_the_scan(spark, tmp_path):
     rows = select_window(spark.read.parquet(path), "2020-02-01", "2020-03-01").select("symbol", "date")
     text = plan(rows)
     assert "GreaterThanOrEqual(date" in text and "struct<symbol:string,date:date>" in text
+
+
+def test_intraday_times_are_parsed_once(spark):
+    from barledger.catalog.quality import dq_intraday
+
+    checked = dq_intraday(spark, "/root/testdata/sf0.001")
+    assert "try_cast" not in checked._jdf.queryExecution().optimizedPlan().toString()
+    raw = spark.createDataFrame([("A", "1m", "2024-01-01 09:00:00+07:00")], "symbol string, resolution string, time string")
+    bars = normalize.intraday_bars(raw, F.current_timestamp())
+    # One parse of the wall clock and one of the instant.
+    assert bars._jdf.queryExecution().optimizedPlan().toString().count("try_cast") == 2
