@@ -407,3 +407,11 @@ def test_runs_meet_tasks_of_their_own_days(spark):
     }
     # A run does not meet every task of its symbol.
     assert "__stretch" in report._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_runs_are_never_broadcast_to_their_bars(spark, monkeypatch):
+    from barledger.catalog import campaigns
+
+    monkeypatch.setattr(campaigns, "staged", lambda rows: rows)
+    stored = campaigns.stored_rows(spark, "/root/testdata/sf0.001")
+    assert "Broadcast" not in stored._jdf.queryExecution().executedPlan().toString()
