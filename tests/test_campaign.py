@@ -415,3 +415,12 @@ def test_runs_are_never_broadcast_to_their_bars(spark, monkeypatch):
     monkeypatch.setattr(campaigns, "staged", lambda rows: rows)
     stored = campaigns.stored_rows(spark, "/root/testdata/sf0.001")
     assert "Broadcast" not in stored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_run_facts_and_source_rows_are_never_broadcast(spark):
+    from barledger.catalog import campaigns
+
+    sf = "/root/testdata/sf0.001"
+    stored = campaigns.stored_rows(spark, sf)  # a small file: by its size on disk all of it would be broadcast
+    for df in (campaigns.attempts(spark, sf, stored), c.source_rows(campaigns.assessments(spark, sf, stored), stored)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
