@@ -92,11 +92,10 @@ def s6_source_files(spark, sf):
     store = fresh_store(spark)
     store.publish_daily(v.bars_clean(spark, sf), "run-a")
     rows = store.read_daily()
+    in_run = F.contains("__input_path", F.concat(F.lit("/run_id="), "run_id", F.lit("/")))
+    named = F.endswith("__input_path", F.concat(F.lit(s.SYMBOL_MARK), "symbol"))
     return rows.groupBy("symbol", "run_id").agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.bool_and(F.contains("__input_path", F.concat(F.lit("symbol="), "symbol"))).alias(
-            "has_path"
-        ),
+        F.count(F.lit(1)).alias("row_count"), F.bool_and(in_run & named).alias("has_path")
     )
 
 
@@ -105,12 +104,12 @@ def s6_source_files(spark, sf):
     "SELECT DISTINCT symbol FROM bars_clean",
 )
 def n22_input_paths(spark, sf):
-    """Distinct lineage paths, reduced to the symbol directory they point into."""
+    """Distinct lineage paths, reduced to the symbol they name inside their file."""
     store = fresh_store(spark)
     store.publish_daily(v.bars_clean(spark, sf), "run-a")
     paths = s.input_paths(store.read_daily())
     return paths.select(
-        F.regexp_extract("__input_path", r"symbol=([^/]+)/", 1).alias("symbol")
+        F.regexp_extract("__input_path", rf"\.parquet{s.SYMBOL_MARK}(.+)$", 1).alias("symbol")
     ).distinct()
 
 

@@ -160,3 +160,16 @@ def test_daily_runs_are_written_by_many_tasks(spark, store):
     assert len(paths) == 20 and len({p.rsplit("/", 1)[1].split("-")[1] for p in paths}) > 1
     listing = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
     assert listing == spark.conf.get("spark.sql.shuffle.partitions")
+
+
+def test_daily_runs_have_no_folder_for_each_symbol(spark, store):
+    """A run's files are as many as its tasks, however many symbols; a path still names its row's symbol."""
+    rows = daily(spark, [(f"S{i}", d, 10.0, 5) for i in range(40) for d in WEEK], KBS)
+    nameless = rows.limit(1).withColumn("symbol", F.lit(None).cast("string"))
+    store.publish_daily(rows.unionByName(nameless), "r")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = store.read_daily().select("symbol", "run_id", "__input_path").distinct().collect()
+    assert len({r["__input_path"].split("#")[0] for r in stored}) <= parts and len(stored) == 41
+    assert all("/run_id=r/" in r["__input_path"] for r in stored)
+    named = {r.symbol: r["__input_path"].split("#symbol=")[1] for r in stored}
+    assert named.pop(None) == "__HIVE_DEFAULT_PARTITION__" and all(k == v for k, v in named.items())
