@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from pathlib import Path
 
 import pytest
@@ -424,3 +425,27 @@ def test_run_facts_and_source_rows_are_never_broadcast(spark):
     stored = campaigns.stored_rows(spark, sf)  # a small file: by its size on disk all of it would be broadcast
     for df in (campaigns.attempts(spark, sf, stored), c.source_rows(campaigns.assessments(spark, sf, stored), stored)):
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_meet_runs_before_they_carry_the_bars_fixed_columns(spark, monkeypatch):
+    from barledger.catalog import campaigns
+
+    monkeypatch.setattr(campaigns, "staged", lambda rows: rows)
+    stored = campaigns.stored_rows(spark, "/root/testdata/sf0.001")
+    text = stored._jdf.queryExecution().optimizedPlan().toString()
+    assert "vnstock" in text and "vnstock" not in text[text.index("Join ") :]
+
+
+def test_attempts_are_not_dealt_again_by_task(spark):
+    """Facts of tasks meet attempts where the facts of their run do; day facts are shuffled once for both."""
+    from barledger.catalog import campaigns
+
+    sf = "/root/testdata/sf0.001"
+    judged = campaigns.attempts(spark, sf, campaigns.stored_rows(spark, sf))
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    dealt = [re.sub(r"#\d+L?", "", x) for x in plan.splitlines() if "Exchange hashpartitioning(" in x]
+    assert not any("task_id" in x and "run_id" in x.split("hashpartitioning")[1] for x in dealt), dealt
+    days = [x for x in dealt if "(run_id, partition_symbol, " in x and "REPARTITION_BY_NUM" in x]
+    assert len(days) == 2
+    judged.collect()
+    assert "ReusedExchange" in judged._jdf.queryExecution().executedPlan().toString()
